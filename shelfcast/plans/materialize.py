@@ -1,0 +1,28 @@
+"""Lineage cuts: write an intermediate table to the shared checkpoint folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from shelfcast.session import scratch_dir
+
+
+def materialize(df: DataFrame, name: str, how: str | None = "parquet") -> DataFrame:
+    """Cut the lineage of ``df``.
+
+    ``parquet``: write a Parquet table under ``spark.checkpoint.dir`` and read
+    it back; later branches then scan it with column pruning and pushed
+    filters, and a lost executor costs a re-read, not a recomputation.
+    ``checkpoint``: Spark's reliable ``DataFrame.checkpoint``.
+    ``None``: keep one lazy plan (small inputs, plan inspection).
+    """
+    if how is None:
+        return df
+    spark = df.sparkSession
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    if how == "parquet":
+        path = scratch_dir(spark, name)
+        df.write.mode("error").parquet(path)
+        return spark.read.parquet(path)
+    raise ValueError(f"unknown materialization {how!r}")
