@@ -172,3 +172,106 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qty_lags_group_key": q_qty_lags_group_key,
     })
     return q
+
+
+# ---------------------------------------------------------------- accuracy
+from shelfcast.operators import accuracy as A  # noqa: E402
+from shelfcast.operators import evaluation as EV  # noqa: E402
+from shelfcast.sources.files import read_scored, write_table  # noqa: E402
+from shelfcast.session import scratch_dir  # noqa: E402
+
+# Fixed parameter of the registered evaluation queries: first validation day.
+HORIZON = "2000-01-01"
+
+
+def rounded(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
+    """Round aggregated doubles so both engines hash the same text."""
+    return df.withColumns({c: F.round(c, places) for c in cols})
+
+
+def scored(spark, sf_dir):
+    return A.naive_forecast(q_demand_daily(spark, sf_dir), HORIZON)
+
+
+def q_scored_predictions(spark, sf_dir):
+    return scored(spark, sf_dir)
+
+
+def q_item_bias(spark, sf_dir):
+    return rounded(A.item_bias(scored(spark, sf_dir)), ["bias"])
+
+
+def q_item_rmse(spark, sf_dir):
+    return rounded(A.item_rmse(scored(spark, sf_dir)), ["rmse"])
+
+
+def q_item_accuracy(spark, sf_dir):
+    return rounded(A.item_accuracy(scored(spark, sf_dir)), ["bias", "rmse"])
+
+
+def q_item_lookup(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    first_item = s.agg(F.min("stock_code")).scalar()
+    return rounded(A.item_lookup(A.item_accuracy(s), first_item), ["bias", "rmse"])
+
+
+def q_time_split(spark, sf_dir):
+    return EV.split_summary(q_demand_daily(spark, sf_dir), HORIZON)
+
+
+def _results(spark, sf_dir):
+    return EV.validation_results(scored(spark, sf_dir))
+
+
+def q_validation_results(spark, sf_dir):
+    return _results(spark, sf_dir)
+
+
+def q_median_abs_error(spark, sf_dir):
+    return EV.median_abs_error(_results(spark, sf_dir))
+
+
+def q_monthly_rmse(spark, sf_dir):
+    return rounded(EV.monthly_rmse(_results(spark, sf_dir)), ["rmse"])
+
+
+def q_error_histogram(spark, sf_dir):
+    return rounded(EV.error_histogram(_results(spark, sf_dir)), ["lower", "upper"])
+
+
+def q_score_r2(spark, sf_dir):
+    return rounded(EV.r2_score(scored(spark, sf_dir)), ["r2"])
+
+
+def q_read_scored(spark, sf_dir):
+    """S4 round trip: write the scored table as ';' text, read it back typed."""
+    path = scratch_dir(spark, "scored")
+    s = scored(spark, sf_dir).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    write_table(s, path, sep=";")
+    return read_scored(spark, path).withColumn("date", F.to_date("date"))
+
+
+def accuracy_queries() -> dict[str, Callable]:
+    return {
+        "scored_predictions": q_scored_predictions,
+        "item_bias": q_item_bias,
+        "item_rmse": q_item_rmse,
+        "item_accuracy": q_item_accuracy,
+        "item_lookup": q_item_lookup,
+        "time_split": q_time_split,
+        "validation_results": q_validation_results,
+        "median_abs_error": q_median_abs_error,
+        "monthly_rmse": q_monthly_rmse,
+        "error_histogram": q_error_histogram,
+        "score_r2": q_score_r2,
+        "read_scored": q_read_scored,
+    }
+
+
+_base_queries = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _base_queries()
+    q.update(accuracy_queries())
+    return q
