@@ -278,3 +278,62 @@ def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_base()
     out.update(accuracy_sql())
     return out
+
+
+PROFILE = ("price_mode", "price_median", "price_last", "qty_avg", "qty_median")
+_BC = "CASE WHEN lmbda = 0 THEN ln(x) ELSE (pow(x, lmbda) - 1) / lmbda END"
+CLUSTER_CTES = """
+profile AS (
+  SELECT stock_code, max(price_mode) AS price_mode, max(price_median) AS price_median,
+         max(price_last) AS price_last, avg(qty) AS qty_avg, quantile_cont(qty, 0.5) AS qty_median
+  FROM demand GROUP BY stock_code),
+plong AS (""" + " UNION ALL ".join(
+    f"SELECT stock_code, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM profile" for c in PROFILE) + """),
+grid AS (
+  SELECT CAST(-3.0 AS DOUBLE) + CAST(i AS DOUBLE) * CAST(6.0 AS DOUBLE) / CAST(120 AS DOUBLE) AS lmbda
+  FROM range(0, 121) t(i)),
+llf AS (
+  SELECT feature, lmbda,
+         (lmbda - 1) * sum(ln(x)) - CAST(count(*) AS DOUBLE) / CAST(2 AS DOUBLE) * ln(var_pop(""" + _BC + """)) AS llf
+  FROM plong, grid GROUP BY feature, lmbda),
+best AS (
+  SELECT feature, lmbda, llf FROM (
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY llf DESC, lmbda DESC) AS rk
+    FROM llf WHERE llf IS NOT NULL AND NOT isnan(llf)) WHERE rk = 1),
+transformed AS (
+  SELECT p.stock_code, p.feature, """ + _BC.replace("x", "p.x").replace("lmbda", "b.lmbda") + """ AS y
+  FROM plong p JOIN best b ON p.feature = b.feature),
+zs AS (
+  SELECT stock_code, feature,
+         (y - avg(y) OVER (PARTITION BY feature)) /
+         CASE WHEN stddev_pop(y) OVER (PARTITION BY feature) = 0 THEN 1
+              ELSE stddev_pop(y) OVER (PARTITION BY feature) END AS z
+  FROM transformed),
+cells AS (SELECT stock_code, date, CAST(sum(qty) AS BIGINT) AS qty FROM demand GROUP BY stock_code, date),
+n_dates AS (SELECT CAST(count(DISTINCT date) AS DOUBLE) AS n FROM demand),
+sstats AS (
+  SELECT stock_code, CAST(n AS INT) AS n_dates, s1 / n AS series_mean,
+         sqrt((s2 - s1 * s1 / n) / (n - 1)) AS series_std
+  FROM (SELECT stock_code, CAST(sum(qty) AS DOUBLE) AS s1, sum(pow(qty, 2)) AS s2 FROM cells GROUP BY stock_code), n_dates)"""
+
+
+def cluster_sql() -> dict[str, str]:
+    s = lambda body: with_demand(body, extra_ctes=CLUSTER_CTES)
+    pivot = ", ".join(f"round(max(CASE WHEN feature = '{c}' THEN z END), 4) AS {c}" for c in PROFILE)
+    return {
+        "product_profile": s("SELECT stock_code, price_mode, price_median, price_last, round(qty_avg, 6) AS qty_avg, qty_median FROM profile"),
+        "boxcox": s("SELECT feature, round(lmbda, 6) AS lmbda, round(llf, 6) AS llf FROM best"),
+        "standardize": s(f"SELECT stock_code, {pivot} FROM zs GROUP BY stock_code"),
+        "series_matrix": s("SELECT * FROM cells"),
+        "series_zscore": s("SELECT stock_code, n_dates, round(series_mean, 6) AS series_mean, "
+                           "round(series_std, 6) AS series_std, round(-series_mean / series_std, 6) AS zero_z FROM sstats"),
+    }
+
+
+_all_sql_acc = all_sql
+
+
+def all_sql() -> dict[str, str]:  # noqa: F811
+    out = _all_sql_acc()
+    out.update(cluster_sql())
+    return out

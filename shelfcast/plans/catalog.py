@@ -275,3 +275,85 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q = _base_queries()
     q.update(accuracy_queries())
     return q
+
+
+# -------------------------------------------------------------- clustering
+from shelfcast.operators import clustering as K  # noqa: E402
+from shelfcast.plans.demand import prepare_demand  # noqa: E402
+from shelfcast.plans.materialize import materialize  # noqa: E402
+
+PROFILE = list(K.PROFILE_COLUMNS)
+
+
+def q_product_profile(spark, sf_dir):
+    return rounded(K.product_profile(q_demand_daily(spark, sf_dir)), ["qty_avg"])
+
+
+def _profile(spark, sf_dir):
+    return materialize(K.product_profile(q_demand_daily(spark, sf_dir)), "profile")
+
+
+def q_boxcox(spark, sf_dir):
+    prof = _profile(spark, sf_dir)
+    return rounded(K.boxcox_lambdas(prof, grid=K.default_grid()), ["lmbda", "llf"])
+
+
+def q_standardize(spark, sf_dir):
+    prof = _profile(spark, sf_dir)
+    lam = K.boxcox_lambdas(prof, grid=K.default_grid())
+    z = K.standardize(K.apply_boxcox(prof, lam))
+    return rounded(z.select("stock_code", *PROFILE), PROFILE, 4)
+
+
+def q_series_matrix(spark, sf_dir):
+    return K.series_matrix(q_demand_daily(spark, sf_dir))
+
+
+def q_series_zscore(spark, sf_dir):
+    return rounded(K.series_zscore(q_demand_daily(spark, sf_dir)),
+                   ["series_mean", "series_std", "zero_z"])
+
+
+def q_select_k(spark, sf_dir):
+    feats = K.scaled_profile(q_demand_daily(spark, sf_dir), refine_rounds=2)
+    return K.select_k(feats, max_clusters=6)
+
+
+def q_item_cluster(spark, sf_dir):
+    return K.item_clusters(q_demand_daily(spark, sf_dir), max_clusters=6)
+
+
+def q_series_cluster(spark, sf_dir):
+    return K.series_clusters(q_demand_daily(spark, sf_dir), max_cluster=3)
+
+
+def q_prepare_demand(spark, sf_dir):
+    return prepare_demand(clean(spark, sf_dir), "day", ORDER, max_item_clusters=6)
+
+
+def q_prepare_demand_weekly(spark, sf_dir):
+    return prepare_demand(clean(spark, sf_dir), "week", ORDER, max_item_clusters=6)
+
+
+def cluster_queries() -> dict[str, Callable]:
+    return {
+        "product_profile": q_product_profile,
+        "boxcox": q_boxcox,
+        "standardize": q_standardize,
+        "series_matrix": q_series_matrix,
+        "series_zscore": q_series_zscore,
+        "select_k": q_select_k,
+        "item_cluster": q_item_cluster,
+        "series_cluster": q_series_cluster,
+        "prepare_demand": q_prepare_demand,
+        "prepare_demand_weekly": q_prepare_demand_weekly,
+    }
+
+
+_acc_queries = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _acc_queries()
+    q.update(cluster_queries())
+    return q
