@@ -337,3 +337,22 @@ def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_acc()
     out.update(cluster_sql())
     return out
+
+
+def model_sql() -> dict[str, str]:
+    te = """
+te_daily AS (SELECT stock_code, date, sum(CAST(qty AS DOUBLE)) AS sy, count(qty) AS n FROM demand GROUP BY stock_code, date)"""
+    body = ("SELECT stock_code, date, round((coalesce(sum(sy) OVER w, 0) + CAST(1.0 AS DOUBLE) * "
+            "(SELECT avg(CAST(qty AS DOUBLE)) FROM demand)) / (coalesce(sum(n) OVER w, 0) + CAST(1.0 AS DOUBLE)), 6) "
+            "AS stock_code_te FROM te_daily "
+            "WINDOW w AS (PARTITION BY stock_code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    return {"ordered_target_encoding": with_demand(body, extra_ctes=te)}
+
+
+_all_sql_cluster = all_sql
+
+
+def all_sql() -> dict[str, str]:  # noqa: F811
+    out = _all_sql_cluster()
+    out.update(model_sql())
+    return out

@@ -357,3 +357,110 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q = _acc_queries()
     q.update(cluster_queries())
     return q
+
+
+# ------------------------------------------------------------------- model
+from shelfcast.operators import modeling as MD  # noqa: E402
+
+# Fixed parameters of the registered model queries (kept small: each fits trees).
+MODEL_PARAMS = {"loss": "RMSE", "seed": 42, "iterations": 10, "max_depth": 4,
+                "eval_metric": "RMSE", "learning_rate": 0.3}
+
+
+def _demand_frozen(spark, sf_dir):
+    return materialize(q_demand_daily(spark, sf_dir), "demand")
+
+
+def _fitted(spark, sf_dir, weight: bool = False):
+    d = _demand_frozen(spark, sf_dir)
+    if weight:
+        d = d.withColumn("weight", (F.col("peak_season") + 1).cast("double"))
+    m = MD.DemandModel("demand", MODEL_PARAMS)
+    m.set_data(d, HORIZON, weight_col="weight" if weight else None)
+    return m.learn()
+
+
+def q_ordered_target_encoding(spark, sf_dir):
+    d = q_demand_daily(spark, sf_dir)
+    return rounded(MD.ordered_target_statistics(d, "stock_code"), ["stock_code_te"])
+
+
+def q_prepare_categoricals(spark, sf_dir):
+    d = _demand_frozen(spark, sf_dir).select("stock_code", "description")
+    out, _ = MD.prepare_categoricals(d, ["stock_code", "description"])
+    return out
+
+
+def q_fit_demand_model(spark, sf_dir):
+    return _fitted(spark, sf_dir).get_val_results()
+
+
+def q_early_stopping(spark, sf_dir):
+    m = _fitted(spark, sf_dir)
+    return spark.createDataFrame([(m.best_iteration, m.tree_count)], "best_iteration int, tree_count int")
+
+
+def q_learning_curve(spark, sf_dir):
+    return _fitted(spark, sf_dir).learning_curve()
+
+
+def q_predict(spark, sf_dir):
+    m = _fitted(spark, sf_dir)
+    return m.predict(m.val).select("stock_code", "date", "prediction")
+
+
+def q_model_score(spark, sf_dir):
+    m = _fitted(spark, sf_dir)
+    return spark.createDataFrame([(float(m.score()),)], "r2 double")
+
+
+def q_model_monthly_rmse(spark, sf_dir):
+    return _fitted(spark, sf_dir).get_monthly_rmse()
+
+
+def q_sample_weight(spark, sf_dir):
+    m = _fitted(spark, sf_dir, weight=True)
+    return m.predict(m.val).select("stock_code", "date", "weight", "prediction")
+
+
+def q_set_data_pool(spark, sf_dir):
+    m = _fitted(spark, sf_dir)
+    pool = MD.DemandModel("pool", MODEL_PARAMS)
+    pool.label, pool.date_col, pool.weight_col = "qty", "date", None
+    pool.feature_plan, pool.prep = m.feature_plan, m.prep
+    pool.set_data_pool(m.train, m.val).learn()
+    return pool.learning_curve()
+
+
+def q_feature_importance(spark, sf_dir):
+    return _fitted(spark, sf_dir).feature_importance()
+
+
+def q_feature_dependence(spark, sf_dir):
+    return _fitted(spark, sf_dir).feature_dependence("price", "qty_lag1d", points=5)
+
+
+def model_queries() -> dict[str, Callable]:
+    return {
+        "ordered_target_encoding": q_ordered_target_encoding,
+        "prepare_categoricals": q_prepare_categoricals,
+        "fit_demand_model": q_fit_demand_model,
+        "early_stopping": q_early_stopping,
+        "learning_curve": q_learning_curve,
+        "predict": q_predict,
+        "model_score": q_model_score,
+        "model_monthly_rmse": q_model_monthly_rmse,
+        "sample_weight": q_sample_weight,
+        "set_data_pool": q_set_data_pool,
+        "feature_importance": q_feature_importance,
+        "feature_dependence": q_feature_dependence,
+    }
+
+
+_cluster_q = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _cluster_q()
+    q.update(model_queries())
+    return q
