@@ -356,3 +356,28 @@ def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_cluster()
     out.update(model_sql())
     return out
+
+
+RAW_SELECT = ('invoice_id AS "Invoice", stock_code AS "StockCode", description AS "Description", '
+              'qty AS "Quantity", strftime(invoice_timestamp, \'%Y-%m-%d %H:%M:%S\') AS "InvoiceDate", '
+              'unit_price AS "Price", customer_id AS "Customer ID", country AS "Country"')
+
+
+def source_sql() -> dict[str, str]:
+    union_select = RAW_SELECT.replace('country AS "Country"',
+                                      'CASE WHEN year(invoice_timestamp) >= 1998 THEN NULL ELSE country END AS "Country"')
+    return {
+        "read_transactions": with_clean(f"SELECT {RAW_SELECT} FROM retail_tx"),
+        "union_parts": with_clean(f"SELECT {union_select} FROM retail_tx"),
+        "write_table": with_clean(f"SELECT {CLEAN_COLS} FROM clean"),
+        "item_accuracy_stream": with_demand("SELECT * FROM item_acc", extra_ctes=SCORED_CTES),
+    }
+
+
+_all_sql_model = all_sql
+
+
+def all_sql() -> dict[str, str]:  # noqa: F811
+    out = _all_sql_model()
+    out.update(source_sql())
+    return out

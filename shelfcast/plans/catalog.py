@@ -464,3 +464,67 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q = _cluster_q()
     q.update(model_queries())
     return q
+
+
+# ------------------------------------------------------ sources and stream
+from shelfcast.sources.files import RAW_SCHEMA, read_transactions, union_parts  # noqa: E402
+from shelfcast.streaming import run_item_accuracy  # noqa: E402
+
+RAW_NAMES = [f.name for f in RAW_SCHEMA.fields]
+
+
+def q_read_transactions(spark, sf_dir):
+    """S1 round trip: the raw view as an ISO-8859-1 TSV, read back typed."""
+    path = scratch_dir(spark, "raw-tsv")
+    write_table(raw_lines(spark, sf_dir).select(*RAW_NAMES), path, encoding="ISO-8859-1")
+    return read_transactions(spark, path).select(*RAW_NAMES)
+
+
+def q_union_parts(spark, sf_dir):
+    """Two text parts (the second without Country), stacked by name."""
+    raw = raw_lines(spark, sf_dir).select(*RAW_NAMES)
+    year = F.substring("InvoiceDate", 1, 4).cast("int")
+    p1, p2 = scratch_dir(spark, "part1"), scratch_dir(spark, "part2")
+    write_table(raw.where(year < 1998), p1, sep=",")
+    write_table(raw.where(year >= 1998).drop("Country"), p2, sep=",")
+    u = union_parts(spark, [p1, p2], sep=",", order_col=None)
+    return u.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+
+
+def q_write_table(spark, sf_dir):
+    """S3 round trip of the clean lines."""
+    path = scratch_dir(spark, "clean-tsv")
+    write_table(clean(spark, sf_dir).select(*CLEAN_COLS), path)
+    schema = ("invoice_id string, stock_code string, description string, qty int, price double, "
+              "customer_id string, country string, date date")
+    return (spark.read.schema(schema).option("sep", "\t").option("header", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(path))
+
+
+def q_item_accuracy_stream(spark, sf_dir):
+    """The accuracy table maintained by a stream over the scored files."""
+    src, out = scratch_dir(spark, "scored-stream"), scratch_dir(spark, "accuracy-out")
+    s = scored(spark, sf_dir).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    write_table(s, src, sep=";")
+    q = run_item_accuracy(spark, src, out)
+    q.awaitTermination()
+    return rounded(spark.read.parquet(out), ["bias", "rmse"])
+
+
+def source_queries() -> dict[str, Callable]:
+    return {
+        "read_transactions": q_read_transactions,
+        "union_parts": q_union_parts,
+        "write_table": q_write_table,
+        "item_accuracy_stream": q_item_accuracy_stream,
+    }
+
+
+_model_q = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _model_q()
+    q.update(source_queries())
+    return q

@@ -56,7 +56,8 @@ def read_transactions(spark: SparkSession, path: str | Sequence[str], *, sep: st
     / last-price rules need.
     """
     df = (spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
-          .option("inferSchema", False).csv(path))
+          .option("inferSchema", False).option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False).csv(path))
     missing = [f.name for f in RAW_SCHEMA.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"raw transactions lack columns {missing}")
@@ -75,7 +76,8 @@ def union_parts(spark: SparkSession, paths: Sequence[str], *, fmt: str = "csv",
     for i, p in enumerate(paths):
         reader = spark.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True).option("inferSchema", False)
+            reader = (reader.option("header", True).option("inferSchema", False)
+                      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
         for k, v in options.items():
             reader = reader.option(k, v)
         df = reader.load(p)
@@ -89,13 +91,20 @@ def union_parts(spark: SparkSession, paths: Sequence[str], *, fmt: str = "csv",
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "csv", sep: str = "\t", header: bool = True,
-                mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> None:
-    """S3: write a table; CSV output is a folder of tab-separated parts with a header."""
+                mode: str = "overwrite", partition_by: Sequence[str] | None = None,
+                encoding: str | None = None) -> None:
+    """S3: write a table; CSV output is a folder of tab-separated parts with a
+    header.  Leading/trailing blanks in text are kept (Spark's CSV writer
+    trims them by default)."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("sep", sep).option("header", header).csv(path)
+        writer = (writer.option("sep", sep).option("header", header)
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+        if encoding:
+            writer = writer.option("encoding", encoding)
+        writer.csv(path)
     else:
         writer.format(fmt).save(path)
 

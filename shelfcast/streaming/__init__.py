@@ -1,0 +1,5 @@
+"""Structured Streaming form of the item-accuracy service."""
+
+from shelfcast.streaming.accuracy_stream import item_accuracy_stream, run_item_accuracy
+
+__all__ = ["item_accuracy_stream", "run_item_accuracy"]
