@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -129,12 +131,14 @@ def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_ro
 
 
 def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
-             features_col: str = "features") -> DataFrame:
+             features_col: str = "features", parallelism: int = 4) -> DataFrame:
     """K4: silhouette for k = 2..max_clusters, as a (k, silhouette) table.
 
     Spark's silhouette uses squared Euclidean distance (scikit-learn's default
     is Euclidean), so the best k can differ from the original.  The input is
-    persisted for the loop of fits.
+    persisted once; the fits for different k are independent jobs and are
+    submitted concurrently (``parallelism`` driver threads), so small inputs
+    do not leave the cluster idle between short jobs.
     """
     if max_clusters < 2:
         raise ValueError("max_clusters must be at least 2.")
@@ -143,10 +147,14 @@ def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
         if data.limit(2).count() < 2:
             raise ValueError("Input data must have at least 2 samples.")
         evaluator = ClusteringEvaluator(featuresCol=features_col, metricName="silhouette")
-        scores = []
-        for k in range(2, max_clusters + 1):
+
+        def score(k: int) -> tuple[int, float]:
             model = KMeans(k=k, seed=seed, featuresCol=features_col).fit(data)
-            scores.append((k, float(evaluator.evaluate(model.transform(data)))))
+            return k, float(evaluator.evaluate(model.transform(data)))
+
+        ks = list(range(2, max_clusters + 1))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
+            scores = list(pool.map(score, ks))
     finally:
         data.unpersist()
     return features.sparkSession.createDataFrame(scores, "k int, silhouette double")
