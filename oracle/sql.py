@@ -381,3 +381,25 @@ def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_model()
     out.update(source_sql())
     return out
+
+
+def rule_sql() -> dict[str, str]:
+    renamed = ("invoice_id, stock_code, description, qty, "
+               "strftime(invoice_timestamp, '%Y-%m-%d %H:%M:%S') AS invoice_timestamp, "
+               "unit_price, customer_id, country")
+    return {
+        "rename_columns": with_clean(f"SELECT {renamed} FROM retail_tx"),
+        "peak_season": with_demand("SELECT stock_code, date, month, peak_season FROM demand"),
+        "qty_lags": with_demand("SELECT stock_code, description, price, date, month, year, qty, "
+                                "qty_lag1d, qty_lag5d, qty_lag7d, qty_lag30d FROM demand"),
+        "bias_message": with_demand("SELECT item, message FROM item_acc", extra_ctes=SCORED_CTES),
+    }
+
+
+_all_sql_source = all_sql
+
+
+def all_sql() -> dict[str, str]:  # noqa: F811
+    out = _all_sql_source()
+    out.update(rule_sql())
+    return out

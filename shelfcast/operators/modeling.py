@@ -146,11 +146,23 @@ class DemandModel:
         self.set_data_pool(self.prep.transform(train), self.prep.transform(val))
         return self
 
-    def set_data_pool(self, train: DataFrame, val: DataFrame):
-        """Ready train and validation sets with ``features`` and the label."""
+    def set_data_pool(self, train: DataFrame, val: DataFrame, persist: bool = True):
+        """Ready train and validation sets with ``features`` and the label.
+
+        Both are read by the fit, by the per-iteration evaluation of each, by
+        a refit and by the result tables, so they are persisted (memory and
+        disk; a lost block is recomputed from lineage).  ``release()`` frees them.
+        """
+        if persist:
+            train, val = train.persist(), val.persist()
         self.train, self.val = train, val
         return self
 
+    def release(self):
+        """Unpersist the training and validation sets."""
+        self.train.unpersist()
+        self.val.unpersist()
+
     # -- model --------------------------------------------------------------
     def _regressor(self, iterations: int) -> GBTRegressor:
         p = self.params

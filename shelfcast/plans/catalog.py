@@ -528,3 +528,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q = _model_q()
     q.update(source_queries())
     return q
+
+
+# ------------------------------------------------- single-rule entry points
+def q_rename_columns(spark, sf_dir):
+    """Raw header names -> working names (timestamps still text)."""
+    return C.rename_columns(raw_lines(spark, sf_dir)).drop(ORDER)
+
+
+def q_peak_season(spark, sf_dir):
+    """F10 on the demand table."""
+    return q_demand_daily(spark, sf_dir).select("stock_code", "date", "month", "peak_season")
+
+
+def q_qty_lags(spark, sf_dir):
+    """F11 (chronological order) on the demand table."""
+    return q_demand_daily(spark, sf_dir).select(
+        "stock_code", "description", "price", "date", "month", "year", "qty",
+        *[f"qty_lag{n}d" for n in FT.QTY_LAGS])
+
+
+def q_bias_message(spark, sf_dir):
+    """A3: the message per item from the sign of its bias."""
+    return A.item_accuracy(scored(spark, sf_dir)).select("item", "message")
+
+
+_source_q = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _source_q()
+    q.update({"rename_columns": q_rename_columns, "peak_season": q_peak_season,
+              "qty_lags": q_qty_lags, "bias_message": q_bias_message})
+    return q
