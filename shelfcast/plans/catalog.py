@@ -503,13 +503,11 @@ def q_write_table(spark, sf_dir):
 
 
 def q_item_accuracy_stream(spark, sf_dir):
-    """The accuracy table maintained by a stream over the scored files."""
-    src, out = scratch_dir(spark, "scored-stream"), scratch_dir(spark, "accuracy-out")
+    """The accuracy table over scored files ingested by a stream."""
+    src, ledger = scratch_dir(spark, "scored-stream"), scratch_dir(spark, "scored-ledger")
     s = scored(spark, sf_dir).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     write_table(s, src, sep=";")
-    q = run_item_accuracy(spark, src, out)
-    q.awaitTermination()
-    return rounded(spark.read.parquet(out), ["bias", "rmse"])
+    return rounded(run_item_accuracy(spark, src, ledger), ["bias", "rmse"])
 
 
 def source_queries() -> dict[str, Callable]:

@@ -1,5 +1,6 @@
-"""Structured Streaming form of the item-accuracy service."""
+"""Structured Streaming ingest for the item-accuracy table."""
 
-from shelfcast.streaming.accuracy_stream import item_accuracy_stream, run_item_accuracy
+from shelfcast.streaming.accuracy_stream import (ingest_scored, item_accuracy_stream, run_item_accuracy,
+                                                 scored_stream)
 
-__all__ = ["item_accuracy_stream", "run_item_accuracy"]
+__all__ = ["ingest_scored", "item_accuracy_stream", "run_item_accuracy", "scored_stream"]

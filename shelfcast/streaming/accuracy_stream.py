@@ -1,10 +1,15 @@
-"""Item accuracy over a stream of scored files.
+"""Item accuracy fed by a stream of scored files.
 
 The original loads one scored file at start-up and answers per-item requests
-from it.  As a stream, each new scored file updates per-item running sums
-(predictions, actuals, squared error, rows) held in the state store; the
-output is the same table as ``operators.accuracy.item_accuracy``.  State is
-one row per item, bounded by the catalogue, not by the number of files.
+from it.  Here a Structured Streaming job ingests every new scored file into
+a Parquet ledger (file sink, append mode: exactly-once through the sink's
+metadata log and the checkpoint in the shared folder, so a restarted driver
+resumes where it stopped).  The per-item table is the batch
+``item_accuracy`` over the ledger, so it always reflects every file ingested.
+
+Only built-in sinks are used: no ``foreachBatch`` (which would need a Python
+callback server on the driver) and no memory sink (which would hold the
+results in the driver).
 """
 
 from __future__ import annotations
@@ -13,42 +18,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfcast.functions import bias_message
+from shelfcast.operators.accuracy import item_accuracy
 from shelfcast.session import scratch_dir
 from shelfcast.sources.files import SCORED_SCHEMA
 
 
-def item_accuracy_stream(spark: SparkSession, scored_dir: str, sep: str = ";",
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming DataFrame of per-item accuracy over ``scored_dir``."""
+def scored_stream(spark: SparkSession, scored_dir: str, sep: str = ";",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame over the scored files (typed, bad rows fail)."""
     reader = (spark.readStream.schema(SCORED_SCHEMA).option("sep", sep).option("header", True)
               .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.csv(scored_dir)
-    agg = src.groupBy("stock_code").agg(
-        F.sum("predictions").alias("_p"), F.sum("qty").alias("_q"),
-        F.sum(F.pow(F.col("predictions") - F.col("qty"), 2)).alias("_se"),
-        F.count(F.lit(1)).alias("n_rows"))
-    bias = F.try_divide(F.col("_p"), F.col("_q")) - 1
-    return agg.select(F.col("stock_code").alias("item"), bias.alias("bias"),
-                      F.sqrt(F.col("_se") / F.col("n_rows")).alias("rmse"), "n_rows",
-                      bias_message(bias, F.col("stock_code")).alias("message"))
-
-
-def run_item_accuracy(spark: SparkSession, scored_dir: str, out_path: str,
-                      checkpoint_location: str | None = None, available_now: bool = True,
-                      **kw) -> StreamingQuery:
-    """Start the stream; each micro-batch rewrites the complete per-item
-    table at ``out_path`` (Parquet).  The checkpoint lives in the shared
-    checkpoint folder, so a restarted driver resumes where it stopped."""
-    stream = item_accuracy_stream(spark, scored_dir, **kw)
-    ckpt = checkpoint_location or scratch_dir(spark, "accuracy-stream-ckpt")
-
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
-
-    writer = (stream.writeStream.outputMode("complete").foreachBatch(write_batch)
-              .option("checkpointLocation", ckpt))
+    return reader.csv(scored_dir).withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def ingest_scored(spark: SparkSession, scored_dir: str, ledger_path: str,
+                  checkpoint_location: str | None = None, available_now: bool = True,
+                  **kw) -> StreamingQuery:
+    """Start the ingest stream (append to the Parquet ledger)."""
+    ckpt = checkpoint_location or scratch_dir(spark, "scored-ingest-ckpt")
+    writer = (scored_stream(spark, scored_dir, **kw).writeStream.format("parquet")
+              .outputMode("append").option("path", ledger_path).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def item_accuracy_stream(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """The per-item accuracy table over everything ingested so far."""
+    return item_accuracy(spark.read.parquet(ledger_path))
+
+
+def run_item_accuracy(spark: SparkSession, scored_dir: str, ledger_path: str, **kw) -> DataFrame:
+    """Ingest what is available now, wait for it, return the accuracy table."""
+    q = ingest_scored(spark, scored_dir, ledger_path, **kw)
+    q.awaitTermination()
+    return item_accuracy_stream(spark, ledger_path)

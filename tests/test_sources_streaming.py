@@ -30,17 +30,22 @@ def test_union_parts_fills_missing(spark):
     assert [tuple(r) for r in rows] == [("1", "a"), ("2", None)]
 
 
-def test_stream_equals_batch(spark):
+def test_stream_equals_batch_and_resumes(spark):
     from shelfcast.streaming import run_item_accuracy
-    src, out = scratch_dir(spark, "t-stream"), scratch_dir(spark, "t-stream-out")
+    src, ledger = scratch_dir(spark, "t-stream"), scratch_dir(spark, "t-ledger")
+    ckpt = scratch_dir(spark, "t-ckpt")
     rows = [("A", "2011-01-03", 10.0, 9.0), ("A", "2011-01-04", 10.0, 9.0), ("B", "2011-01-03", 4.0, 6.0)]
     df = spark.createDataFrame(rows, "stock_code string, date string, qty double, predictions double")
     write_table(df, src, sep=";")
-    run_item_accuracy(spark, src, out).awaitTermination()
-    got = {r.item: (round(r.bias, 9), round(r.rmse, 9), r.n_rows) for r in spark.read.parquet(out).collect()}
+    acc = run_item_accuracy(spark, src, ledger, checkpoint_location=ckpt)
+    got = {r.item: (round(r.bias, 9), round(r.rmse, 9), r.n_rows) for r in acc.collect()}
     batch = A.item_accuracy(read_scored(spark, src))
     want = {r.item: (round(r.bias, 9), round(r.rmse, 9), r.n_rows) for r in batch.collect()}
     assert got == want
+    # New files arrive in the same folder: only they are ingested on restart.
+    write_table(df, src, sep=";", mode="append")
+    again = run_item_accuracy(spark, src, ledger, checkpoint_location=ckpt)
+    assert {r.item: r.n_rows for r in again.collect()} == {"A": 4, "B": 2}
 
 
 def test_entry_and_registry(spark):
