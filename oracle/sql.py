@@ -219,12 +219,6 @@ def feature_sql() -> dict[str, str]:
     }
 
 
-def all_sql() -> dict[str, str]:
-    out = {}
-    out.update(stage_sql())
-    out.update(misc_clean_sql())
-    out.update(feature_sql())
-    return out
 
 
 HORIZON = "2000-01-01"
@@ -271,14 +265,6 @@ def accuracy_sql() -> dict[str, str]:
     }
 
 
-_all_sql_base = all_sql
-
-
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_base()
-    out.update(accuracy_sql())
-    return out
-
 
 PROFILE = ("price_mode", "price_median", "price_last", "qty_avg", "qty_median")
 _BC = "CASE WHEN lmbda = 0 THEN ln(x) ELSE (pow(x, lmbda) - 1) / lmbda END"
@@ -330,14 +316,6 @@ def cluster_sql() -> dict[str, str]:
     }
 
 
-_all_sql_acc = all_sql
-
-
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_acc()
-    out.update(cluster_sql())
-    return out
-
 
 def model_sql() -> dict[str, str]:
     te = """
@@ -349,14 +327,6 @@ te_daily AS (SELECT stock_code, date, sum(CAST(qty AS DOUBLE)) AS sy, count(qty)
     return {"ordered_target_encoding": with_demand(body, extra_ctes=te)}
 
 
-_all_sql_cluster = all_sql
-
-
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_cluster()
-    out.update(model_sql())
-    return out
-
 
 RAW_SELECT = ('invoice_id AS "Invoice", stock_code AS "StockCode", description AS "Description", '
               'qty AS "Quantity", strftime(invoice_timestamp, \'%Y-%m-%d %H:%M:%S\') AS "InvoiceDate", '
@@ -374,14 +344,6 @@ def source_sql() -> dict[str, str]:
     }
 
 
-_all_sql_model = all_sql
-
-
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_model()
-    out.update(source_sql())
-    return out
-
 
 def rule_sql() -> dict[str, str]:
     renamed = ("invoice_id, stock_code, description, qty, "
@@ -396,10 +358,10 @@ def rule_sql() -> dict[str, str]:
     }
 
 
-_all_sql_source = all_sql
-
-
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_source()
-    out.update(rule_sql())
+def all_sql() -> dict[str, str]:
+    """Oracle SQL for every exactly checkable key."""
+    out: dict[str, str] = {}
+    for group in (stage_sql, misc_clean_sql, feature_sql, rule_sql, accuracy_sql, cluster_sql,
+                  model_sql, source_sql):
+        out.update(group())
     return out

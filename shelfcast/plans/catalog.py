@@ -11,12 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators import accuracy as A
 from shelfcast.operators import cleaning as C
+from shelfcast.operators import clustering as K
+from shelfcast.operators import evaluation as EV
 from shelfcast.operators import features as FT
 from shelfcast.operators import matching as M
+from shelfcast.operators import modeling as MD
 from shelfcast.plans.cleaning import clean_stage_frames, cleaning_audit
-from shelfcast.plans.demand import demand_table
+from shelfcast.plans.demand import demand_table, prepare_demand
+from shelfcast.plans.materialize import materialize
+from shelfcast.session import scratch_dir
+from shelfcast.sources.files import RAW_SCHEMA, read_scored, read_transactions, union_parts, write_table
 from shelfcast.sources.retail_view import retail_transactions
+from shelfcast.streaming import run_item_accuracy
 
 LINE_COLS = ["invoice_id", "stock_code", "description", "qty", "invoice_timestamp", "unit_price",
              "customer_id", "country", "invoice_date"]
@@ -149,7 +157,7 @@ STAGE_COLUMNS = {
 }
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def cleaning_feature_queries() -> dict[str, Callable]:
     q: dict[str, Callable] = {k: _stage(k, cols) for k, cols in STAGE_COLUMNS.items()}
     q["clean_transactions"] = _stage("finalize_columns", CLEAN_COLS)
     q.update({
@@ -175,10 +183,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ---------------------------------------------------------------- accuracy
-from shelfcast.operators import accuracy as A  # noqa: E402
-from shelfcast.operators import evaluation as EV  # noqa: E402
-from shelfcast.sources.files import read_scored, write_table  # noqa: E402
-from shelfcast.session import scratch_dir  # noqa: E402
 
 # Fixed parameter of the registered evaluation queries: first validation day.
 HORIZON = "2000-01-01"
@@ -268,19 +272,8 @@ def accuracy_queries() -> dict[str, Callable]:
     }
 
 
-_base_queries = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _base_queries()
-    q.update(accuracy_queries())
-    return q
-
 
 # -------------------------------------------------------------- clustering
-from shelfcast.operators import clustering as K  # noqa: E402
-from shelfcast.plans.demand import prepare_demand  # noqa: E402
-from shelfcast.plans.materialize import materialize  # noqa: E402
 
 PROFILE = list(K.PROFILE_COLUMNS)
 
@@ -350,17 +343,8 @@ def cluster_queries() -> dict[str, Callable]:
     }
 
 
-_acc_queries = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _acc_queries()
-    q.update(cluster_queries())
-    return q
-
 
 # ------------------------------------------------------------------- model
-from shelfcast.operators import modeling as MD  # noqa: E402
 
 # Fixed parameters of the registered model queries (kept small: each fits trees).
 MODEL_PARAMS = {"loss": "RMSE", "seed": 42, "iterations": 10, "max_depth": 4,
@@ -457,18 +441,8 @@ def model_queries() -> dict[str, Callable]:
     }
 
 
-_cluster_q = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _cluster_q()
-    q.update(model_queries())
-    return q
-
 
 # ------------------------------------------------------ sources and stream
-from shelfcast.sources.files import RAW_SCHEMA, read_transactions, union_parts  # noqa: E402
-from shelfcast.streaming import run_item_accuracy  # noqa: E402
 
 RAW_NAMES = [f.name for f in RAW_SCHEMA.fields]
 
@@ -519,14 +493,6 @@ def source_queries() -> dict[str, Callable]:
     }
 
 
-_model_q = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _model_q()
-    q.update(source_queries())
-    return q
-
 
 # ------------------------------------------------- single-rule entry points
 def q_rename_columns(spark, sf_dir):
@@ -551,11 +517,15 @@ def q_bias_message(spark, sf_dir):
     return A.item_accuracy(scored(spark, sf_dir)).select("item", "message")
 
 
-_source_q = queries
+def single_rule_queries() -> dict[str, Callable]:
+    return {"rename_columns": q_rename_columns, "peak_season": q_peak_season,
+            "qty_lags": q_qty_lags, "bias_message": q_bias_message}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _source_q()
-    q.update({"rename_columns": q_rename_columns, "peak_season": q_peak_season,
-              "qty_lags": q_qty_lags, "bias_message": q_bias_message})
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query, by key."""
+    q: dict[str, Callable] = {}
+    for group in (cleaning_feature_queries, single_rule_queries, accuracy_queries, cluster_queries,
+                  model_queries, source_queries):
+        q.update(group())
     return q
