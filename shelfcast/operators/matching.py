@@ -20,35 +20,46 @@ def _match_qty(df: DataFrame) -> Column:
     return F.when(F.col("is_cancelled"), -q).otherwise(q)
 
 
+def _key_cond(left: str, right: str, df: DataFrame) -> Column:
+    # Null customers match each other (the original compares the text 'nan'):
+    # null-safe equality, still planned as an equi-join key.
+    return ((F.col(f"{left}.stock_code") == F.col(f"{right}.stock_code"))
+            & F.col(f"{left}.customer_id").eqNullSafe(F.col(f"{right}.customer_id"))
+            & (F.col(f"{left}.match_qty") == F.col(f"{right}.match_qty")))
+
+
 def _match_groups(df: DataFrame, order_col: str) -> DataFrame:
     """One row per (stock, customer, matched qty) that has both a cancellation
     and a sale: the first sale's order and invoice.
 
-    A group-by with map-side partial aggregation, so a hot key (one product
-    bought by anonymous customers in units of one, say) collapses to one
-    partial row per task before the shuffle instead of landing in one task.
+    Two steps, both pre-aggregated map-side so a hot key (one product bought
+    by anonymous customers in units of one, say) collapses before the
+    shuffle: (1) a hash aggregate of the has-cancel / has-sale flags over all
+    lines; (2) the first sale, a struct minimum (sort-based aggregate), only
+    over the sales of matched keys, so the sort never sees the whole input.
     """
-    sale = ~F.col("is_cancelled")
-    first_sale = F.min(F.when(sale, F.struct(F.col(order_col).alias("o"),
-                                             F.col("invoice_id").alias("inv"))))
-    return (df.groupBy("stock_code", "customer_id", _match_qty(df).alias("match_qty"))
-            .agg(F.max(F.col("is_cancelled").cast("int")).alias("has_cancel"),
-                 F.max(sale.cast("int")).alias("has_sale"),
-                 first_sale.alias("first_sale"))
-            .where((F.col("has_cancel") == 1) & (F.col("has_sale") == 1))
-            .select("stock_code", "customer_id", "match_qty",
-                    F.col("first_sale.o").alias("first_sale_order"),
-                    F.col("first_sale.inv").alias("matching_invoice")))
+    keyed = df.select("stock_code", "customer_id", _match_qty(df).alias("match_qty"),
+                      "is_cancelled", F.col(order_col).alias("o"), F.col("invoice_id").alias("inv"))
+    flags = (keyed.groupBy("stock_code", "customer_id", "match_qty")
+             .agg(F.max(F.col("is_cancelled").cast("int")).alias("has_cancel"),
+                  F.max((~F.col("is_cancelled")).cast("int")).alias("has_sale"))
+             .where((F.col("has_cancel") == 1) & (F.col("has_sale") == 1))
+             .select("stock_code", "customer_id", "match_qty"))
+    sales = keyed.where(~F.col("is_cancelled")).alias("s")
+    matched_sales = sales.join(flags.alias("k"), _key_cond("s", "k", df), "left_semi")
+    first = (matched_sales.groupBy("stock_code", "customer_id", "match_qty")
+             .agg(F.min(F.struct("o", "inv")).alias("first_sale")))
+    return first.select("stock_code", "customer_id", "match_qty",
+                        F.col("first_sale.o").alias("first_sale_order"),
+                        F.col("first_sale.inv").alias("matching_invoice"))
 
 
 def _join_groups(df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+    d = df.withColumn("_match_qty", _match_qty(df)).alias("d")
     g = groups.alias("g")
-    d = df.alias("d")
-    # Null customers match each other (the original compares the text 'nan'):
-    # null-safe equality, still planned as an equi-join key.
     cond = ((F.col("d.stock_code") == F.col("g.stock_code"))
             & F.col("d.customer_id").eqNullSafe(F.col("g.customer_id"))
-            & (_match_qty(df) == F.col("g.match_qty")))
+            & (F.col("d._match_qty") == F.col("g.match_qty")))
     return d.join(g, cond, how)
 
 
@@ -72,7 +83,7 @@ def net_cancellations(df: DataFrame, order_col: str = "row_order",
     matched = F.col("g.match_qty").isNotNull()
     drop = matched & (F.col("d.is_cancelled")
                       | (F.col(f"d.{order_col}") == F.col("g.first_sale_order")))
-    return joined.where(~drop).select("d.*")
+    return joined.where(~drop).select(*[F.col(f"d.`{c}`") for c in df.columns])
 
 
 def cancellation_pairs(df: DataFrame, order_col: str = "row_order") -> DataFrame:
