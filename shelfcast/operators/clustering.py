@@ -201,7 +201,9 @@ def series_stats(demand: DataFrame) -> DataFrame:
     """K7: per stock, z-score parameters of its series over *all* dates of the
     table (zero days included without being stored): sample deviation."""
     cells = series_matrix(demand)
-    n = demand.agg(F.count_distinct("date").cast("double")).scalar()
+    # One number (the pivot's date count), fetched once: as a scalar subquery
+    # it would be re-evaluated for each of its four references.
+    n = F.lit(float(demand.agg(F.count_distinct("date")).first()[0]))
     s = cells.groupBy("stock_code").agg(F.sum("qty").cast("double").alias("s1"),
                                         F.sum(F.pow("qty", 2)).alias("s2"))
     mean = F.col("s1") / n
