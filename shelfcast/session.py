@@ -44,11 +44,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins.  Only a session without one (local tests) gets a fresh
-    temporary folder.
+    always wins.  Only a local session without one (tests) gets a fresh
+    temporary folder; on a cluster a machine-local folder would be invisible
+    to the executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
