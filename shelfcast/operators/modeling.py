@@ -122,13 +122,19 @@ class DemandModel:
 
     # -- data ---------------------------------------------------------------
     def set_data(self, df: DataFrame, horizon: str, label: str = "qty", date_col: str = "date",
-                 weight_col: str | None = None, exclude: tuple[str, ...] = (), max_bins: int = 32):
+                 weight_col: str | None = None, exclude: tuple[str, ...] = (), max_bins: int = 32,
+                 categorical: tuple[str, ...] = ("product_type", "time_series_type")):
         """M2/M3: split by date; build features on the training side only.
 
+        ``categorical`` columns (the cluster labels, object-typed in the
+        original) are cast to text so they are treated as categories.
         Weights travel with their rows (the original passed the unsplit
         weight vector to both sides)."""
         self.label, self.date_col, self.weight_col = label, date_col, weight_col
         self.horizon = horizon
+        cats = [c for c in categorical if c in df.columns]
+        if cats:
+            df = df.withColumns({c: F.col(c).cast("string") for c in cats})
         ex = tuple(exclude) + ((weight_col,) if weight_col else ())
         plan = plan_features(df, label, date_col, ex, max_bins)
         train_mask = F.col(date_col) < F.lit(horizon).cast("date")

@@ -309,11 +309,11 @@ def q_series_zscore(spark, sf_dir):
 
 def q_select_k(spark, sf_dir):
     feats = K.scaled_profile(q_demand_daily(spark, sf_dir), refine_rounds=2)
-    return K.select_k(feats, max_clusters=6)
+    return K.select_k(feats, max_clusters=10)
 
 
 def q_item_cluster(spark, sf_dir):
-    return K.item_clusters(q_demand_daily(spark, sf_dir), max_clusters=6)
+    return K.item_clusters(q_demand_daily(spark, sf_dir), max_clusters=10)
 
 
 def q_series_cluster(spark, sf_dir):
@@ -321,11 +321,11 @@ def q_series_cluster(spark, sf_dir):
 
 
 def q_prepare_demand(spark, sf_dir):
-    return prepare_demand(clean(spark, sf_dir), "day", ORDER, max_item_clusters=6)
+    return prepare_demand(clean(spark, sf_dir), "day", ORDER)
 
 
 def q_prepare_demand_weekly(spark, sf_dir):
-    return prepare_demand(clean(spark, sf_dir), "week", ORDER, max_item_clusters=6)
+    return prepare_demand(clean(spark, sf_dir), "week", ORDER)
 
 
 def cluster_queries() -> dict[str, Callable]:
