@@ -131,7 +131,7 @@ def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_ro
 
 
 def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
-             features_col: str = "features", parallelism: int = 4) -> DataFrame:
+             features_col: str = "features", parallelism: int = 8) -> DataFrame:
     """K4: silhouette for k = 2..max_clusters, as a (k, silhouette) table.
 
     Spark's silhouette uses squared Euclidean distance (scikit-learn's default
