@@ -30,8 +30,7 @@ from shelfcast.operators import modeling as MD  # noqa: E402
 from shelfcast.plans.catalog import raw_lines  # noqa: E402
 from shelfcast.plans.cleaning import clean_transactions  # noqa: E402
 from shelfcast.plans.demand import demand_table  # noqa: E402
-from shelfcast.plans.materialize import materialize  # noqa: E402
-from shelfcast.session import build_session  # noqa: E402
+from shelfcast.session import build_session, materialize  # noqa: E402
 
 
 def force(df):

@@ -21,8 +21,7 @@ from shelfcast.operators import clustering as K  # noqa: E402
 from shelfcast.operators import modeling as MD  # noqa: E402
 from shelfcast.plans import catalog  # noqa: E402
 from shelfcast.plans.demand import demand_table  # noqa: E402
-from shelfcast.plans.materialize import materialize  # noqa: E402
-from shelfcast.session import build_session  # noqa: E402
+from shelfcast.session import build_session, materialize  # noqa: E402
 
 OPS = ("Scan", "Exchange", "BroadcastExchange", "HashAggregate", "SortAggregate", "ObjectHashAggregate",
        "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",

@@ -5,6 +5,6 @@ small fitted-model wrapper for the ``pyspark.ml`` stages), so a whole
 pipeline stays one lazy plan that Catalyst optimises end to end.
 """
 
-from shelfcast.session import build_session, scratch_dir
+from shelfcast.session import build_session, materialize, scratch_dir
 
-__all__ = ["build_session", "scratch_dir"]
+__all__ = ["build_session", "materialize", "scratch_dir"]

@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.plans.materialize import materialize
+from shelfcast.session import materialize
 
 PROFILE_COLUMNS = ("price_mode", "price_median", "price_last", "qty_avg", "qty_median")
 
@@ -185,7 +185,7 @@ def _freeze(df: DataFrame) -> DataFrame:
     return materialize(df, "labels")
 
 
-def item_cluster(demand: DataFrame, max_clusters: int = 10, seed: int = 42, **kw) -> DataFrame:  # noqa: D401
+def item_cluster(demand: DataFrame, max_clusters: int = 10, seed: int = 42, **kw) -> DataFrame:
     """K5: add ``product_type`` to the demand table (join on stock)."""
     labels = item_clusters(demand, max_clusters, seed, **kw)
     return demand.join(labels, "stock_code", "left")

@@ -20,8 +20,7 @@ from shelfcast.operators import matching as M
 from shelfcast.operators import modeling as MD
 from shelfcast.plans.cleaning import clean_stage_frames, cleaning_audit
 from shelfcast.plans.demand import demand_table, prepare_demand
-from shelfcast.plans.materialize import materialize
-from shelfcast.session import scratch_dir
+from shelfcast.session import materialize, scratch_dir
 from shelfcast.sources.files import RAW_SCHEMA, read_scored, read_transactions, union_parts, write_table
 from shelfcast.sources.retail_view import retail_transactions
 from shelfcast.streaming import run_item_accuracy

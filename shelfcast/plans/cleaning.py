@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import cleaning as C
 from shelfcast.operators import matching as M
-from shelfcast.plans.materialize import materialize
+from shelfcast.session import materialize
 
 
 def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile: float = 0.995,

@@ -31,7 +31,7 @@ def prepare_demand(clean: DataFrame, level: str = "day", order_col: str = "row_o
     d = FT.add_peak_season(d)
     if with_clusters:
         from shelfcast.operators import clustering as K
-        from shelfcast.plans.materialize import materialize
+        from shelfcast.session import materialize
         # The demand table feeds both segmentations, their join-backs and the
         # lag window: write it once.
         d = materialize(d, f"demand-{level}")

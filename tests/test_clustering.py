@@ -55,7 +55,7 @@ def test_select_k_errors(spark):
 @pytest.fixture(scope="module")
 def daily(spark, clean_small):
     from shelfcast.plans.demand import demand_table
-    from shelfcast.plans.materialize import materialize
+    from shelfcast.session import materialize
     return materialize(demand_table(clean_small, "day"), "test-daily")
 
 

@@ -37,7 +37,7 @@ def test_permute_column_keeps_values(spark):
 @pytest.fixture(scope="module")
 def fitted(spark, clean_small):
     from shelfcast.plans.demand import demand_table
-    from shelfcast.plans.materialize import materialize
+    from shelfcast.session import materialize
     d = materialize(demand_table(clean_small, "day"), "test-model")
     m = MD.DemandModel("t", {"loss": "RMSE", "seed": 42, "iterations": 8, "max_depth": 3,
                              "learning_rate": 0.3})
