@@ -66,11 +66,14 @@ def read_transactions(spark: SparkSession, path: str | Sequence[str], *, sep: st
 
 
 def union_parts(spark: SparkSession, paths: Sequence[str], *, fmt: str = "csv",
-                order_col: str | None = "row_order", **options) -> DataFrame:
+                order_col: str | None = "row_order", save_to: str | None = None,
+                save_options: dict | None = None, **options) -> DataFrame:
     """Read every part (one file per original sheet) as untyped text and stack them.
 
     Columns absent from a part come back null, as with a pandas concat.  The
     optional ``order_col`` keeps part order, then file order within a part.
+    ``save_to`` also writes the stacked table (``write_table`` options in
+    ``save_options``) and returns it read back from there.
     """
     frames = []
     for i, p in enumerate(paths):
@@ -87,6 +90,14 @@ def union_parts(spark: SparkSession, paths: Sequence[str], *, fmt: str = "csv",
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
+    if save_to:
+        opts = dict(save_options or {})
+        write_table(out, save_to, **opts)
+        if opts.get("fmt", "csv") == "csv":
+            return (spark.read.option("sep", opts.get("sep", "\t")).option("header", True)
+                    .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                    .csv(save_to))
+        return spark.read.format(opts["fmt"]).load(save_to)
     return out
 
 

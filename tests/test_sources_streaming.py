@@ -30,6 +30,14 @@ def test_union_parts_fills_missing(spark):
     assert [tuple(r) for r in rows] == [("1", "a"), ("2", None)]
 
 
+def test_union_parts_save(spark):
+    p1, p2, out = scratch_dir(spark, "t-s1"), scratch_dir(spark, "t-s2"), scratch_dir(spark, "t-sout")
+    write_table(spark.createDataFrame([("1", " a ")], "Invoice string, Country string"), p1, sep=",")
+    write_table(spark.createDataFrame([("2",)], "Invoice string"), p2, sep=",")
+    saved = union_parts(spark, [p1, p2], sep=",", order_col=None, save_to=out)
+    assert sorted((r.Invoice, r.Country) for r in saved.collect()) == [("1", " a "), ("2", None)]
+
+
 def test_stream_equals_batch_and_resumes(spark):
     from shelfcast.streaming import run_item_accuracy
     src, ledger = scratch_dir(spark, "t-stream"), scratch_dir(spark, "t-ledger")
