@@ -200,6 +200,16 @@ class DemandModel:
         spark = self.train.sparkSession
         return spark.createDataFrame(self.curve, "iter int, train_rmse double, val_rmse double")
 
+    def write_training_log(self, directory: str) -> None:
+        """M6 log files: ``learn_error`` and ``test_error`` tables (iter, RMSE),
+        tab separated with a header, under ``directory`` (the original logs
+        into a folder named after the model)."""
+        from shelfcast.sources.files import write_table
+        curve = self.learning_curve()
+        for side, col in (("learn_error", "train_rmse"), ("test_error", "val_rmse")):
+            write_table(curve.select("iter", F.col(col).alias("RMSE")).coalesce(1),
+                        f"{directory}/{side}")
+
     def predict(self, df: DataFrame) -> DataFrame:
         """M8: add ``prediction``."""
         return self.model.transform(df)

@@ -66,3 +66,11 @@ def test_high_cardinality_strings_are_encoded(fitted):
     plan = fitted.feature_plan
     assert "stock_code" in plan.encoded + plan.indexed
     assert "date" not in plan.vector_inputs()
+
+
+def test_training_log_files(spark, fitted):
+    from shelfcast.session import scratch_dir
+    d = scratch_dir(spark, "t-log")
+    fitted.write_training_log(d)
+    learn = spark.read.option("sep", "\t").option("header", True).csv(f"{d}/learn_error")
+    assert learn.columns == ["iter", "RMSE"] and learn.count() == 8
