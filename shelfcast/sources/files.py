@@ -124,3 +124,20 @@ def read_scored(spark: SparkSession, path: str | Sequence[str], *, sep: str = ";
     """Read the scored-predictions file (stock_code, date, qty, predictions)."""
     return (spark.read.schema(SCORED_SCHEMA).option("sep", sep).option("header", True)
             .option("mode", "FAILFAST").csv(path))
+
+
+def land_transactions(df: DataFrame, order_col: str = "row_order", how: str = "parquet") -> DataFrame:
+    """Ingest step: write the raw lines once as Parquet with a compact order.
+
+    The struct file order is replaced by a ``long`` with the same order: a
+    distributed range sort on the struct, then ``monotonically_increasing_id``
+    (increasing across the sorted range partitions), written to the shared
+    checkpoint folder so the ids are fixed.  Afterwards every "first"/"last"
+    of the cleaning rules is a hash aggregate instead of a sort-based one,
+    and both branches that read the lines scan columnar data.  Worth it when
+    the landed table is cleaned more than once (about 2x faster cleaning at
+    sf0.1; landing costs about one cleaning run).
+    """
+    from shelfcast.session import materialize
+    ordered = df.orderBy(order_col).withColumn(order_col, F.monotonically_increasing_id())
+    return materialize(ordered, "landed", how)

@@ -39,3 +39,18 @@ def test_union_parts_parquet(spark):
     rows = union_parts(spark, [p1, p2], fmt="parquet").orderBy("row_order").drop("row_order").collect()
     assert [r.asDict() for r in rows] == [{"Quantity": "1", "Country": "a", "Price": None},
                                           {"Quantity": "2", "Country": None, "Price": "3.5"}]
+
+
+def test_landed_long_order_gives_same_clean_lines(spark):
+    from shelfcast.sources import land_transactions
+    a = clean_transactions(raw_lines(spark, SF_SMALL))
+    landed = land_transactions(raw_lines(spark, SF_SMALL))
+    assert dict(landed.dtypes)["row_order"] == "bigint"
+    b = clean_transactions(landed)
+    cols = [c for c in a.columns if c != "row_order"]
+    assert a.count() == b.count()
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    dedup = C.deduplicate(C.rename_columns(landed))
+    dedup.write.format("noop").mode("overwrite").save()
+    plan = dedup._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
