@@ -185,18 +185,22 @@ class DemandModel:
         """M4/M5/M6: fit, read the per-iteration curves, stop by patience, refit."""
         iters = int(self.params.get("iterations", 100))
         model = self._regressor(iters).fit(self.train)
-        loss = "absolute" if self.params.get("loss") == "MAE" else "squared"
-        tr = model.evaluateEachIteration(self.train, loss)
-        va = model.evaluateEachIteration(self.val, loss)
-        self.curve = [(i, math.sqrt(a) if loss == "squared" else a, math.sqrt(b) if loss == "squared" else b)
-                      for i, (a, b) in enumerate(zip(tr, va))]
-        self.best_iteration = patience_stop(list(va), int(self.params.get("od_wait", OD_WAIT)))
+        # The curves (and the stopping rule) follow eval_metric: RMSE -> root of
+        # the mean squared error per iteration, MAE -> mean absolute error.
+        metric = self.params.get("eval_metric", self.params.get("loss", "RMSE"))
+        per_iter = "absolute" if metric == "MAE" else "squared"
+        tr = model.evaluateEachIteration(self.train, per_iter)
+        va = model.evaluateEachIteration(self.val, per_iter)
+        fix = (lambda e: e) if per_iter == "absolute" else math.sqrt
+        self.curve = [(i, fix(a), fix(b)) for i, (a, b) in enumerate(zip(tr, va))]
+        self.best_iteration = patience_stop([c[2] for c in self.curve], int(self.params.get("od_wait", OD_WAIT)))
         self.tree_count = self.best_iteration + 1 if early_stopping else iters
         self.model = model if self.tree_count == iters else self._regressor(self.tree_count).fit(self.train)
         return self
 
     def learning_curve(self) -> DataFrame:
-        """M6: (iter, train_rmse, val_rmse), one row per boosting iteration."""
+        """M6: (iter, train_rmse, val_rmse), one row per boosting iteration
+        (the columns hold MAE when ``eval_metric`` is MAE)."""
         spark = self.train.sparkSession
         return spark.createDataFrame(self.curve, "iter int, train_rmse double, val_rmse double")
 
