@@ -99,8 +99,15 @@ def _best(llf: DataFrame) -> DataFrame:
     return llf.groupBy("feature").agg(top.alias("b")).select("feature", "b.lmbda", "b.llf")
 
 
-def apply_boxcox(profile: DataFrame, lambdas: DataFrame, cols=PROFILE_COLUMNS) -> DataFrame:
-    """Transform each column with its lambda (lambdas arrive as one scalar struct)."""
+def apply_boxcox(profile: DataFrame, lambdas, cols=PROFILE_COLUMNS) -> DataFrame:
+    """Transform each column with its lambda.
+
+    ``lambdas`` is either the (feature, lmbda) table, used as one scalar
+    struct subquery, or a dict of at most one number per feature.
+    """
+    if isinstance(lambdas, dict):
+        return profile.withColumns({c: _boxcox(F.col(c).cast("double"), F.lit(float(lambdas[c])))
+                                    for c in cols})
     lam = lambdas.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("lmbda"))).alias(c)
                                   for c in cols])).scalar()
     return profile.withColumns({c: _boxcox(F.col(c).cast("double"), lam[c]) for c in cols})
@@ -125,7 +132,8 @@ def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_ro
     statistics and each k-means fit, so it is materialized once.
     """
     prof = materialize(product_profile(demand), "profile", materialize_as)
-    lam = materialize(boxcox_lambdas(prof, cols, grid, refine_rounds), "lambdas", materialize_as)
+    # One lambda per feature: fetched once and applied as literals.
+    lam = {r["feature"]: r["lmbda"] for r in boxcox_lambdas(prof, cols, grid, refine_rounds).collect()}
     z = materialize(standardize(apply_boxcox(prof, lam, cols), cols), "scaled", materialize_as)
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(z)
 
