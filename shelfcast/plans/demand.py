@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from shelfcast.operators import features as FT
+from shelfcast.session import materialize
 
 
-def demand_table(clean: DataFrame, level: str = "day", order_col: str = "row_order",
-                 keep_null_lags: bool = False, lag_order: str = "chronological") -> DataFrame:
-    """F1-F12 without the clustering columns: the S-oracle part of the model table."""
+def _demand_rows(clean: DataFrame, level: str, order_col: str, keep_null_lags: bool) -> DataFrame:
+    """Features on the lines, demand aggregate, peak season."""
     if level not in FT.LEVELS:
         raise ValueError("Invalid level argument: choose either 'day' or 'week'")
     lines = FT.feature_lines(clean, order_col)
-    d = FT.aggregate_demand(lines, level, keep_null_lags, order_col)
-    d = FT.add_peak_season(d)
-    return FT.add_qty_lags(d, lag_order)
+    return FT.add_peak_season(FT.aggregate_demand(lines, level, keep_null_lags, order_col))
+
+
+def demand_table(clean: DataFrame, level: str = "day", order_col: str = "row_order",
+                 keep_null_lags: bool = False, lag_order: str = "chronological") -> DataFrame:
+    """F1-F12 without the clustering columns: the S-oracle part of the model table."""
+    return FT.add_qty_lags(_demand_rows(clean, level, order_col, keep_null_lags), lag_order)
 
 
 def prepare_demand(clean: DataFrame, level: str = "day", order_col: str = "row_order",
@@ -24,14 +28,9 @@ def prepare_demand(clean: DataFrame, level: str = "day", order_col: str = "row_o
                    max_series_clusters: int = 3, seed: int = 42) -> DataFrame:
     """The full model table: features, demand, peak season, product_type,
     time_series_type and quantity lags (the original's column order)."""
-    if level not in FT.LEVELS:
-        raise ValueError("Invalid level argument: choose either 'day' or 'week'")
-    lines = FT.feature_lines(clean, order_col)
-    d = FT.aggregate_demand(lines, level, keep_null_lags, order_col)
-    d = FT.add_peak_season(d)
+    d = _demand_rows(clean, level, order_col, keep_null_lags)
     if with_clusters:
         from shelfcast.operators import clustering as K
-        from shelfcast.session import materialize
         # The demand table feeds both segmentations, their join-backs and the
         # lag window: write it once.
         d = materialize(d, f"demand-{level}")
