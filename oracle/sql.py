@@ -355,6 +355,7 @@ def rule_sql() -> dict[str, str]:
         "qty_lags": with_demand("SELECT stock_code, description, price, date, month, year, qty, "
                                 "qty_lag1d, qty_lag5d, qty_lag7d, qty_lag30d FROM demand"),
         "bias_message": with_demand("SELECT item, message FROM item_acc", extra_ctes=SCORED_CTES),
+        "clean_transactions_landed": with_clean(f"SELECT {CLEAN_COLS} FROM clean"),
     }
 
 

@@ -516,9 +516,19 @@ def q_bias_message(spark, sf_dir):
     return A.item_accuracy(scored(spark, sf_dir)).select("item", "message")
 
 
+def q_clean_transactions_landed(spark, sf_dir):
+    """Clean lines via the landing step (long order key): same rows as
+    ``clean_transactions``, hash aggregates downstream."""
+    from shelfcast.plans.cleaning import clean_transactions
+    from shelfcast.sources.files import land_transactions
+    landed = land_transactions(raw_lines(spark, sf_dir), ORDER)
+    return clean_transactions(landed, ORDER).select(*CLEAN_COLS)
+
+
 def single_rule_queries() -> dict[str, Callable]:
     return {"rename_columns": q_rename_columns, "peak_season": q_peak_season,
-            "qty_lags": q_qty_lags, "bias_message": q_bias_message}
+            "qty_lags": q_qty_lags, "bias_message": q_bias_message,
+            "clean_transactions_landed": q_clean_transactions_landed}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
