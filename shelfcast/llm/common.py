@@ -66,6 +66,19 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
+def blocked(rows: DataFrame, block: int, member: str = "class_id") -> DataFrame:
+    """Deal the rows of large buckets to cells of at most about ``2 * block`` rows.
+
+    ``rows`` has ``members``, the size of its bucket.  Members are split into blocks by
+    hash; cell (ci, cj) holds blocks ci and cj, so every two members meet in just one
+    cell.  A bucket of up to ``block`` members is the one cell (0, 0).
+    """
+    n = F.ceil(F.col("members") / block).cast("int")
+    own = F.pmod(F.xxhash64(member), n).cast("int")
+    return (rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+            .withColumn("ci", F.least("block", "other")).withColumn("cj", F.greatest("block", "other")).drop("other"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, root) per node met.
 

@@ -7,18 +7,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.common import table
+from shelfcast.llm import op3_decontaminate as op3
+from shelfcast.llm import op4_licenses as op4
+from shelfcast.llm import op8_line_dedup as op8
 from shelfcast.llm.op2_near_dedup import op2_near_dedup
+from shelfcast.llm.op5_toxicity import op5_toxicity
+from shelfcast.llm.op7_packing import op7_packing
+from shelfcast.llm.op9_embedding_dedup import op9_embedding_dedup
+from shelfcast.llm.op10_language import op10_language
 
 
 def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def q_op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.op3_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q_op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.op4_licenses(table(spark, sf_dir, "documents"))
+
+
+def q_op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_packing(table(spark, sf_dir, "documents"))
+
+
+def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.op8_line_dedup(table(spark, sf_dir, "documents"))
+
+
+def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_language(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_near_dedup": q_op2,
+        "op3_decontaminate": q_op3,
+        "op4_licenses": q_op4,
+        "op5_toxicity": q_op5,
+        "op7_packing": q_op7,
+        "op8_line_dedup": q_op8,
+        "op9_embedding_dedup": q_op9,
+        "op10_language": q_op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_decontaminate": op3.ORACLE,
+        "op4_licenses": op4.oracle(),
+        "op8_line_dedup": op8.ORACLE,
+    }
