@@ -2,68 +2,25 @@
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.tokens import PATTERN, Encoder, default_paths
 from shelfcast.session import materialize
 
-#: Tokens of a sequence, and the id that ends every document.
-CAPACITY, END = 2048, 0
-#: Texts longer than this are encoded in runs, cut where the tokenizer's own word rule always cuts.
-RUN_CHARS = 1 << 20
+#: Tokens of a sequence.
+CAPACITY = 2048
 #: Pieces of one length that are numbered together.
 CELL = 50_000
 #: Representative lengths that patterns of three and of four documents draw from, and sweeps of the fit.
 GRID3, GRID4, SWEEPS = 12, 5, 12
 
-_encoders: dict = {}
-
-
-def encoder(path: str):
-    """The tokenizer at ``path``, loaded once per process."""
-    if path not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _encoders[path] = Tokenizer.from_file(path)
-    return _encoders[path]
-
-
-def runs(text: str, size: int = RUN_CHARS) -> list[str]:
-    """Cut a long text before single spaces between a non-space and a letter.
-
-    The tokenizer's word rule starts a new word at each such space, whatever stands
-    around it, so the ids of the runs, joined, are the ids of the text.
-    """
-    out, at = [], 0
-    safe = re.compile(r"(?<=\S) (?=[A-Za-z])")
-    while len(text) - at > size:
-        m = safe.search(text, at + size)
-        if m is None:
-            break
-        out.append(text[at:m.start()])
-        at = m.start()
-    return [*out, text[at:]]
-
-
-def encode(texts: list[str], path: str) -> Iterator[np.ndarray]:
-    """Token ids of each whole text, END included."""
-    tok = encoder(path)
-    for a in range(0, len(texts), 64):
-        parts = [runs(t) for t in texts[a:a + 64]]
-        done = iter(tok.encode_batch_fast([r for p in parts for r in p], add_special_tokens=False))
-        for p in parts:
-            yield np.concatenate([np.asarray(next(done).ids, dtype="<u4") for _ in p] + [np.array([END], "<u4")])
-
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens; only the first may be shorter than the capacity."""
@@ -71,15 +28,15 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, paths: tuple[str, str | None], capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document of ``docs``."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(paths, PATTERN)
         for batch in batches:
             rows, where = [], []
-            texts = batch.column(1).fill_null("").to_pylist()
-            for i, ids in enumerate(encode(texts, path)):
+            for i, ids in enumerate(encoder.all_ids(batch.column(1).to_pylist())):
                 for p, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                     own = ids[start:start + length]
                     rows.append((p, start, length, zlib.crc32(own.tobytes()), *([own.astype(np.int32)] * with_ids)))
@@ -238,14 +195,14 @@ def sequences(packed: DataFrame) -> DataFrame:
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
 
-def op7_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def op7_packing(docs: DataFrame, paths: tuple[str, str | None] | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
-    Defined results: null and empty texts are the one token END; a repeated row is
+    Defined results: null and empty texts are the one token that ends a document; a repeated row is
     packed once for each time it stands there; a null ``doc_id`` is kept; an empty
     table gives an empty result; other columns are ignored.  Texts are encoded once,
     whole; ids leave the task only as each piece's checksum.
     """
-    cut = materialize(pieces(docs, path or public_tokenizers.path("byte_bpe_50k.json"), capacity), "op7-pieces")
+    cut = materialize(pieces(docs, paths or default_paths(), capacity), "op7-pieces")
     return pack(cut, capacity).select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")

@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.common import table
+from shelfcast.llm import op1_revisits as op1
 from shelfcast.llm import op3_decontaminate as op3
 from shelfcast.llm import op4_licenses as op4
 from shelfcast.llm import op8_line_dedup as op8
 from shelfcast.llm.op2_near_dedup import op2_near_dedup
 from shelfcast.llm.op5_toxicity import op5_toxicity
+from shelfcast.llm.op6_training_order import op6_training_order
 from shelfcast.llm.op7_packing import op7_packing
 from shelfcast.llm.op9_embedding_dedup import op9_embedding_dedup
 from shelfcast.llm.op10_language import op10_language
 
 
+def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.op1_revisits(table(spark, sf_dir, "pages"))
+
+
 def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_near_dedup(table(spark, sf_dir, "documents"))
 
@@ -33,6 +40,10 @@ def q_op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_training_order(table(spark, sf_dir, "documents"))
+
+
 def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_packing(table(spark, sf_dir, "documents"))
 
@@ -51,20 +62,25 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_revisits": q_op1,
         "op2_near_dedup": q_op2,
         "op3_decontaminate": q_op3,
         "op4_licenses": q_op4,
         "op5_toxicity": q_op5,
+        "op6_training_order": q_op6,
         "op7_packing": q_op7,
         "op8_line_dedup": q_op8,
         "op9_embedding_dedup": q_op9,
         "op10_language": q_op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
+        "op1_revisits": op1.ORACLE,
         "op3_decontaminate": op3.ORACLE,
         "op4_licenses": op4.oracle(),
         "op8_line_dedup": op8.ORACLE,
     }
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
