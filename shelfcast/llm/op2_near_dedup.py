@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import setsketch
-from shelfcast.llm.common import components, row_key, sorted_groups
+from shelfcast.llm.common import blocked, components, row_key, sorted_groups
 from shelfcast.llm.shingles import shingle_sets, text_chunks
 from shelfcast.session import materialize
 
@@ -67,40 +67,68 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(keep)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of two components within one cell of a bucket.
+CELL = ["band", "band_key", "ci", "cj"]
 
-    A cell is a pair of blocks of a bucket (or one block with itself).  A pair is
-    given out only by the first band that its two members share.
-    """
-    for group in sorted_groups(batches, ["band", "band_key", "ci", "cj"]):
-        ids, comp = group["class_id"].to_pylist(), group["root"].to_pylist()
-        numbers = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-        if len(numbers) == 1:
-            continue
-        comp = np.array([numbers[c] for c in comp])
-        n, regs = group["n_shingles"].to_numpy(), _matrix(group["regs"])
-        block = group["block"].to_numpy()
-        ci, cj, band = group["ci"][0].as_py(), group["cj"][0].as_py(), group["band"][0].as_py()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in range(len(ids) if ci == cj else int((block == ci).sum())):
-            others = np.arange(i + 1, len(ids)) if ci == cj else np.flatnonzero(block == cj)
-            others = others[(comp[others] != comp[i])
-                            & (100 * np.minimum(n[others], n[i]) >= PERCENT * np.maximum(n[others], n[i]))]
+
+def _cross(comp: np.ndarray, n: np.ndarray, block: np.ndarray, apart: bool, i: int) -> np.ndarray:
+    """Later members of a cell that are not in member ``i``'s component (nor block, across blocks) and of a size to be linked."""
+    near = (comp[i + 1:] != comp[i]) & (100 * np.minimum(n[i + 1:], n[i]) >= PERCENT * np.maximum(n[i + 1:], n[i]))
+    if apart:
+        near &= block[i + 1:] != block[i]
+    return np.flatnonzero(near) + i + 1
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a cell that likelihood links to a row of another component."""
+    for g in sorted_groups(batches, CELL):
+        comp, n, block, regs = _numbers(g["root"]), g["n_shingles"].to_numpy(), g["block"].to_numpy(), _matrix(g["regs"])
+        apart, pairs = g["ci"][0].as_py() != g["cj"][0].as_py(), []
+        for i in range(len(comp) - 1):
+            others = _cross(comp, n, block, apart, i)
             others = others[(regs[others] == regs[i]).sum(1) >= (LEAST_ESTIMATE - 0.05) * REGISTERS]
+            if len(others):
+                pairs.append(np.stack([np.full(len(others), i), others]))
+        if not pairs:
+            continue
+        left, right = np.concatenate(pairs, 1)
+        keep = np.zeros(len(comp), bool)
+        for a in range(0, len(left), 4096):
+            x, y = left[a:a + 4096], right[a:a + 4096]
+            likely = setsketch.estimate(regs[x], regs[y], n[x], n[y]) >= LEAST_ESTIMATE
+            keep[x[likely]] = keep[y[likely]] = True
+        if keep.any():
+            yield from g.select([*CELL, "block", "class_id", "root"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One linked pair, on full sets, for every two components of a cell that have one."""
+    for g in sorted_groups(batches, CELL):
+        comp, n, block = _numbers(g["root"]), g["n_shingles"].to_numpy(), g["block"].to_numpy()
+        apart, ids = g["ci"][0].as_py() != g["cj"][0].as_py(), g["class_id"]
+        sets = [np.frombuffer(e, np.uint64) for e in g["elements"].to_pylist()]
+        values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        mark, seen, found = np.zeros(len(values), np.uint8), set(), []
+        for i in range(len(comp) - 1):
+            others = _cross(comp, n, block, apart, i)
             if len(others) == 0:
                 continue
-            shared = (regs[others, :BANDS * ROWS] == regs[i, :BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(2)
-            others = others[shared.argmax(1) == band]
-            if len(others):
-                est = setsketch.estimate(np.broadcast_to(regs[i], (len(others), REGISTERS)), regs[others],
-                                         np.full(len(others), n[i]), n[others])
-                others = others[est >= LEAST_ESTIMATE]
-                found.append((np.full(len(others), i), others))
+            own = flat[starts[i]:starts[i] + n[i]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[flat[starts[i]:]], starts[i:] - starts[i], dtype=np.int64)[others - i]
+            mark[own] = 0
+            for j in others[100 * common >= PERCENT * (n[i] + n[others] - common)]:
+                if (pair := (min(comp[i], comp[j]), max(comp[i], comp[j]))) not in seen:
+                    seen.add(pair)
+                    found.append((i, int(j)))
         if found:
-            left, right = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in left], pa.binary()), pa.array([ids[i] for i in right], pa.binary())],
-                                             names=["a", "b"])
+            left, right = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
+            roots = g["root"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([roots.take(left), roots.take(right)], names=["a", "b"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +159,9 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
        with its bucket's smallest member (a star, so linear in the bucket), by
        likelihood and then on full sets, and joins linked classes to components.
     3. Round two compares, within buckets that still hold several components, only
-       members of different components, in blocks of ``block`` rows.
+       members of different components, in blocks of ``block`` rows: likelihood tells
+       which members go on, full sets decide, and what leaves a task is one link for
+       each two components, never the pairs.
 
     Defined results: null, empty or white-space texts have ``n_shingles`` 0 and stand
     alone; repeated rows are copies of each other (all with the smallest id are
@@ -172,18 +202,12 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                 .withColumn("root", F.coalesce("root", "class_id")))
     mixed = labelled.groupBy("band", "band_key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_rows = labelled.join(mixed.select("band", "band_key"), ["band", "band_key"], "left_semi")
-    blocks = F.ceil(F.col("members") / block)
-    cells = (open_rows.withColumn("block", F.pmod(F.xxhash64("class_id"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-             .withColumn("ci", F.least("block", "other")).withColumn("cj", F.greatest("block", "other"))
-             .join(sketches.select("class_id", "n_shingles", "regs"), "class_id")
-             .select("band", "band_key", "ci", "cj", "block", "class_id", "root", "n_shingles", "regs"))
-    cell = ["band", "band_key", "ci", "cj"]
-    likely = cells.repartition(*cell).sortWithinPartitions(*cell, "block").mapInArrow(_across, PAIR)
-    second = confirmed(likely, "op2-more-links")
-    merged = second.select("a", "b").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-        roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    bridges = merged.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+    cells = (blocked(open_rows, block).join(sketches.select("class_id", "n_shingles", "regs"), "class_id")
+             .select(*CELL, "block", "class_id", "root", "n_shingles", "regs"))
+    alive = materialize(cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(
+        _alive, "band int, band_key long, ci int, cj int, block int, class_id binary, root binary"), "op2-alive")
+    full = alive.join(sets, "class_id").withColumn("n_shingles", (F.octet_length("elements") / 8).cast("long"))
+    bridges = materialize(full.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_bridges, PAIR).distinct(), "op2-bridges")
     joined = components(bridges, "op2-second")
 
     top = (filled.select("row_id", "class_id")
