@@ -35,6 +35,22 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names have."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null ids count as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import ascii_lower, row_key
+from shelfcast.llm.common import ascii_lower, quoted, row_key, unused
 from shelfcast.session import materialize
 
 #: Words of a window; of a gram; grams per winnowing window.  A span of
@@ -156,8 +156,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = B
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents in which a window of an item occurs; columns unchanged."""
     _, spans, _ = find_windows(docs, benchmark)
-    keyed = docs.withColumn("_row", row_key())
-    return keyed.join(spans.select(F.col("row_id").alias("_row")).distinct(), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (row,) = unused(docs, "_row")
+    found = spans.select(F.col("row_id").alias(row)).distinct()
+    return docs.withColumn(row, row_key()).join(found, row, "left_anti").select(*quoted(docs))
 
 
 def op3_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

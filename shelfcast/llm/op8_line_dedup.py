@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import ascii_lower
+from shelfcast.llm.common import ascii_lower, quoted, unused
 from shelfcast.session import materialize
 
 #: Key length in code points from which lines count, and documents from which a key is repeated.
@@ -80,33 +80,32 @@ def kept_lines(lines: Column, keep: Column) -> Column:
     return F.filter(lines, stays)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with the columns ``_n_dropped`` (0 if none) and ``_kept`` (the text that stays)."""
-    marks = bitmaps.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"),
-                           F.col("n_dropped").alias("_n_dropped"), F.col("keep").alias("_keep"))
-    hashed = docs.withColumn("_hash", text_hash(F.col("text")))
-    joined = hashed.join(marks, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")), "left")
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns, and their names: lines dropped (0 if none) and the text that stays."""
+    key, own, key_hash, n, keep, kept = unused(docs, "_doc_id", "_hash", "_text_hash", "_n_dropped", "_keep", "_kept")
+    marks = bitmaps.select(F.col("doc_id").alias(key), F.col("text_hash").alias(key_hash), F.col("n_dropped").alias(n), F.col("keep").alias(keep))
+    hashed = docs.withColumn(own, text_hash(F.col("text")))
+    joined = hashed.join(marks, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(key_hash)), "left")
     text = F.coalesce(F.col("text"), F.lit(""))
-    kept = F.when(F.col("_keep").isNull(), text).otherwise(F.array_join(kept_lines(lines_of(F.col("text")), F.col("_keep")), "\n"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_n_dropped", F.lit(0).cast("long")).alias("_n_dropped"), kept.alias("_kept"))
+    left = F.when(F.col(keep).isNull(), text).otherwise(F.array_join(kept_lines(lines_of(F.col("text")), F.col(keep)), "\n"))
+    return joined.select(*quoted(docs), F.coalesce(F.col(n), F.lit(0).cast("long")).alias(n), left.alias(kept)), n, kept
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines that stay as ``text`` (and its length as ``n_chars``, where there is one)."""
-    out = with_bitmaps(docs, keep_bitmaps(docs))
-    changed = out.withColumn("text", F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text")))
+    out, n, kept = with_bitmaps(docs, keep_bitmaps(docs))
+    changed = out.withColumn("text", F.when(F.col(n) > 0, F.col(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, size).otherwise(F.col("n_chars")))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed = changed.withColumn("n_chars", F.when(F.col(n) > 0, size).otherwise(F.col("n_chars")))
+    return changed.select(*quoted(docs))
 
 
 def op8_line_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, n_lines, n_dropped, kept_sha256)."""
-    docs = docs.select("doc_id", "text")
-    return with_bitmaps(docs, keep_bitmaps(docs)).select(
-        "doc_id", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.col("_kept"), 256).alias("kept_sha256"))
+    out, n, kept = with_bitmaps(docs.select("doc_id", "text"), keep_bitmaps(docs))
+    return out.select("doc_id", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"), F.col(n).alias("n_dropped"),
+                      F.sha2(F.col(kept), 256).alias("kept_sha256"))
 
 
 ORACLE = r"""

@@ -99,7 +99,7 @@ CELL = ["band", "band_key", "ci", "cj"]
 def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a cell that have a mate within SIGN_BITS."""
     for g in sorted_groups(batches, CELL):
-        s, block = g["signs"].to_numpy(), g["block"].to_numpy()
+        s, block = g["signs"].to_numpy().view(np.uint64), g["block"].to_numpy()
         near = np.bitwise_count(s[:, None] ^ s[None, :]) <= SIGN_BITS
         np.fill_diagonal(near, False)
         if g["ci"][0].as_py() != g["cj"][0].as_py():
