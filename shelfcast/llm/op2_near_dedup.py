@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import setsketch
-from shelfcast.llm.common import blocked, components, row_key, sorted_groups
+from shelfcast.llm.common import blocked, components, quoted, row_key, sorted_groups, unused
 from shelfcast.llm.shingles import shingle_sets, text_chunks
 from shelfcast.session import materialize
 
@@ -86,20 +86,18 @@ def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a cell that likelihood links to a row of another component."""
     for g in sorted_groups(batches, CELL):
         comp, n, block, regs = _numbers(g["root"]), g["n_shingles"].to_numpy(), g["block"].to_numpy(), _matrix(g["regs"])
-        apart, pairs = g["ci"][0].as_py() != g["cj"][0].as_py(), []
+        apart, keep, quick = g["ci"][0].as_py() != g["cj"][0].as_py(), np.zeros(len(comp), bool), np.ascontiguousarray(regs[:, :REGISTERS // 4])
         for i in range(len(comp) - 1):
             others = _cross(comp, n, block, apart, i)
-            others = others[(regs[others] == regs[i]).sum(1) >= (LEAST_ESTIMATE - 0.05) * REGISTERS]
+            if keep[i]:  # only rows that aren't marked yet can be of use
+                others = others[~keep[others]]
+            # a look at a quarter of the registers, with six standard errors' room, then at all
+            others = others[(quick[others] == quick[i]).sum(1) >= (LEAST_ESTIMATE - 0.15) * quick.shape[1]]
+            others = others[(regs[others] == regs[i]).sum(1) >= (LEAST_ESTIMATE - 0.02) * REGISTERS]
             if len(others):
-                pairs.append(np.stack([np.full(len(others), i), others]))
-        if not pairs:
-            continue
-        left, right = np.concatenate(pairs, 1)
-        keep = np.zeros(len(comp), bool)
-        for a in range(0, len(left), 4096):
-            x, y = left[a:a + 4096], right[a:a + 4096]
-            likely = setsketch.estimate(regs[x], regs[y], n[x], n[y]) >= LEAST_ESTIMATE
-            keep[x[likely]] = keep[y[likely]] = True
+                likely = setsketch.estimate(np.broadcast_to(regs[i], (len(others), REGISTERS)), regs[others], np.full(len(others), n[i]), n[others]) >= LEAST_ESTIMATE
+                keep[others[likely]] = True
+                keep[i] |= likely.any()
         if keep.any():
             yield from g.select([*CELL, "block", "class_id", "root"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
@@ -233,10 +231,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Equal rows (same id and text) that would all be kept are reduced to one.
     """
-    kept = near_duplicate_components(docs).where("kept").select("doc_id", "row_id", "component_id")
-    # Of several texts under the component's id, the one with the smallest key stays.
-    one = kept.groupBy(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("row_id")).alias("alone")).agg(F.min("row_id").alias("_row"))
-    keyed = docs.withColumn("_row", row_key())
-    stay = keyed.join(one.select("_row"), "_row", "left_semi")
-    names = docs.columns
-    return stay.dropDuplicates(["_row"]).select(*names)
+    (row,) = unused(docs, "_row")
+    kept = near_duplicate_components(docs).where("kept")
+    # of several texts under the component's id the one with the smallest key stays
+    alone = F.when(F.col("component_id").isNull(), F.col("row_id"))
+    one = kept.groupBy("component_id", alone.alias("alone")).agg(F.min("row_id").alias(row))
+    return docs.withColumn(row, row_key()).join(one.select(row), row, "left_semi").dropDuplicates([row]).select(*quoted(docs))

@@ -46,7 +46,7 @@ def _p(x: np.ndarray) -> np.ndarray:
 
 
 def jaccard_likelihood(up: np.ndarray, down: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray,
-                       steps: int = 40) -> np.ndarray:
+                       steps: int = 25) -> np.ndarray:
     """Maximum-likelihood Jaccard similarity of set pairs.
 
     ``up``, ``down``, ``same``: registers in which the first set's value is larger,
