@@ -21,8 +21,10 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 8_000, 16_000
 SAMPLE_POSTERIOR = 20_000
 #: Mined terms that are classifier features, and those of them that vote.
 FEATURES, VOTERS = 2_000, 256
-#: A term needs so many toxic sample rows and so large a log-odds ratio.
-MIN_TOXIC, MIN_LOG_ODDS = 4, 2.5
+#: A term needs so many toxic sample rows and so large a share of them, a log-odds
+#: ratio that is so large after SIGMAS standard errors are taken off, and so large a
+#: share of toxic ones among the labelled rows that have it.
+MIN_TOXIC, MIN_SHARE, MIN_LOG_ODDS, SIGMAS, MIN_PRECISION = 4, 0.01, 1.0, 2.5, 0.6
 #: Lengths of word beginnings that are pattern terms.
 STEMS = (4, 5, 6)
 EM_ROUNDS = 6
@@ -55,12 +57,13 @@ class Model:
     bias: float = -9.0
 
     def posterior(self, fired: list[np.ndarray]) -> np.ndarray:
-        """P(toxic | votes) of the label model; ``fired`` has the numbers of the voters that fired."""
-        a, b, t = self.fires_toxic, self.fires_clean, self.trust
-        silent = t * (np.log1p(-a) - np.log1p(-b))
-        speak = t * (np.log(a) - np.log(b)) - silent
-        base = np.log(self.prior) - np.log1p(-self.prior) + silent.sum()
-        z = base + np.array([speak[f].sum() for f in fired])
+        """P(toxic | votes) of the label model; ``fired`` has the numbers of the voters that fired.
+
+        A voter that abstains says nothing, whatever its language; that no voter
+        fired is the vote of the last one, the clean voter.
+        """
+        speak = self.trust * (np.log(self.fires_toxic) - np.log(self.fires_clean))
+        z = np.log(self.prior) - np.log1p(-self.prior) + np.array([speak[f].sum() for f in fired])
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
     def score(self, hits: list[np.ndarray]) -> np.ndarray:
@@ -83,18 +86,38 @@ def feature_hits(texts: list[str | None], index: dict[str, int], memo: dict[str,
         yield np.array(sorted(found), np.int32)
 
 
-def labelled_sample(labels: DataFrame, usable, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> dict:
-    """doc_id -> label of at most ``toxic`` + ``clean`` ids; ids with contradicting labels are left out."""
+def labelled_sample(labels: DataFrame, usable, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> tuple[dict, float]:
+    """doc_id -> label of at most ``toxic`` + ``clean`` ids, and the clean rows that a clean sample row stands for, per toxic one.
+
+    Ids with contradicting labels are left out.
+    """
     one = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & usable(F.col("doc_id")))
            .groupBy("doc_id").agg(F.min("toxic").alias("lo"), F.max("toxic").alias("hi")).where("lo = hi"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    out = {}
+    out: dict = {}
     for value, n in ((1, toxic), (0, clean)):
         out |= {r["doc_id"]: value for r in one.where(F.col("lo") == value).orderBy(*order).limit(n).collect()}
-    return out
+    there = {r["lo"]: r["n"] for r in one.groupBy("lo").agg(F.count("*").alias("n")).collect()}
+    shares = [there.get(y, 0) / max(1, sum(v == y for v in out.values())) for y in (1, 0)]
+    return out, shares[1] / shares[0] if shares[0] else 1.0
+
+
+def one_of_each(docs: DataFrame, sample: dict) -> dict:
+    """The sample without all but one of the toxic texts that share their two least word hashes.
+
+    Copies and most near copies do; else the rare words of one toxic text that has many
+    labelled copies would look like marks of toxicity.  Clean rows all stay: their
+    copies show that a word is harmless.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    known = docs.sparkSession.createDataFrame([(d,) for d, y in sample.items() if y], f"doc_id {kind}")
+    hashes = F.array_sort(F.transform(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.xxhash64(w)))
+    rows = docs.join(F.broadcast(known), "doc_id").select("doc_id", F.slice(hashes, 1, 2).alias("key"))
+    kept = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id")).collect()  # at most SAMPLE_TOXIC rows
+    return {r["doc_id"]: 1 for r in kept} | {d: y for d, y in sample.items() if not y}
 
 
-def mine(docs: DataFrame, sample: dict) -> list[str]:
+def mine(docs: DataFrame, sample: dict, clean_weight: float = 1.0) -> list[str]:
     """At most FEATURES terms that mark the toxic rows of the sample, best first."""
     shared = docs.sparkSession.sparkContext.broadcast(sample)
 
@@ -128,7 +151,10 @@ def mine(docs: DataFrame, sample: dict) -> list[str]:
         return []
     n1, n0 = rows[0]["toxic"], rows[0]["clean"]
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    best = (counted.where("term <> ''").withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS)
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    pure = F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + clean_weight * F.col("clean"))
+    best = (counted.where((F.col("term") != "") & (F.col("toxic") >= MIN_SHARE * n1) & pure)
+            .withColumn("odds", odds).where(F.col("odds") - SIGMAS * error >= MIN_LOG_ODDS)
             .orderBy((F.col("toxic") * F.col("odds")).desc(), F.length("term"), "term").limit(2 * FEATURES).collect())
     chosen: dict[str, float] = {}
     for r in best:  # a longer term adds nothing where a chosen stem of it is as pure
@@ -137,22 +163,29 @@ def mine(docs: DataFrame, sample: dict) -> list[str]:
     return list(chosen)[:FEATURES]
 
 
+def votes_of(hits, n_voters: int):
+    """The voters that fire: those among the hits, or the clean voter if there is none."""
+    own = F.filter(hits, lambda h: h < n_voters)
+    return F.when(F.size(own) > 0, own).otherwise(F.array(F.lit(n_voters)))
+
+
 def label_model(hits: DataFrame, model: Model, sample_votes: tuple[np.ndarray, int, np.ndarray, int]) -> Model:
     """Accuracies, class balance and correlations of the voters, from all documents.
 
-    A voter fires with one probability on toxic and another on clean documents.
+    A voter fires with one probability on toxic and another on clean documents; the
+    clean voter fires where no other does.
     They start from the labelled sample and are refined by expectation
     maximisation over the vote patterns of every document; the expected counts are
     summed by Spark, ``2 * VOTERS + 2`` numbers per round.  Then one pass sums how
     often two voters fire together on (expected) toxic documents; a voter that is
     positively correlated with others is trusted less, by the sum of its correlations.
     """
-    k = model.n_voters
+    k = model.n_voters + 1  # the last is the clean voter
     (c1, n1, c0, n0) = sample_votes
     model.fires_toxic, model.fires_clean = (c1 + 0.1) / (n1 + 1), (c0 + 0.01) / (n0 + 1)
     model.prior, model.trust = (n1 + 1) / (n1 + n0 + 2), np.ones(k)
-    votes = hits.select(F.filter("hits", lambda h: h < k).alias("votes"))
-    patterns = materialize(votes.groupBy("votes").agg(F.count("*").alias("n")), "op5-patterns")
+    patterns = hits.select(votes_of(F.col("hits"), model.n_voters).alias("votes")).groupBy("votes").agg(F.count("*").alias("n"))
+    patterns = materialize(patterns, "op5-patterns")
 
     def sums(pairs: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +235,13 @@ def train(model: Model, hits: list[np.ndarray], target: np.ndarray, rounds: int
     rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     cols = np.concatenate(hits).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
     n, m = len(hits), len(model.features)
-    weight = np.where(target > 0.5, 1.0, 1.0)
     w, b = np.zeros(m), float(np.log((target.mean() + 1e-4) / (1 - target.mean() + 1e-4)))
     vw, vb, ridge = w.copy(), b, 1e-4
     step = 4.0 / (1 + max(len(h) for h in hits)) if hits else 1.0
     scale = np.maximum(np.bincount(cols, minlength=m), 1.0) / n  # a rare term's weight moves as fast as a common one's
     for i in range(rounds):
         z = vb + np.bincount(rows, vw[cols], minlength=n)
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - target)
+        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
         new_w = vw - step * (np.bincount(cols, error[rows], minlength=m) / n / scale + ridge * vw)
         new_b = vb - step * error.mean()
         momentum = i / (i + 3)
@@ -239,23 +271,25 @@ def held_out(doc_id):
 
 def fit(docs: DataFrame, labels: DataFrame, usable=lambda d: ~held_out(d)) -> tuple[Model, DataFrame]:
     """The model, and the table (doc_id, hits) of all documents that it was fitted on."""
-    sample = labelled_sample(labels, usable)
-    model = Model(mine(docs, sample) if sample else [])
+    sample, clean_weight = labelled_sample(labels, usable)
+    sample = one_of_each(docs, sample) if sample else sample
+    model = Model(mine(docs, sample, clean_weight) if sample else [])
     model.n_voters = min(VOTERS, len(model.features))
     hits = materialize(hits_of(docs, model), "op5-hits")
     if not model.features:
         return model, hits
-    k = model.n_voters
+    k = model.n_voters + 1
     known = docs.sparkSession.createDataFrame(list(sample.items()), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int")
     per = (hits.join(F.broadcast(known), "doc_id")  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows
-           .select("toxic", F.explode(F.concat(F.filter("hits", lambda h: h < k), F.array(F.lit(-1)))).alias("voter"))
+           .select("toxic", F.explode(F.concat(votes_of(F.col("hits"), model.n_voters), F.array(F.lit(-1)))).alias("voter"))
            .groupBy("toxic", "voter").count().collect())
     fired = {(r["toxic"], r["voter"]): r["count"] for r in per}
     c1, c0 = (np.array([fired.get((y, j), 0) for j in range(k)], float) for y in (1, 0))
     model = label_model(hits, model, (c1, fired.get((1, -1), 0), c0, fired.get((0, -1), 0)))
-    rows = hits.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_POSTERIOR).select("hits").collect()
+    rows = (hits.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_POSTERIOR)
+            .select("hits", votes_of(F.col("hits"), model.n_voters).alias("votes")).collect())
     found = [np.array(r["hits"], np.int64) for r in rows]
-    target = model.posterior([h[h < k] for h in found])
+    target = model.posterior([np.array(r["votes"], np.int64) for r in rows])
     return train(model, found, target), hits
 
 
