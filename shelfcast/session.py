@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,13 +44,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Folders written by this process, by application, until ``clear_scratch``.
+_written: dict[str, list[str]] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins.  Only a local session without one (tests) gets a fresh
-    temporary folder; on a cluster a machine-local folder would be invisible
-    to the executors, so a missing setting is an error there.
+    always wins.  Only a single-process session (master ``local`` or
+    ``local[...]``) without one, as in tests, gets a fresh temporary folder.
+    Everywhere else, ``local-cluster`` included, a machine-local folder would be
+    invisible to the executors, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(conf_dir)
@@ -66,8 +72,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every folder that :func:`scratch_dir` gave this application; how many there were.
+
+    For the end of a job: frames that read those tables can't be used afterwards.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf, gone = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(conf).delete(p, True))
+    return gone
 
 
 def materialize(df: DataFrame, name: str, how: str | None = "parquet") -> DataFrame:

@@ -20,13 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.accuracy import item_accuracy
 from shelfcast.session import scratch_dir
-from shelfcast.sources.files import SCORED_SCHEMA
+from shelfcast.sources.files import SCORED_SCHEMA, TEXT_DIALECT
 
 
 def scored_stream(spark: SparkSession, scored_dir: str, sep: str = ";",
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over the scored files (typed, bad rows fail)."""
-    reader = (spark.readStream.schema(SCORED_SCHEMA).option("sep", sep).option("header", True)
+    reader = (spark.readStream.options(**TEXT_DIALECT).schema(SCORED_SCHEMA).option("sep", sep).option("header", True)
               .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
