@@ -59,13 +59,14 @@ def bias_text(bias_col: str = "bias"):
 
 
 def item_lookup(accuracy: DataFrame, stock_code) -> DataFrame:
-    """A4: one item's row; ``KeyError`` when the code is unknown.
+    """A4: one item's row, with the bias as percent text; ``KeyError`` when the code is unknown.
 
-    ``stock_code`` may be a literal or a Column (e.g. a scalar subquery).
-    The emptiness test reads at most one row.
+    ``stock_code`` may be a literal or a Column (e.g. a scalar subquery).  The row is
+    fetched once and returned as a table.
     """
     code = stock_code if not isinstance(stock_code, str) else F.lit(stock_code)
-    out = accuracy.where(F.col("item") == code)
-    if out.isEmpty():
-        raise KeyError(f"Stock code not found: {stock_code}")
-    return out
+    found = accuracy.where(F.col("item") == code).withColumn("bias_text", bias_text())
+    rows = found.collect()  # an item has one row
+    if not rows:
+        raise KeyError(f"no accuracy row for item {stock_code}")
+    return accuracy.sparkSession.createDataFrame(rows, found.schema)
