@@ -14,6 +14,11 @@ DAY_ONLY = ("day", "day_of_week", "day_of_year")
 LEVELS = ("day", "week")
 
 
+def check_level(level: str) -> None:
+    if level not in LEVELS:
+        raise ValueError(f"unknown demand level {level!r}: expected one of {', '.join(LEVELS)}")
+
+
 def reorder_columns(df: DataFrame) -> DataFrame:
     """quantity first."""
     return df.select("qty", *[c for c in df.columns if c != "qty"])
@@ -109,8 +114,7 @@ def aggregate_demand(lines: DataFrame, level: str = "day", keep_null_lags: bool
     semantics): each stock's first month and the first calendar month go,
     unless ``keep_null_lags``.
     """
-    if level not in LEVELS:
-        raise ValueError("Invalid level argument: choose either 'day' or 'week'")
+    check_level(level)
     d = lines
     if level == "week":
         d = d.withColumn("date", week_start(F.col("date"))).drop(*DAY_ONLY)
@@ -124,6 +128,36 @@ def aggregate_demand(lines: DataFrame, level: str = "day", keep_null_lags: bool
     return d.groupBy(*keys).agg(F.sum("qty").alias("qty"))
 
 
+def demand_rows(clean: DataFrame, level: str = "day", keep_null_lags: bool = False,
+                order_col: str | None = "row_order") -> DataFrame:
+    """The rows of ``aggregate_demand(feature_lines(clean))``, summed before anything is joined.
+
+    Every feature depends on the stock, the month or the description, so quantities
+    are first summed per (stock, description, price, date or week, year, month), a
+    partial aggregate and the lines' one shuffle for this branch; the small price and
+    invoice tables are then joined to the demand rows.  Year and month are those of
+    the line's own date, also where the week starts in the month before.
+    """
+    check_level(level)
+    d = clean.select("stock_code", "description", "price", "qty", "date", F.year("date").alias("year"), F.month("date").alias("month"))
+    if level == "week":
+        d = d.withColumn("date", week_start(F.col("date")))
+    keys = ["stock_code", "description", "price", "date", "year", "month"]
+    summed = d.groupBy(*keys).agg(F.sum("qty").alias("qty"))
+    parts = date_parts(F.col("date"))
+    summed = summed.withColumns({k: v for k, v in parts.items() if k not in ("year", "month") and (level == "day" or k not in DAY_ONLY)})
+    dated = add_date_parts(clean)
+    out = add_description_len(summed.join(price_stats(clean, order_col), "stock_code", "left"))
+    out = out.join(F.broadcast(invoice_lag_month(dated)), ["year", "month"], "left")
+    out = out.join(invoice_lag_month_stock(dated), ["stock_code", "year", "month"], "left")
+    day = [c for c in parts if c not in ("year", "month") and (level == "day" or c not in DAY_ONLY)]
+    columns = ["stock_code", "description", "price", "date", *day, "month", "year", "price_mode", "price_median", "price_last",
+               "description_len", "n_invoice_lag1m", "n_invoice_lag1m_stock"]
+    if not keep_null_lags:
+        out = out.dropna(subset=columns)
+    return out.select(*columns, "qty")
+
+
 def add_peak_season(df: DataFrame) -> DataFrame:
     """F10."""
     return df.withColumn("peak_season", peak_season(F.col("month")))
@@ -148,8 +182,8 @@ def lag_order(df: DataFrame, order: str = "chronological") -> list:
 def add_qty_lags(df: DataFrame, order: str = "chronological", lags=QTY_LAGS) -> DataFrame:
     """quantity shifted by 1, 5, 7, 30 rows per stock.
 
-    Partitioned by stock; a stock's rows are bounded by dates x prices x
-    descriptions, not by line volume, so no window partition grows with it.
+    Partitioned by stock: a task sorts one stock's demand rows, one for each date,
+    price and description that it sold at, however many lines these stand for.
     """
     w = Window.partitionBy("stock_code").orderBy(*lag_order(df, order))
     return df.withColumns({f"qty_lag{n}d": F.lag("qty", n).over(w) for n in lags})

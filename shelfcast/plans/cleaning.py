@@ -5,50 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions import starts_with_any
 from shelfcast.operators import cleaning as C
 from shelfcast.operators import matching as M
 from shelfcast.session import materialize
 
 
+RULES = ("rename_columns", "parse_dates", "normalize_text", "deduplicate", "flag_cancelled", "drop_adjustments",
+         "net_cancellations", "drop_cancelled", "drop_odd_codes", "upper_code", "canonical_description", "valid_description",
+         "positive_qty", "drop_multipacks", "trim_qty", "positive_price", "trim_price", "finalize_columns")
+
+
 def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile: float = 0.995,
                        price_quantile: float = 0.9999, approx: bool = False,
-                       materialize_as: str | None = "parquet") -> list[tuple[str, DataFrame]]:
-    """Apply every rule in order; return (rule, output) for each.
+                       materialize_as: str | None = "parquet", until: str | None = None) -> list[tuple[str, DataFrame]]:
+    """Apply the rules in order, up to and with ``until``; return (rule, output) for each.
 
     Two lineage cuts (``materialize_as``): after the cancelled lines are gone
     (the frame the code and description rules read three times) and before
-    the quantile trims (read by both scalar quantiles and the main branch).
+    the quantile trims (read by both quantiles and the main branch).
     Without them Catalyst pushes each later filter into every branch, the
-    branches stop being identical, and shuffles are no longer shared.
+    branches stop being identical, and shuffles are no longer shared.  Rules
+    before a cut write nothing.
     """
+    if until is not None and until not in RULES:
+        raise ValueError(f"unknown cleaning rule {until!r}")
     out: list[tuple[str, DataFrame]] = []
+    raw = C.normalize_text(C.parse_dates(C.rename_columns(df)))
+
+    def net(d):
+        # the match groups come from the lines before duplicates go: the same groups, read from the source
+        return M.net_cancellations(d, order_col, candidates=C.drop_adjustments(C.flag_cancelled(raw)))
 
-    def step(name, frame):
-        out.append((name, frame))
-        return frame
-
-    d = step("rename_columns", C.rename_columns(df))
-    d = step("parse_dates", C.parse_dates(d))
-    d = step("normalize_text", C.normalize_text(d))
-    raw = d
-    d = step("deduplicate", C.deduplicate(d, order_col))
-    d = step("flag_cancelled", C.flag_cancelled(d))
-    d = step("drop_adjustments", C.drop_adjustments(d))
-    candidates = C.drop_adjustments(C.flag_cancelled(raw))
-    d = step("net_cancellations", M.net_cancellations(d, order_col, candidates=candidates))
-    d = C.drop_cancelled(d)
-    d = step("drop_cancelled", materialize(d, "clean-a", materialize_as))
-    d = step("drop_odd_codes", M.drop_odd_codes(d))
-    d = step("upper_code", C.upper_code(d))
-    d = step("canonical_description", C.canonical_description(d))
-    d = step("valid_description", C.valid_description(d))
-    d = step("positive_qty", C.positive_qty(d))
-    d = C.drop_multipacks(d)
-    d = step("drop_multipacks", materialize(d, "clean-b", materialize_as))
-    d = step("trim_qty", C.trim_qty(d, qty_quantile, approx))
-    d = step("positive_price", C.positive_price(d))
-    d = step("trim_price", C.trim_price(d, price_quantile, approx))
-    step("finalize_columns", C.finalize_columns(d, order_col))
+    rules = {
+        "rename_columns": C.rename_columns, "parse_dates": C.parse_dates, "normalize_text": C.normalize_text,
+        "deduplicate": lambda d: C.deduplicate(d, order_col), "flag_cancelled": C.flag_cancelled,
+        "drop_adjustments": C.drop_adjustments, "net_cancellations": net,
+        "drop_cancelled": lambda d: materialize(C.drop_cancelled(d), "clean-a", materialize_as),
+        "drop_odd_codes": M.drop_odd_codes, "upper_code": C.upper_code, "canonical_description": C.canonical_description,
+        "valid_description": C.valid_description, "positive_qty": C.positive_qty,
+        "drop_multipacks": lambda d: materialize(C.drop_multipacks(d), "clean-b", materialize_as),
+        "trim_qty": lambda d: C.trim_qty(d, qty_quantile, approx), "positive_price": C.positive_price,
+        "trim_price": lambda d: C.trim_price(d, price_quantile, approx), "finalize_columns": lambda d: C.finalize_columns(d, order_col),
+    }
+    d = df
+    for name in RULES:
+        d = rules[name](d)
+        out.append((name, d))
+        if name == until:
+            break
     return out
 
 
@@ -68,15 +73,31 @@ def clean_transactions(df: DataFrame, order_col: str = "row_order", qty_quantile
 def cleaning_audit(df: DataFrame, order_col: str = "row_order", **kw) -> DataFrame:
     """C20: rows left after each rule, as a table (step, rule, rows_out).
 
-    The original prints one overall count; a per-rule table is the
-    distributed form: one single-row aggregate per stage, unioned.
+    The original prints one overall count; a per-rule table is the distributed form.
+    Row filters that follow each other are counted together, in one aggregate with a
+    condition for each; only rules that join or aggregate begin a new one.
     """
-    parts = [df.agg(F.count(F.lit(1)).alias("rows_out"))
-             .select(F.lit(0).alias("step"), F.lit("input").alias("rule"), "rows_out")]
-    for i, (name, frame) in enumerate(clean_stage_frames(df, order_col, **kw), start=1):
-        parts.append(frame.agg(F.count(F.lit(1)).alias("rows_out"))
-                     .select(F.lit(i).alias("step"), F.lit(name).alias("rule"), "rows_out"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    frames = dict(clean_stage_frames(df, order_col, **kw))
+    true = F.lit(True)
+    # (frame, conditions on its rows, one for each rule counted there)
+    described = F.col("description").isNotNull() & (F.length("description") > C.MIN_DESCRIPTION_LEN)
+    sold = described & (F.col("qty") > 0)
+    single = sold & ~starts_with_any(F.col("description"), C.MULTIPACK_PREFIXES)
+    length_7 = F.col("is_cancelled") | F.coalesce(F.length("invoice_id") != 7, true)
+    groups = [
+        (df, [("input", true), ("rename_columns", true), ("parse_dates", true), ("normalize_text", true)]),
+        (frames["flag_cancelled"], [("deduplicate", true), ("flag_cancelled", true), ("drop_adjustments", length_7)]),
+        (frames["net_cancellations"], [("net_cancellations", true), ("drop_cancelled", ~F.col("is_cancelled"))]),
+        (frames["canonical_description"], [("drop_odd_codes", true), ("upper_code", true), ("canonical_description", true),
+                                           ("valid_description", described), ("positive_qty", sold), ("drop_multipacks", single)]),
+        (frames["trim_qty"], [("trim_qty", true), ("positive_price", F.col("unit_price") > 0)]),
+        (frames["trim_price"], [("trim_price", true), ("finalize_columns", true)]),
+    ]
+    step = {name: i for i, name in enumerate(("input", *RULES))}
+    out = None
+    for frame, rules in groups:
+        counts = frame.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in rules])
+        pairs = F.array(*[F.struct(F.lit(step[name]).alias("step"), F.lit(name).alias("rule"), F.col(name).alias("rows_out")) for name, _ in rules])
+        part = counts.select(F.explode(pairs).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
     return out

@@ -9,11 +9,8 @@ from shelfcast.session import materialize
 
 
 def _demand_rows(clean: DataFrame, level: str, order_col: str, keep_null_lags: bool) -> DataFrame:
-    """Features on the lines, demand aggregate, peak season."""
-    if level not in FT.LEVELS:
-        raise ValueError("Invalid level argument: choose either 'day' or 'week'")
-    lines = FT.feature_lines(clean, order_col)
-    return FT.add_peak_season(FT.aggregate_demand(lines, level, keep_null_lags, order_col))
+    """Demand aggregate, features, peak season."""
+    return FT.add_peak_season(FT.demand_rows(clean, level, keep_null_lags, order_col))
 
 
 def demand_table(clean: DataFrame, level: str = "day", order_col: str = "row_order",

@@ -1,6 +1,7 @@
 """Regression guard for plan shapes that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from shelfcast.operators import accuracy as A
@@ -59,3 +60,44 @@ def test_demand_reads_only_needed_columns(spark, clean_small):
     plan = executed(demand_table(clean, "day"))
     schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
     assert schemas and all("customer_id" not in s and "country" not in s for s in schemas)
+
+
+def test_demand_sums_lines_before_joining(spark, clean_small):
+    """With broadcasts off the lines themselves never enter a join."""
+    lines = materialize(clean_small, "t-lines-parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = demand_table(lines, "day")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # every scan of the lines is under an aggregate, and that under the joins
+    depth = {}
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-")
+        level = len(line) - len(name)
+        depth = {k: v for k, v in depth.items() if k < level}
+        if name.startswith("Relation"):
+            above = [depth[k] for k in sorted(depth, reverse=True)]
+            first = next(a for a in above if a in ("Aggregate", "Join"))
+            assert first == "Aggregate", plan
+        depth[level] = "Aggregate" if name.startswith("Aggregate") else "Join" if name.startswith("Join") else ""
+
+
+def test_rules_before_netting_write_nothing(spark):
+    import shelfcast.plans.cleaning as PC
+    calls = []
+    orig, PC.materialize = PC.materialize, lambda df, name, how="parquet": calls.append(name) or df
+    try:
+        for rule in ("parse_dates", "deduplicate", "drop_adjustments", "net_cancellations"):
+            catalog.stage(spark, SF_SMALL, rule)
+    finally:
+        PC.materialize = orig
+    assert calls == []
+
+
+def test_quantile_trims_merge_no_distinct_values_in_one_task(spark, clean_small):
+    from shelfcast.operators import cleaning as C
+    from shelfcast.operators import evaluation as EV
+    frames = [C.trim_qty(clean_small), EV.median_abs_error(clean_small.select(F.col("price").alias("error")))]
+    for df in frames:
+        assert "percentile(" not in executed(df) and "median(" not in executed(df)
