@@ -43,6 +43,7 @@ netted AS (
   SELECT * FROM adjusted
   WHERE row_id NOT IN (SELECT cancelled_id FROM pairs) AND row_id NOT IN (SELECT sale_id FROM pairs)),
 uncancelled AS (SELECT * EXCLUDE (is_cancelled) FROM netted WHERE NOT is_cancelled),
+-- fixed value: the irregular-code pattern
 fragments AS (
   SELECT DISTINCT unnest(regexp_extract_all(stock_code, '^\\w{{1}}$|\\D[A-Z]+\\D|[A-Z]\\d|\\D[a-z]')) AS fragment
   FROM uncancelled WHERE stock_code IS NOT NULL),
@@ -249,7 +250,7 @@ def accuracy_sql() -> dict[str, str]:
         "item_bias": s("SELECT stock_code, round(CASE WHEN sum(qty) = 0 THEN NULL ELSE sum(predictions) / sum(qty) END - 1, 6) AS bias FROM scored GROUP BY stock_code"),
         "item_rmse": s("SELECT stock_code, round(sqrt(avg(pow(predictions - qty, 2))), 6) AS rmse FROM scored GROUP BY stock_code"),
         "item_accuracy": s("SELECT * FROM item_acc"),
-        "item_lookup": s("SELECT * FROM item_acc WHERE item = (SELECT min(stock_code) FROM scored)"),
+        "item_lookup": s("SELECT *, printf('%.2f%%', bias * 100) AS bias_text FROM item_acc WHERE item = (SELECT min(stock_code) FROM scored)"),
         "time_split": with_demand(
             f"SELECT CASE WHEN date < DATE '{HORIZON}' THEN 'train' ELSE 'validation' END AS split, "
             "CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(qty) AS BIGINT) AS sum_qty FROM demand GROUP BY 1"),
@@ -275,17 +276,28 @@ profile AS (
   FROM demand GROUP BY stock_code),
 plong AS (""" + " UNION ALL ".join(
     f"SELECT stock_code, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM profile" for c in PROFILE) + """),
-grid AS (
-  SELECT CAST(-3.0 AS DOUBLE) + CAST(i AS DOUBLE) * CAST(6.0 AS DOUBLE) / CAST(120 AS DOUBLE) AS lmbda
-  FROM range(0, 121) t(i)),
+scaled AS (
+  SELECT stock_code, feature, x, x / exp(avg(ln(x)) OVER (PARTITION BY feature)) AS u, avg(ln(x)) OVER (PARTITION BY feature) AS mean_ln FROM plong),
+rings AS (
+  SELECT CAST(0.05 AS DOUBLE) * i AS lmbda, CAST(0.05 AS DOUBLE) AS step FROM range(-60, 61) t(i)
+  UNION ALL
+  SELECT s * (CAST(3 AS DOUBLE) * pow(2, k) + CAST(0.05 AS DOUBLE) * pow(2, k) * i), CAST(0.05 AS DOUBLE) * pow(2, k)
+  FROM range(0, 8) r(k), range(1, 61) t(i), (VALUES (-1), (1)) v(s)),
+coarse AS (
+  SELECT feature, lmbda, any_value(step) AS step, -CAST(count(*) AS DOUBLE) / 2 * ln(var_pop(""" + _BC.replace("x", "u") + """)) - count(*) * any_value(mean_ln) AS llf
+  FROM scaled, rings GROUP BY feature, lmbda),
+top AS (
+  SELECT feature, lmbda, step FROM (
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY llf DESC, abs(lmbda), lmbda DESC) AS rk
+    FROM coarse WHERE llf IS NOT NULL AND NOT isnan(llf) AND NOT isinf(llf)) WHERE rk = 1),
+fine AS (SELECT feature, lmbda + step * i / 20 AS lmbda FROM top, range(-20, 21) t(i)),
 llf AS (
-  SELECT feature, lmbda,
-         (lmbda - 1) * sum(ln(x)) - CAST(count(*) AS DOUBLE) / CAST(2 AS DOUBLE) * ln(var_pop(""" + _BC + """)) AS llf
-  FROM plong, grid GROUP BY feature, lmbda),
+  SELECT feature, lmbda, -CAST(count(*) AS DOUBLE) / 2 * ln(var_pop(""" + _BC.replace("x", "u") + """)) - count(*) * any_value(mean_ln) AS llf
+  FROM scaled JOIN fine USING (feature) GROUP BY feature, lmbda),
 best AS (
   SELECT feature, lmbda, llf FROM (
-    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY llf DESC, lmbda DESC) AS rk
-    FROM llf WHERE llf IS NOT NULL AND NOT isnan(llf)) WHERE rk = 1),
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY llf DESC, abs(lmbda), lmbda DESC) AS rk
+    FROM llf WHERE llf IS NOT NULL AND NOT isnan(llf) AND NOT isinf(llf)) WHERE rk = 1),
 transformed AS (
   SELECT p.stock_code, p.feature, """ + _BC.replace("x", "p.x").replace("lmbda", "b.lmbda") + """ AS y
   FROM plong p JOIN best b ON p.feature = b.feature),
@@ -306,9 +318,16 @@ sstats AS (
 def cluster_sql() -> dict[str, str]:
     s = lambda body: with_demand(body, extra_ctes=CLUSTER_CTES)
     pivot = ", ".join(f"round(max(CASE WHEN feature = '{c}' THEN z END), 4) AS {c}" for c in PROFILE)
+    labelled = "SELECT DISTINCT stock_code, true AS valid FROM demand"
+    model_table = "SELECT *, true AS product_type, true AS time_series_type FROM demand"
     return {
+        "select_k": s("SELECT CAST(k AS INT) AS k, true AS valid FROM range(2, 11) t(k)"),
+        "item_cluster": s(labelled),
+        "series_cluster": s(labelled),
+        "prepare_demand": with_demand(model_table),
+        "prepare_demand_weekly": with_demand(model_table, level="week"),
         "product_profile": s("SELECT stock_code, price_mode, price_median, price_last, round(qty_avg, 6) AS qty_avg, qty_median FROM profile"),
-        "boxcox": s("SELECT feature, round(lmbda, 6) AS lmbda, round(llf, 6) AS llf FROM best"),
+        "boxcox": s("SELECT feature, round(lmbda, 4) AS lmbda, round(llf, 4) AS llf FROM best"),
         "standardize": s(f"SELECT stock_code, {pivot} FROM zs GROUP BY stock_code"),
         "series_matrix": s("SELECT * FROM cells"),
         "series_zscore": s("SELECT stock_code, n_dates, round(series_mean, 6) AS series_mean, "
@@ -324,11 +343,41 @@ te_daily AS (SELECT stock_code, date, sum(CAST(qty AS DOUBLE)) AS sy, count(qty)
             "(SELECT avg(CAST(qty AS DOUBLE)) FROM demand)) / (coalesce(sum(n) OVER w, 0) + CAST(1.0 AS DOUBLE)), 6) "
             "AS stock_code_te FROM te_daily "
             "WINDOW w AS (PARTITION BY stock_code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    return {"ordered_target_encoding": with_demand(body, extra_ctes=te)}
+    val = f"FROM demand WHERE date >= DATE '{HORIZON}'"
+    iterations = lambda n: with_demand(f"SELECT CAST(i AS INT) AS iter, true AS valid FROM range(0, {n}) t(i)")
+    numeric = ("price", "day", "day_of_week", "day_of_year", "week", "month", "year", "price_mode", "price_median", "price_last",
+               "description_len", "n_invoice_lag1m", "n_invoice_lag1m_stock", "peak_season", "qty_lag1d", "qty_lag5d", "qty_lag7d", "qty_lag30d")
+    features = ", ".join(f"('{c}')" for c in (*numeric, "stock_code_te", "description_te"))
+    curve = """
+curve AS (
+  SELECT CAST(row_number() OVER (ORDER BY date) - 1 AS INT) AS iter, round(sqrt(avg(pow(predictions - qty, 2))), 6) AS error FROM scored GROUP BY date),
+best_so_far AS (SELECT *, min(error) OVER (ORDER BY iter ROWS UNBOUNDED PRECEDING) AS best_error FROM curve),
+ranked AS (SELECT b.*, (SELECT min(c.iter) FROM curve c WHERE c.iter <= b.iter AND c.error = b.best_error) AS best_step FROM best_so_far b)"""
+    return {
+        "ordered_target_encoding": with_demand(body, extra_ctes=te),
+        "patience_rule": with_demand(
+            "SELECT iter, error, best_error, best_step, iter - best_step AS since_best, "
+            "NOT EXISTS (SELECT 1 FROM ranked q WHERE q.iter < r.iter AND q.iter - q.best_step >= 40) AS running FROM ranked r",
+            extra_ctes=SCORED_CTES + "," + curve),
+        "prepare_categoricals": with_clean(
+            "SELECT c.country, CAST(i.idx AS DOUBLE) AS country_idx FROM clean c JOIN ("
+            "SELECT country, row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS idx FROM clean GROUP BY country) i ON c.country = i.country"),
+        "fit_demand_model": with_demand(f"SELECT qty, CAST(month(date) AS INT) AS month, true AS valid {val}"),
+        "early_stopping": with_demand("SELECT true AS valid"),
+        "learning_curve": iterations(60),
+        "set_data_pool": iterations(10),
+        "predict": with_demand(f"SELECT stock_code, date, price, description, true AS valid {val}"),
+        "model_score": with_demand("SELECT true AS valid"),
+        "model_monthly_rmse": with_demand(f"SELECT DISTINCT CAST(month(date) AS INT) AS month, true AS valid {val}"),
+        "sample_weight": with_demand(f"SELECT stock_code, date, CAST(peak_season + 1 AS DOUBLE) AS weight, true AS valid {val}"),
+        "feature_importance": with_demand(f"SELECT feature, true AS valid FROM (VALUES {features}) v(feature)"),
+        "feature_dependence": with_demand(f"SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS valid {val}"),
+    }
 
 
 
-RAW_SELECT = ('invoice_id AS "Invoice", stock_code AS "StockCode", description AS "Description", '
+AWKWARD = "CASE WHEN qty % 7 = 0 THEN description || ' 12\" \"RULER\"' || chr(9) || '; ' ELSE description END"
+RAW_SELECT = (f'invoice_id AS "Invoice", stock_code AS "StockCode", {AWKWARD} AS "Description", '
               'qty AS "Quantity", strftime(invoice_timestamp, \'%Y-%m-%d %H:%M:%S\') AS "InvoiceDate", '
               'unit_price AS "Price", customer_id AS "Customer ID", country AS "Country"')
 
@@ -339,7 +388,7 @@ def source_sql() -> dict[str, str]:
     return {
         "read_transactions": with_clean(f"SELECT {RAW_SELECT} FROM retail_tx"),
         "union_parts": with_clean(f"SELECT {union_select} FROM retail_tx"),
-        "write_table": with_clean(f"SELECT {CLEAN_COLS} FROM clean"),
+        "write_table": with_clean(f"SELECT * REPLACE ({AWKWARD} AS description) FROM (SELECT {CLEAN_COLS} FROM clean)"),
         "item_accuracy_stream": with_demand("SELECT * FROM item_acc", extra_ctes=SCORED_CTES),
     }
 

@@ -43,59 +43,77 @@ def _boxcox(x, lam):
     return F.when(lam == 0, F.ln(x)).otherwise((F.pow(x, lam) - 1) / lam)
 
 
-def boxcox_llf(profile: DataFrame, cols=PROFILE_COLUMNS, grid=None) -> DataFrame:
-    """Box-Cox log-likelihood for every (column, lambda) of a grid:
-    llf = (lambda - 1) * sum(ln x) - n/2 * ln(var_pop(boxcox(x, lambda))).
+def mean_logs(profile: DataFrame, cols) -> dict[str, float]:
+    """Mean logarithm of the columns that Box-Cox can be fitted to: positive, with some variance."""
+    rows = _long(profile, cols).groupBy("feature").agg(F.avg(F.ln("x")).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    return {r["feature"]: r["m"] for r in rows if r["lo"] is not None and 0 < r["lo"] < r["hi"]}
 
-    The grid is a bounded parameter, exploded next to each value; one
-    aggregation per (column, lambda) computes every llf in a single pass.
+
+def boxcox_llf(profile: DataFrame, cols, grids: dict[str, list[float]], logs: dict[str, float] | None = None) -> DataFrame:
+    """Box-Cox log-likelihood for every lambda of each column's grid, as (feature, lmbda, llf).
+
+    llf = (lambda - 1) * sum(ln x) - n/2 * ln(var_pop(boxcox(x, lambda))).  Values are
+    divided by their geometric mean first, which moves the logarithm's sum into a
+    constant and keeps powers within range for large lambdas.  All columns and
+    lambdas are one aggregate; the grids are short lists, exploded next to each
+    value on the map side.
     """
-    grid = list(grid if grid is not None else default_grid())
-    lam = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("lmbda")
-    rows = _long(profile, cols).select("feature", "x", lam)
-    agg = rows.groupBy("feature", "lmbda").agg(
-        F.var_pop(_boxcox(F.col("x"), F.col("lmbda"))).alias("v"),
-        F.sum(F.ln("x")).alias("slx"), F.count(F.lit(1)).alias("n"))
-    llf = (F.col("lmbda") - 1) * F.col("slx") - F.col("n") / 2 * F.ln("v")
+    logs = logs if logs is not None else mean_logs(profile, cols)
+    grid = F.create_map(*[v for c in cols for v in (F.lit(c), F.array(*[F.lit(float(g)) for g in grids.get(c, [])]).cast("array<double>"))])
+    mean = F.create_map(*[v for c in cols for v in (F.lit(c), F.lit(logs.get(c)).cast("double"))])
+    rows = _long(profile, cols).select("feature", (F.col("x") / F.exp(mean[F.col("feature")])).alias("x"), F.explode(grid[F.col("feature")]).alias("lmbda"))
+    agg = rows.groupBy("feature", "lmbda").agg(F.var_pop(_boxcox(F.col("x"), F.col("lmbda"))).alias("v"), F.count(F.lit(1)).alias("n"))
+    llf = -F.col("n") / 2 * F.ln("v") - F.col("n") * mean[F.col("feature")]
     return agg.select("feature", "lmbda", llf.alias("llf"))
 
 
-def default_grid(lo: float = -3.0, hi: float = 3.0, steps: int = 120) -> list[float]:
-    """Evenly spaced lambdas, each computed as ``lo + i * (hi - lo) / steps``."""
-    return [lo + i * (hi - lo) / steps for i in range(steps + 1)]
+#: The first grid: STEPS steps of FIRST_STEP to both sides of 0; each next one takes steps twice as long.
+FIRST_STEP, STEPS, REFINE = 0.05, 60, 20
+
 
+def ring(k: int) -> list[float]:
+    """Lambdas of ring ``k``: ring 0 is -3 .. 3, ring k goes on from the edge of ring k - 1 to twice that."""
+    step, edge = FIRST_STEP * 2.0 ** max(0, k - 1), FIRST_STEP * STEPS * 2.0 ** max(0, k - 1)
+    if k == 0:
+        return [FIRST_STEP * i for i in range(-STEPS, STEPS + 1)]
+    return [sign * (edge + step * i) for sign in (-1, 1) for i in range(1, STEPS + 1)]
 
-def boxcox_lambdas(profile: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_rounds: int = 0,
-                   refine_points: int = 40) -> DataFrame:
-    """K2: maximum-likelihood lambda per column, as (column, lmbda, llf).
 
-    Grid search, then ``refine_rounds`` finer grids around each best value:
-    lambda is exact to the last grid step (state it: scipy uses Brent's
-    method).  A column whose variance is zero for every lambda (constant)
-    gets lambda = 1 (identity shape).  Needs positive values.
+def boxcox_lambdas(profile: DataFrame, cols=PROFILE_COLUMNS) -> DataFrame:
+    """K2: maximum-likelihood lambda per column, as (feature, lmbda, llf).
+
+    The likelihood has one top.  The search widens ring by ring, without bound, for
+    the columns whose best lambda is the edge of what was searched; then one finer
+    grid divides the steps on both sides of the best by REFINE.  The original uses
+    Brent's method; lambda here is exact to a twentieth of the ring's step.  A column
+    without variance or with values that aren't positive gets lambda = 1.  Each round is one aggregate for
+    all columns; the driver sees one row per column and round.
     """
-    grid = list(grid if grid is not None else default_grid())
-    step = (max(grid) - min(grid)) / max(len(grid) - 1, 1)
-    best = _best(boxcox_llf(profile, cols, grid))
-    for _ in range(refine_rounds):
-        centers = {r["feature"]: r["lmbda"] for r in best.collect()}  # one row per column
-        rows = None
-        for c, lam0 in centers.items():
-            if lam0 is None:
-                continue
-            g = [lam0 - step + 2 * step * i / refine_points for i in range(refine_points + 1)]
-            part = boxcox_llf(profile, [c], g)
-            rows = part if rows is None else rows.unionByName(part)
-        step = 2 * step / refine_points
-        if rows is not None:
-            best = _best(rows)
-    names = profile.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-    return (names.join(best, "feature", "left")
-            .select("feature", F.coalesce("lmbda", F.lit(1.0)).alias("lmbda"), "llf"))
+    best: dict[str, tuple[float, float, float]] = {}  # feature -> (llf, lambda, step)
+    logs = mean_logs(profile, cols)
+    open_, k = [c for c in cols if c in logs], 0
+    while open_:
+        grid = ring(k)
+        step = FIRST_STEP * 2.0 ** max(0, k - 1)
+        for r in _best(boxcox_llf(profile, open_, {c: grid for c in open_}, logs)).collect():
+            if r["lmbda"] is not None and (r["feature"] not in best or r["llf"] > best[r["feature"]][0]):
+                best[r["feature"]] = (r["llf"], r["lmbda"], step)
+        edge = max(grid)
+        open_ = [c for c in open_ if c in best and abs(best[c][1]) == edge]
+        k += 1
+    if best:
+        grids = {c: [lam + step * i / REFINE for i in range(-REFINE, REFINE + 1)] for c, (_, lam, step) in best.items()}
+        for r in _best(boxcox_llf(profile, list(best), grids, logs)).collect():
+            if r["lmbda"] is not None:
+                best[r["feature"]] = (r["llf"], r["lmbda"], best[r["feature"]][2])
+    rows = [(c, float(best[c][1]) if c in best else 1.0, float(best[c][0]) if c in best else None) for c in cols]
+    return profile.sparkSession.createDataFrame(rows, "feature string, lmbda double, llf double")
 
 
 def _best(llf: DataFrame) -> DataFrame:
-    top = F.max(F.when(F.col("llf").isNotNull() & ~F.isnan("llf"), F.struct("llf", "lmbda")))
+    good = F.col("llf").isNotNull() & ~F.isnan("llf") & (F.abs("llf") < float("inf"))
+    # of equal likelihoods the lambda nearest to 0, then the larger one
+    top = F.max(F.when(good, F.struct("llf", (-F.abs("lmbda")).alias("near"), "lmbda")))
     return llf.groupBy("feature").agg(top.alias("b")).select("feature", "b.lmbda", "b.llf")
 
 
@@ -124,7 +142,7 @@ def standardize(df: DataFrame, cols=PROFILE_COLUMNS) -> DataFrame:
     return df.withColumns(out)
 
 
-def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_rounds: int = 0,
+def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS,
                    materialize_as: str | None = "parquet") -> DataFrame:
     """K1 -> K2 -> K3 with a ``features`` vector column.
 
@@ -133,7 +151,7 @@ def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS, grid=None, refine_ro
     """
     prof = materialize(product_profile(demand), "profile", materialize_as)
     # One lambda per feature: fetched once and applied as literals.
-    lam = {r["feature"]: r["lmbda"] for r in boxcox_lambdas(prof, cols, grid, refine_rounds).collect()}
+    lam = {r["feature"]: r["lmbda"] for r in boxcox_lambdas(prof, cols).collect()}
     z = materialize(standardize(apply_boxcox(prof, lam, cols), cols), "scaled", materialize_as)
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(z)
 
@@ -146,14 +164,15 @@ def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
     is Euclidean), so the best k can differ from the original.  The input is
     persisted once; the fits for different k are independent jobs and are
     submitted concurrently (``parallelism`` driver threads), so small inputs
-    do not leave the cluster idle between short jobs.
+    do not leave the cluster idle between short jobs.  Fewer rows than clusters are
+    an error, never fewer clusters.
     """
     if max_clusters < 2:
-        raise ValueError("max_clusters must be at least 2.")
+        raise ValueError(f"a sweep needs k from 2 on; max_clusters is {max_clusters}")
     data = features.select(features_col).persist()
     try:
-        if data.limit(2).count() < 2:
-            raise ValueError("Input data must have at least 2 samples.")
+        if (n := data.limit(max_clusters).count()) < max_clusters:
+            raise ValueError(f"{n} rows can't form up to {max_clusters} clusters; lower max_clusters")
         evaluator = ClusteringEvaluator(featuresCol=features_col, metricName="silhouette")
 
         def score(k: int) -> tuple[int, float]:
@@ -174,9 +193,9 @@ def best_k(scores: DataFrame) -> int:
 
 
 def item_clusters(demand: DataFrame, max_clusters: int = 10, seed: int = 42,
-                  grid=None, refine_rounds: int = 2, materialize_as: str | None = "parquet") -> DataFrame:
+                  materialize_as: str | None = "parquet") -> DataFrame:
     """K5 labels: (stock_code, product_type)."""
-    feats = scaled_profile(demand, grid=grid, refine_rounds=refine_rounds, materialize_as=materialize_as)
+    feats = scaled_profile(demand, materialize_as=materialize_as)
     feats = feats.persist()
     try:
         k = best_k(select_k(feats, max_clusters, seed))
@@ -236,17 +255,17 @@ def series_vectors(demand: DataFrame) -> DataFrame:
     """
     dates = demand.select("date").distinct()
     dates = dates.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("i"))
-    cells = series_matrix(demand).join(F.broadcast(dates), "date")
-    m = cells.groupBy("stock_code").agg(
-        F.map_from_entries(F.collect_list(F.struct("i", F.col("qty").cast("double")))).alias("m"))
-    st = series_stats(demand)
-    v = m.join(st, "stock_code")
-    sd = F.col("series_std")
-    arr = F.transform(
-        F.sequence(F.lit(0), F.col("n_dates") - 1),
-        lambda i: F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise(
-            (F.coalesce(F.try_element_at("m", i), F.lit(0.0)) - F.col("series_mean")) / sd))
-    return v.select("stock_code", array_to_vector(arr).alias("features"))
+    cells = series_matrix(demand).join(F.broadcast(dates), "date").join(series_stats(demand), "stock_code")
+    flat = F.col("series_std").isNull() | (F.col("series_std") == 0)
+    z = lambda q: F.when(flat, F.lit(0.0)).otherwise((q - F.col("series_mean")) / F.col("series_std"))
+    seen = cells.select("stock_code", "n_dates", z(F.lit(0.0)).alias("zero"), F.struct("i", z(F.col("qty").cast("double")).alias("z")).alias("cell"))
+    row = seen.groupBy("stock_code", "n_dates", "zero").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
+    # one pass over the sorted cells: before each, the zero days since the one before
+    zeros = lambda n, zero: F.array_repeat(zero, F.greatest(n, F.lit(0)))
+    padded = F.transform("cells", lambda c, k: F.concat(
+        zeros(c["i"] - F.when(k == 0, F.lit(0)).otherwise(F.get(F.col("cells"), k - 1)["i"] + 1), F.col("zero")), F.array(c["z"])))
+    tail = zeros(F.col("n_dates") - 1 - F.element_at("cells", -1)["i"], F.col("zero"))
+    return row.select("stock_code", array_to_vector(F.concat(F.flatten(padded), tail)).alias("features"))
 
 
 def series_clusters(demand: DataFrame, max_cluster: int = 3, seed: int = 42,
@@ -259,7 +278,7 @@ def series_clusters(demand: DataFrame, max_cluster: int = 3, seed: int = 42,
     narrow = materialize(demand.select("stock_code", "date", "qty"), "series", materialize_as)
     vec = series_vectors(narrow).persist()
     try:
-        k = max(1, min(max_cluster, vec.count()))
+        k = max(1, min(max_cluster, vec.limit(max_cluster).count()))  # at most max_cluster, as in the original
         model = BisectingKMeans(k=k, seed=seed).fit(vec)
         labels = model.transform(vec).select("stock_code",
                                              F.col("prediction").alias("time_series_type"))

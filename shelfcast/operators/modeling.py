@@ -3,9 +3,10 @@
 The original wraps a gradient-boosted tree library with time-ordered
 categorical statistics and an overfitting detector.  Here:
 
-* categoricals: low-cardinality string columns -> ``StringIndexer``
-  (categorical metadata for the trees); high-cardinality ones -> ordered
-  target statistics (M15), computed with a running window over dates;
+* categoricals: every string column -> ordered target statistics (M15),
+  computed with a running window over dates, whatever its number of values;
+  columns that the caller declares ``indexed`` -> ``StringIndexer``
+  (categorical metadata for the trees);
 * missing numeric values -> a sentinel below the column minimum (Spark trees
   do not take nulls);
 * ``GBTRegressor`` with squared loss; patience-based early stopping from
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.evaluation import time_split
+from shelfcast.session import materialize
 
 # The overfitting detector's patience.
 OD_WAIT = 40
@@ -68,29 +70,28 @@ def ordered_target_encoding(df: DataFrame, cat_col: str, target: str = "qty", da
 class FeaturePlan:
     """How each input column enters the feature vector."""
     numeric: list[str]
-    indexed: list[str]          # low-cardinality strings -> StringIndexer
-    encoded: list[str]          # high-cardinality strings -> ordered target statistics
+    indexed: list[str]          # declared: string columns -> StringIndexer
+    encoded: list[str]          # all other string columns -> ordered target statistics
     sentinels: dict[str, float] = field(default_factory=dict)
 
     def vector_inputs(self) -> list[str]:
         return self.numeric + [f"{c}_idx" for c in self.indexed] + [f"{c}_te" for c in self.encoded]
 
 
-def plan_features(df: DataFrame, label: str = "qty", date_col: str = "date",
-                  exclude: tuple[str, ...] = (), max_bins: int = 32) -> FeaturePlan:
-    """M1: object (string) columns are categorical; the distinct count (one
-    approximate aggregate over all columns) decides indexer vs encoding."""
-    dtypes = dict(df.dtypes)
-    cols = [c for c in df.columns if c not in (label, date_col, *exclude)]
+def plan_features(train: DataFrame, label: str = "qty", date_col: str = "date",
+                  exclude: tuple[str, ...] = (), indexed: tuple[str, ...] = ()) -> FeaturePlan:
+    """M1: string columns are categorical; the caller's ``indexed`` says which get an index.
+
+    The treatment never depends on the data's size.  Sentinels (for missing numbers)
+    come from ``train``, the training rows, in one aggregate.
+    """
+    dtypes = dict(train.dtypes)
+    cols = [c for c in train.columns if c not in (label, date_col, *exclude)]
     strings = [c for c in cols if dtypes[c] == "string"]
     numeric = [c for c in cols if c not in strings and dtypes[c] not in ("date", "timestamp")]
-    aggs = [F.approx_count_distinct(c).alias(f"n_{c}") for c in strings]
-    aggs += [F.min(c).cast("double").alias(f"min_{c}") for c in numeric]
-    row = df.agg(*aggs).first() if aggs else None
-    indexed = [c for c in strings if row[f"n_{c}"] + 1 <= max_bins]
-    encoded = [c for c in strings if c not in indexed]
-    sentinels = {c: (row[f"min_{c}"] - 1.0 if row[f"min_{c}"] is not None else -1.0) for c in numeric}
-    return FeaturePlan(numeric, indexed, encoded, sentinels)
+    row = train.agg(*[F.min(c).cast("double").alias(c) for c in numeric]).first() if numeric else None
+    sentinels = {c: (row[c] - 1.0 if row[c] is not None else -1.0) for c in numeric}
+    return FeaturePlan(numeric, [c for c in strings if c in indexed], [c for c in strings if c not in indexed], sentinels)
 
 
 def prepare_categoricals(df: DataFrame, columns: list[str]) -> tuple[DataFrame, PipelineModel]:
@@ -122,53 +123,68 @@ class DemandModel:
 
     # -- data ---------------------------------------------------------------
     def set_data(self, df: DataFrame, horizon: str, label: str = "qty", date_col: str = "date",
-                 weight_col: str | None = None, exclude: tuple[str, ...] = (), max_bins: int = 32,
+                 weight_col: str | None = None, exclude: tuple[str, ...] = (), indexed: tuple[str, ...] = (),
                  categorical: tuple[str, ...] = ("product_type", "time_series_type")):
-        """M2/M3: split by date; build features on the training side only.
+        """M2/M3: split by date; everything fitted is fitted on the training side only.
 
         ``categorical`` columns (the cluster labels, object-typed in the
         original) are cast to text so they are treated as categories.
         Weights travel with their rows (the original passed the unsplit
         weight vector to both sides)."""
-        self.label, self.date_col, self.weight_col = label, date_col, weight_col
         self.horizon = horizon
-        cats = [c for c in categorical if c in df.columns]
-        if cats:
-            df = df.withColumns({c: F.col(c).cast("string") for c in cats})
-        ex = tuple(exclude) + ((weight_col,) if weight_col else ())
-        plan = plan_features(df, label, date_col, ex, max_bins)
-        train_mask = F.col(date_col) < F.lit(horizon).cast("date")
-        d = df
-        for c in plan.encoded:
-            d = ordered_target_encoding(d, c, label, date_col, use_rows=train_mask)
-        d = d.fillna(plan.sentinels)
-        train, val = time_split(d, horizon, date_col)
-        self.feature_plan = plan
-        stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
-                  for c in plan.indexed]
-        stages.append(VectorAssembler(inputCols=plan.vector_inputs(), outputCol="features",
-                                      handleInvalid="keep"))
-        self.prep = Pipeline(stages=stages).fit(train)
-        self.set_data_pool(self.prep.transform(train), self.prep.transform(val))
-        return self
+        self._names(label, date_col, weight_col)
+        self.categorical = tuple(c for c in categorical if c in df.columns)
+        train, val = time_split(self._texts(df), horizon, date_col)
+        self.feature_plan = plan = plan_features(train, label, date_col, (*exclude, *([weight_col] if weight_col else [])), indexed)
+        # what a category's rows sum to on each training date; encodings are running sums of it
+        y = F.col(label).cast("double")
+        self.prior = train.agg(F.avg(y)).first()[0]
+        self.encodings = {c: materialize(train.groupBy(c, date_col).agg(F.sum(y).alias("_sy"), F.count(y).alias("_n")), f"encoding-{c}")
+                          for c in plan.encoded}
+        stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in plan.indexed]
+        stages.append(VectorAssembler(inputCols=plan.vector_inputs(), outputCol="features", handleInvalid="keep"))
+        self.prep = Pipeline(stages=stages).fit(self._encoded(train))
+        return self.set_data_pool(self.transform_features(train), self.transform_features(val), label, date_col, weight_col)
+
+    def _names(self, label: str, date_col: str, weight_col: str | None) -> None:
+        self.label, self.date_col, self.weight_col = label, date_col, weight_col
+
+    def _texts(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("string") for c in self.categorical if c in df.columns}) if self.categorical else df
 
-    def set_data_pool(self, train: DataFrame, val: DataFrame, persist: bool = True):
-        """Ready train and validation sets with ``features`` and the label.
+    def _encoded(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``<cat>_te`` and without missing numbers.
 
-        Both are read by the fit, by the per-iteration evaluation of each, by
-        a refit and by the result tables, so they are persisted (memory and
-        disk; a lost block is recomputed from lineage).  ``release()`` frees them.
+        A row's statistic is over the category's training rows of strictly earlier
+        dates, so rows after training see all of them; an unseen category (or no
+        earlier row) gets the prior.
         """
-        if persist:
-            train, val = train.persist(), val.persist()
-        self.train, self.val = train, val
+        for c, daily in self.encodings.items():
+            asked = df.select(c, self.date_col).distinct().withColumns({"_sy": F.lit(0.0), "_n": F.lit(0).cast("long")})
+            both = daily.unionByName(asked).groupBy(c, self.date_col).agg(F.sum("_sy").alias("_sy"), F.sum("_n").alias("_n"))
+            w = Window.partitionBy(c).orderBy(self.date_col).rowsBetween(Window.unboundedPreceding, -1)
+            value = ((F.coalesce(F.sum("_sy").over(w), F.lit(0.0)) + F.lit(self.prior))
+                     / (F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(1.0)))
+            table = both.select(F.col(c).alias("_c"), F.col(self.date_col).alias("_d"), value.alias(f"{c}_te"))
+            df = df.join(table, df[c].eqNullSafe(table["_c"]) & df[self.date_col].eqNullSafe(table["_d"]), "left").drop("_c", "_d")
+        return df.fillna(self.feature_plan.sentinels) if self.feature_plan.sentinels else df
+
+    def transform_features(self, df: DataFrame) -> DataFrame:
+        """M8: demand rows with the fitted encodings, sentinels and ``features``, ready to be scored."""
+        return self.prep.transform(self._encoded(self._texts(df)))
+
+    def set_data_pool(self, train: DataFrame, val: DataFrame, label: str = "qty", date_col: str = "date",
+                      weight_col: str | None = None):
+        """Ready training and validation sets with ``features``, label, date and weight columns.
+
+        Works on its own, without :meth:`set_data`.  Both sets are read by the fit, by
+        each iteration's evaluation, by a refit and by the result tables, so they are
+        written to the shared checkpoint folder; nothing stays cached.
+        """
+        self._names(label, date_col, weight_col)
+        self.train, self.val = materialize(train, f"{self.name}-train"), materialize(val, f"{self.name}-validation")
         return self
 
-    def release(self):
-        """Unpersist the training and validation sets."""
-        self.train.unpersist()
-        self.val.unpersist()
-
     # -- model --------------------------------------------------------------
     def _regressor(self, iterations: int) -> GBTRegressor:
         p = self.params
@@ -182,7 +198,11 @@ class DemandModel:
         return GBTRegressor(**kw)
 
     def learn(self, early_stopping: bool = True):
-        """M4/M5/M6: fit, read the per-iteration curves, stop by patience, refit."""
+        """M4/M5/M6: fit, read the per-iteration curves, stop by patience, refit.
+
+        Spark's trees can't be stopped while they are grown, so the whole budget is
+        fitted and then, if patience ran out, the best count once more: up to twice the cost.
+        """
         iters = int(self.params.get("iterations", 100))
         model = self._regressor(iters).fit(self.train)
         # The curves (and the stopping rule) follow eval_metric: RMSE -> root of
@@ -215,8 +235,8 @@ class DemandModel:
                         f"{directory}/{side}")
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """M8: add ``prediction``."""
-        return self.model.transform(df)
+        """M8: add ``prediction`` to demand rows, raw or already with ``features``."""
+        return self.model.transform(df if "features" in df.columns else self.transform_features(df))
 
     def score(self) -> float:
         """M7: R^2 on the validation set."""
@@ -235,7 +255,7 @@ class DemandModel:
         return self.get_val_results().groupBy("month").agg(F.sqrt(F.avg("squared_error")).alias("rmse"))
 
     # -- explanation --------------------------------------------------------
-    def feature_importance(self, n_buckets: int = 64, seed: int = 7) -> DataFrame:
+    def feature_importance(self, rows_per_bucket: int = 100_000, seed: int = 7) -> DataFrame:
         """M13 (re-aimed from per-row SHAP): split-gain importance plus
         permutation importance (validation RMSE increase when one feature's
         values are shuffled between rows)."""
@@ -246,7 +266,7 @@ class DemandModel:
         raw_val = self.val.drop("features")
         assembler = [s for s in self.prep.stages if isinstance(s, VectorAssembler)][0]
         for name, g in zip(names, gain):
-            shuffled = assembler.transform(permute_column(raw_val, name, n_buckets, seed))
+            shuffled = assembler.transform(permute_column(raw_val, name, rows_per_bucket, seed))
             rows.append((name, float(g), self._rmse(shuffled) - base))
         spark = self.val.sparkSession
         return spark.createDataFrame(rows, "feature string, gain_importance double, permutation_delta_rmse double")
@@ -255,7 +275,9 @@ class DemandModel:
         """M14 (re-aimed from SHAP dependence plots): partial dependence, the
         mean prediction over the validation rows with ``feature1`` (and
         ``feature2``) set to each grid value.  Grids are quantiles, so their
-        size is the ``points`` parameter, not the data."""
+        size is the ``points`` parameter, not the data: each validation row is
+        scored ``points`` (squared, for two features) times, on the map side,
+        and only sums are shuffled."""
         raw_val = self.val.drop("features")
         assembler = [s for s in self.prep.stages if isinstance(s, VectorAssembler)][0]
         d = raw_val
@@ -274,15 +296,16 @@ class DemandModel:
         return ev.evaluate(self.model.transform(df))
 
 
-def permute_column(df: DataFrame, col: str, n_buckets: int = 64, seed: int = 7) -> DataFrame:
-    """Shuffle one column's values between rows, distributed: rows go to
-    random buckets, and inside each bucket (random order) every row takes the
-    value of the previous row (the first takes the last).  Buckets keep each
-    window small and evenly sized whatever the key skew."""
-    b = (F.rand(seed) * n_buckets).cast("int")
-    r = F.rand(seed + 1)
-    d = df.withColumns({"_b": b, "_r": r})
-    w = Window.partitionBy("_b").orderBy("_r")
-    wl = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shifted = F.coalesce(F.lag(col, 1).over(w), F.last(col).over(wl))
-    return d.withColumn(col, shifted).drop("_b", "_r")
+def permute_column(df: DataFrame, col: str, rows_per_bucket: int = 100_000, seed: int = 7) -> DataFrame:
+    """Shuffle one column's values between rows, distributed.
+
+    Rows go to random buckets, as many as keep about ``rows_per_bucket`` rows in each
+    whatever the data's size, and inside a bucket (in random order) every row takes the
+    value of the row before; the first takes the last row's, an aggregate per bucket.
+    """
+    n_buckets = max(1, math.ceil(df.count() / rows_per_bucket))
+    d = df.withColumns({"_b": (F.rand(seed) * n_buckets).cast("int"), "_r": F.rand(seed + 1)})
+    last = d.groupBy("_b").agg(F.max_by(F.struct(F.col(col).alias("v")), "_r").alias("_last"))
+    before = F.lag(F.struct(F.col(col).alias("v")), 1).over(Window.partitionBy("_b").orderBy("_r"))
+    shifted = d.withColumn("_before", before).join(last, "_b")
+    return shifted.withColumn(col, F.coalesce("_before", "_last")["v"]).drop("_b", "_r", "_before", "_last")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import accuracy as A
@@ -21,7 +21,8 @@ from shelfcast.operators import modeling as MD
 from shelfcast.plans.cleaning import clean_stage_frames, cleaning_audit
 from shelfcast.plans.demand import demand_table, prepare_demand
 from shelfcast.session import materialize, scratch_dir
-from shelfcast.sources.files import RAW_SCHEMA, read_scored, read_transactions, union_parts, write_table
+from shelfcast.sources.files import (RAW_SCHEMA, read_scored, read_text_table, read_transactions, union_parts,
+                                     write_table)
 from shelfcast.sources.retail_view import retail_transactions
 from shelfcast.streaming import run_item_accuracy
 
@@ -42,40 +43,36 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(*cols)
 
 
-def stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return dict(clean_stage_frames(raw_lines(spark, sf_dir), ORDER))
+def stage(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
+    """The lines after ``rule``; later rules are neither planned nor run."""
+    return clean_stage_frames(raw_lines(spark, sf_dir), ORDER, until=rule)[-1][1]
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stages(spark, sf_dir)["finalize_columns"]
+    return stage(spark, sf_dir, "finalize_columns")
 
 
 def _stage(name: str, cols: list[str]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
-        return stages(spark, sf_dir)[name].select(*cols)
+        return stage(spark, sf_dir, name).select(*cols)
     run.__name__ = name
     return run
 
 
-def _after_adjustments(spark, sf_dir):
-    st = stages(spark, sf_dir)
-    return st["drop_adjustments"]
-
-
 def q_cancellation_pairs(spark, sf_dir):
-    return M.cancellation_pairs(_after_adjustments(spark, sf_dir), ORDER)
+    return M.cancellation_pairs(stage(spark, sf_dir, "drop_adjustments"), ORDER)
 
 
 def q_odd_code_fragments(spark, sf_dir):
-    return M.odd_code_fragments(stages(spark, sf_dir)["drop_cancelled"])
+    return M.odd_code_fragments(stage(spark, sf_dir, "drop_cancelled"))
 
 
 def q_inconsistent_descriptions(spark, sf_dir):
-    return C.inconsistent_descriptions(stages(spark, sf_dir)["upper_code"])
+    return C.inconsistent_descriptions(stage(spark, sf_dir, "upper_code"))
 
 
 def q_description_modes(spark, sf_dir):
-    return C.description_modes(stages(spark, sf_dir)["upper_code"])
+    return C.description_modes(stage(spark, sf_dir, "upper_code"))
 
 
 def q_cleaning_audit(spark, sf_dir):
@@ -286,13 +283,12 @@ def _profile(spark, sf_dir):
 
 
 def q_boxcox(spark, sf_dir):
-    prof = _profile(spark, sf_dir)
-    return rounded(K.boxcox_lambdas(prof, grid=K.default_grid()), ["lmbda", "llf"])
+    return rounded(K.boxcox_lambdas(_profile(spark, sf_dir)), ["lmbda", "llf"], 4)
 
 
 def q_standardize(spark, sf_dir):
     prof = _profile(spark, sf_dir)
-    lam = K.boxcox_lambdas(prof, grid=K.default_grid())
+    lam = K.boxcox_lambdas(prof)
     z = K.standardize(K.apply_boxcox(prof, lam))
     return rounded(z.select("stock_code", *PROFILE), PROFILE, 4)
 
@@ -306,25 +302,42 @@ def q_series_zscore(spark, sf_dir):
                    ["series_mean", "series_std", "zero_z"])
 
 
+def _labelled(df: DataFrame, label: str, n: int):
+    """Whether the label is one of ``n`` and the same on all rows of its stock."""
+    w = Window.partitionBy("stock_code")
+    one = F.min(label).over(w) == F.max(label).over(w)
+    return F.coalesce(F.col(label).between(0, n - 1) & one, F.lit(False))
+
+
 def q_select_k(spark, sf_dir):
-    feats = K.scaled_profile(q_demand_daily(spark, sf_dir), refine_rounds=2)
-    return K.select_k(feats, max_clusters=10)
+    """K4: the tried k with the silhouette's validity (its value depends on the fitted model)."""
+    scores = K.select_k(K.scaled_profile(q_demand_daily(spark, sf_dir)), max_clusters=10)
+    return scores.select("k", F.col("silhouette").between(-1, 1).alias("valid"))
 
 
 def q_item_cluster(spark, sf_dir):
-    return K.item_clusters(q_demand_daily(spark, sf_dir), max_clusters=10)
+    """K5/K9: every stock with whether it has one label in range."""
+    labels = K.item_clusters(q_demand_daily(spark, sf_dir), max_clusters=10)
+    return labels.select("stock_code", _labelled(labels, "product_type", 10).alias("valid"))
 
 
 def q_series_cluster(spark, sf_dir):
-    return K.series_clusters(q_demand_daily(spark, sf_dir), max_cluster=3)
+    labels = K.series_clusters(q_demand_daily(spark, sf_dir), max_cluster=3)
+    return labels.select("stock_code", _labelled(labels, "time_series_type", 3).alias("valid"))
+
+
+def _checked_demand(spark, sf_dir, level):
+    """The model table with its labels replaced by their validity."""
+    d = prepare_demand(clean(spark, sf_dir), level, ORDER)
+    return d.withColumns({"product_type": _labelled(d, "product_type", 10), "time_series_type": _labelled(d, "time_series_type", 3)})
 
 
 def q_prepare_demand(spark, sf_dir):
-    return prepare_demand(clean(spark, sf_dir), "day", ORDER)
+    return _checked_demand(spark, sf_dir, "day")
 
 
 def q_prepare_demand_weekly(spark, sf_dir):
-    return prepare_demand(clean(spark, sf_dir), "week", ORDER)
+    return _checked_demand(spark, sf_dir, "week")
 
 
 def cluster_queries() -> dict[str, Callable]:
@@ -345,22 +358,41 @@ def cluster_queries() -> dict[str, Callable]:
 
 # ------------------------------------------------------------------- model
 
-# Fixed parameters of the registered model queries (kept small: each fits trees).
-MODEL_PARAMS = {"loss": "RMSE", "seed": 42, "iterations": 10, "max_depth": 4,
+# Fixed parameters of the registered model queries: a budget beyond the detector's
+# patience of 40 iterations, so that it can stop.
+MODEL_PARAMS = {"loss": "RMSE", "seed": 42, "iterations": 60, "max_depth": 4,
                 "eval_metric": "RMSE", "learning_rate": 0.3}
 
+_models: dict[tuple, MD.DemandModel] = {}
+
 
 def _demand_frozen(spark, sf_dir):
     return materialize(q_demand_daily(spark, sf_dir), "demand")
 
 
-def _fitted(spark, sf_dir, weight: bool = False):
-    d = _demand_frozen(spark, sf_dir)
-    if weight:
-        d = d.withColumn("weight", (F.col("peak_season") + 1).cast("double"))
-    m = MD.DemandModel("demand", MODEL_PARAMS)
-    m.set_data(d, HORIZON, weight_col="weight" if weight else None)
-    return m.learn()
+def _fitted(spark, sf_dir, weight: bool = False) -> MD.DemandModel:
+    """The fitted model of a folder, fitted once per application and shared by the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, weight)
+    if key not in _models:
+        d = _demand_frozen(spark, sf_dir)
+        if weight:
+            d = d.withColumn("weight", (F.col("peak_season") + 1).cast("double"))
+        m = MD.DemandModel("demand", MODEL_PARAMS)
+        m.demand = d
+        m.set_data(d, HORIZON, weight_col="weight" if weight else None)
+        _models[key] = m.learn()
+    return _models[key]
+
+
+def _finite(c: str):
+    return F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False))
+
+
+def _curve(m: MD.DemandModel) -> DataFrame:
+    """Iterations with whether the training error did not rise."""
+    before = F.lag("train_rmse").over(Window.orderBy("iter"))  # one row per iteration
+    falls = F.coalesce(F.col("train_rmse") <= before + 1e-9, F.lit(True)) & _finite("val_rmse")
+    return m.learning_curve().select("iter", falls.alias("valid"))
 
 
 def q_ordered_target_encoding(spark, sf_dir):
@@ -369,58 +401,73 @@ def q_ordered_target_encoding(spark, sf_dir):
 
 
 def q_prepare_categoricals(spark, sf_dir):
-    d = _demand_frozen(spark, sf_dir).select("stock_code", "description")
-    out, _ = MD.prepare_categoricals(d, ["stock_code", "description"])
+    """M1: the country column indexed by frequency, then name."""
+    out, _ = MD.prepare_categoricals(clean(spark, sf_dir).select("country"), ["country"])
     return out
 
 
 def q_fit_demand_model(spark, sf_dir):
-    return _fitted(spark, sf_dir).get_val_results()
+    """M4/M9: the validation rows with whether prediction and errors are finite."""
+    res = _fitted(spark, sf_dir).get_val_results()
+    return res.select("qty", "month", (_finite("prediction") & _finite("squared_error")).alias("valid"))
 
 
 def q_early_stopping(spark, sf_dir):
+    """M5: whether the kept tree count is the best iteration's, within the budget."""
     m = _fitted(spark, sf_dir)
-    return spark.createDataFrame([(m.best_iteration, m.tree_count)], "best_iteration int, tree_count int")
+    best = min(m.curve[:m.best_iteration + MD.OD_WAIT], key=lambda c: c[2])[0]
+    return spark.createDataFrame([(m.best_iteration == best and m.tree_count == best + 1 <= MODEL_PARAMS["iterations"],)], "valid boolean")
+
+
+def q_patience_rule(spark, sf_dir):
+    """M5: the overfitting detector over an error curve, the RMSE of each date of the scored forecast."""
+    daily = scored(spark, sf_dir).groupBy("date").agg(F.sqrt(F.avg(F.pow(F.col("predictions") - F.col("qty"), 2))).alias("error"))
+    curve = daily.select((F.row_number().over(Window.orderBy("date")) - 1).alias("iter"), F.round("error", 6).alias("error"))
+    return EV.patience_rule(curve, MD.OD_WAIT)
 
 
 def q_learning_curve(spark, sf_dir):
-    return _fitted(spark, sf_dir).learning_curve()
+    return _curve(_fitted(spark, sf_dir))
 
 
 def q_predict(spark, sf_dir):
+    """M8: raw demand rows on and after the horizon, scored through the public method."""
     m = _fitted(spark, sf_dir)
-    return m.predict(m.val).select("stock_code", "date", "prediction")
+    rows = m.demand.where(F.col("date") >= F.lit(HORIZON).cast("date"))
+    return m.predict(rows).select("stock_code", "date", "price", "description", _finite("prediction").alias("valid"))
 
 
 def q_model_score(spark, sf_dir):
-    m = _fitted(spark, sf_dir)
-    return spark.createDataFrame([(float(m.score()),)], "r2 double")
+    r2 = float(_fitted(spark, sf_dir).score())
+    return spark.createDataFrame([(r2 <= 1.0 and r2 > float("-inf"),)], "valid boolean")
 
 
 def q_model_monthly_rmse(spark, sf_dir):
-    return _fitted(spark, sf_dir).get_monthly_rmse()
+    return _fitted(spark, sf_dir).get_monthly_rmse().select("month", (F.col("rmse") >= 0).alias("valid"))
 
 
 def q_sample_weight(spark, sf_dir):
     m = _fitted(spark, sf_dir, weight=True)
-    return m.predict(m.val).select("stock_code", "date", "weight", "prediction")
+    return m.predict(m.val).select("stock_code", "date", "weight", _finite("prediction").alias("valid"))
 
 
 def q_set_data_pool(spark, sf_dir):
+    """Ready sets given to a new model by its public methods alone."""
     m = _fitted(spark, sf_dir)
-    pool = MD.DemandModel("pool", MODEL_PARAMS)
-    pool.label, pool.date_col, pool.weight_col = "qty", "date", None
-    pool.feature_plan, pool.prep = m.feature_plan, m.prep
-    pool.set_data_pool(m.train, m.val).learn()
-    return pool.learning_curve()
+    pool = MD.DemandModel("pool", {**MODEL_PARAMS, "iterations": 10})
+    return _curve(pool.set_data_pool(m.train, m.val, label="qty", date_col="date").learn())
 
 
 def q_feature_importance(spark, sf_dir):
-    return _fitted(spark, sf_dir).feature_importance()
+    """The features with whether both importances are finite."""
+    imp = _fitted(spark, sf_dir).feature_importance()
+    return imp.select("feature", (_finite("gain_importance") & _finite("permutation_delta_rmse")).alias("valid"))
 
 
 def q_feature_dependence(spark, sf_dir):
-    return _fitted(spark, sf_dir).feature_dependence("price", "qty_lag1d", points=5)
+    """The rows scored for each grid cell, over all cells."""
+    dep = _fitted(spark, sf_dir).feature_dependence("price", "qty_lag1d", points=5)
+    return dep.groupBy("n_rows").agg(F.every(_finite("mean_prediction")).alias("valid"))
 
 
 def model_queries() -> dict[str, Callable]:
@@ -429,6 +476,7 @@ def model_queries() -> dict[str, Callable]:
         "prepare_categoricals": q_prepare_categoricals,
         "fit_demand_model": q_fit_demand_model,
         "early_stopping": q_early_stopping,
+        "patience_rule": q_patience_rule,
         "learning_curve": q_learning_curve,
         "predict": q_predict,
         "model_score": q_model_score,
@@ -446,16 +494,22 @@ def model_queries() -> dict[str, Callable]:
 RAW_NAMES = [f.name for f in RAW_SCHEMA.fields]
 
 
+def _awkward(df: DataFrame, column: str, qty: str) -> DataFrame:
+    """Quotes, a tab, a semicolon and blanks in the text of every seventh quantity."""
+    text = F.concat(F.col(column), F.lit(' 12" "RULER"\t; '))
+    return df.withColumn(column, F.when(F.col(qty) % 7 == 0, text).otherwise(F.col(column)))
+
+
 def q_read_transactions(spark, sf_dir):
     """S1 round trip: the raw view as an ISO-8859-1 TSV, read back typed."""
     path = scratch_dir(spark, "raw-tsv")
-    write_table(raw_lines(spark, sf_dir).select(*RAW_NAMES), path, encoding="ISO-8859-1")
+    write_table(_awkward(raw_lines(spark, sf_dir).select(*RAW_NAMES), "Description", "Quantity"), path, encoding="ISO-8859-1")
     return read_transactions(spark, path).select(*RAW_NAMES)
 
 
 def q_union_parts(spark, sf_dir):
     """Two text parts (the second without Country), stacked by name."""
-    raw = raw_lines(spark, sf_dir).select(*RAW_NAMES)
+    raw = _awkward(raw_lines(spark, sf_dir).select(*RAW_NAMES), "Description", "Quantity")
     year = F.substring("InvoiceDate", 1, 4).cast("int")
     p1, p2 = scratch_dir(spark, "part1"), scratch_dir(spark, "part2")
     write_table(raw.where(year < 1998), p1, sep=",")
@@ -467,12 +521,10 @@ def q_union_parts(spark, sf_dir):
 def q_write_table(spark, sf_dir):
     """S3 round trip of the clean lines."""
     path = scratch_dir(spark, "clean-tsv")
-    write_table(clean(spark, sf_dir).select(*CLEAN_COLS), path)
+    write_table(_awkward(clean(spark, sf_dir).select(*CLEAN_COLS), "description", "qty"), path)
     schema = ("invoice_id string, stock_code string, description string, qty int, price double, "
               "customer_id string, country string, date date")
-    return (spark.read.schema(schema).option("sep", "\t").option("header", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+    return read_text_table(spark, path, schema=schema)
 
 
 def q_item_accuracy_stream(spark, sf_dir):

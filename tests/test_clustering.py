@@ -34,10 +34,24 @@ def test_boxcox_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     x = rng.lognormal(1.0, 0.6, 200)
     df = spark.createDataFrame([(f"s{i}", float(v)) for i, v in enumerate(x)], "stock_code string, a double")
-    got = K.boxcox_lambdas(df, ["a"], refine_rounds=2).first()
+    got = K.boxcox_lambdas(df, ["a"]).first()
     grid = np.linspace(-3, 3, 60001)
     best = grid[np.argmax([_llf(x, g) for g in grid])]
-    assert got.lmbda == pytest.approx(best, abs=2e-3)
+    assert got.lmbda == pytest.approx(best, abs=2.6e-3)
+
+
+@pytest.mark.parametrize("power", [1 / 20, 1 / 40, -1 / 30])
+def test_boxcox_goes_beyond_the_first_grid(spark, power):
+    # x ** (1 / power) is normal, so the best lambda is near 1 / power
+    rng = np.random.default_rng(2)
+    x = rng.normal(10, 1.0, 400) ** power
+    df = spark.createDataFrame([(f"s{i}", float(v), 5.0) for i, v in enumerate(x)], "stock_code string, a double, b double")
+    got = {r.feature: r for r in K.boxcox_lambdas(df, ["a", "b"]).collect()}
+    u = x / np.exp(np.log(x).mean())
+    grid = np.linspace(got["a"].lmbda - 30, got["a"].lmbda + 30, 6001)
+    best = grid[np.argmax([_llf(u, g) for g in grid])]
+    assert abs(best) > 3.5 and got["a"].lmbda == pytest.approx(best, abs=0.1)
+    assert got["b"].lmbda == 1.0  # no variance
 
 
 def test_standardize_population(spark):
@@ -52,6 +66,14 @@ def test_select_k_errors(spark):
         K.select_k(df, max_clusters=1)
 
 
+def test_fewer_stocks_than_clusters_is_an_error(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(Vectors.dense([float(i)]),) for i in range(4)], ["features"])
+    with pytest.raises(ValueError, match="4 rows"):
+        K.select_k(df, max_clusters=10)
+    assert K.select_k(df, max_clusters=3).count() == 2
+
+
 @pytest.fixture(scope="module")
 def daily(spark, clean_small):
     from shelfcast.plans.demand import demand_table
@@ -76,3 +98,19 @@ def test_series_vectors_dense_length(spark, daily):
     n = daily.select("date").distinct().count()
     v = K.series_vectors(daily).first().features
     assert len(v) == n
+
+
+def test_series_vectors_equal_plain_fill(spark):
+    import datetime as dt
+    rng = np.random.default_rng(5)
+    rows = [(s, dt.date(2010, 1, 1) + dt.timedelta(days=int(d)), int(rng.integers(1, 9)))
+            for s in "ABCDE" for d in rng.choice(40, rng.integers(1, 20), replace=False)] + [("F", dt.date(2010, 2, 9), 3)]
+    df = spark.createDataFrame(rows, "stock_code string, date date, qty int")
+    days = sorted({r[1] for r in rows})
+    for r in K.series_vectors(df).collect():
+        x = np.zeros(len(days))
+        for s, d, q in rows:
+            if s == r.stock_code:
+                x[days.index(d)] += q
+        sd = x.std(ddof=1)
+        assert np.allclose(r.features.toArray(), (x - x.mean()) / sd if sd else x * 0)

@@ -29,7 +29,7 @@ def test_ordered_target_statistics_brute_force(spark):
 
 def test_permute_column_keeps_values(spark):
     df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
-    p = MD.permute_column(df, "v", n_buckets=8)
+    p = MD.permute_column(df, "v", rows_per_bucket=25)
     assert sorted(r.v for r in p.collect()) == sorted(r.v for r in df.collect())
     assert p.where(F.col("v") != F.col("k") * 3).count() > 100
 
@@ -56,16 +56,68 @@ def test_model_tables(fitted):
     res = fitted.get_val_results()
     assert res.count() == fitted.val.count()
     assert set(res.columns) == {"qty", "prediction", "error", "month", "squared_error"}
-    imp = fitted.feature_importance(n_buckets=4)
+    imp = fitted.feature_importance(rows_per_bucket=200)
     assert imp.count() == len(fitted.feature_plan.vector_inputs())
     dep = fitted.feature_dependence("price", points=4)
     assert dep.count() <= 4
 
 
-def test_high_cardinality_strings_are_encoded(fitted):
-    plan = fitted.feature_plan
-    assert "stock_code" in plan.encoded + plan.indexed
-    assert "date" not in plan.vector_inputs()
+def _sales(spark, n_codes, days=60):
+    rng = np.random.default_rng(4)
+    rows = [(f"c{i % n_codes}", dt.date(2010, 1, 1) + dt.timedelta(days=d), int(rng.integers(1, 9)) + i % 5, float(i % 7))
+            for d in range(days) for i in range(n_codes)]
+    return spark.createDataFrame(rows, "stock_code string, date date, qty int, price double")
+
+
+@pytest.mark.parametrize("n_codes", [20, 40])
+def test_treatment_does_not_depend_on_the_number_of_codes(spark, n_codes):
+    df = _sales(spark, n_codes, 5)
+    assert MD.plan_features(df).encoded == ["stock_code"] and MD.plan_features(df).indexed == []
+    assert MD.plan_features(df, indexed=("stock_code",)).indexed == ["stock_code"]
+
+
+def test_statistics_come_from_training_rows_only(spark):
+    df = _sales(spark, 4)
+    later = df.withColumn("price", F.when(F.col("date") >= "2010-02-20", -100.0).otherwise(F.col("price")))
+    m = MD.DemandModel("s", {"iterations": 2, "max_depth": 2}).set_data(later, "2010-02-20")
+    assert m.feature_plan.sentinels["price"] == -1.0 and "date" not in m.feature_plan.vector_inputs()
+
+
+def test_scoring_raw_rows_and_unseen_codes(spark, fitted):
+    raw = fitted.val.select(*[c for c in fitted.val.columns if c not in ("features", "stock_code_te", "description_te")])
+    a = fitted.predict(raw).select("stock_code", "date", "price", "description", "prediction")
+    b = fitted.predict(fitted.val).select("stock_code", "date", "price", "description", "prediction")
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    new = fitted.transform_features(raw.limit(3).withColumn("stock_code", F.lit("never seen"))).collect()
+    assert [r.stock_code_te for r in new] == [pytest.approx(fitted.prior)] * 3
+
+
+def test_encoding_equals_ordered_statistics(spark):
+    df = _sales(spark, 6)
+    m = MD.DemandModel("e", {"iterations": 2, "max_depth": 2}).set_data(df, "2010-02-15")
+    use = F.col("date") < "2010-02-15"
+    want = {(r.stock_code, r.date): r.stock_code_te for r in MD.ordered_target_statistics(df, "stock_code", use_rows=use).collect()}
+    for r in m.train.unionByName(m.val).select("stock_code", "date", "stock_code_te").distinct().collect():
+        assert r.stock_code_te == pytest.approx(want[(r.stock_code, r.date)])
+
+
+def test_pool_works_alone_and_stops_early(spark, fitted):
+    # patience of 2 on a shrinking validation gain: the fit keeps fewer trees than its budget
+    pool = MD.DemandModel("p", {"iterations": 25, "max_depth": 5, "learning_rate": 0.9, "od_wait": 2})
+    pool.set_data_pool(fitted.train, fitted.val, label="qty", date_col="date").learn()
+    assert pool.tree_count == pool.best_iteration + 1 < 25 and pool.model.getNumTrees == pool.tree_count
+    assert pool.score() <= 1.0 and pool.learning_curve().count() == 25
+
+
+def test_patience_rule_equals_patience_stop(spark):
+    from shelfcast.operators.evaluation import patience_rule
+    rng = np.random.default_rng(6)
+    for errs in (list(rng.random(60).round(2)), [5, 4, 3] + [3.5] * 50, [1.0], list(range(30, 0, -1))):
+        df = spark.createDataFrame([(i, float(e)) for i, e in enumerate(errs)], "iter int, error double")
+        rows = sorted(patience_rule(df, 5).collect())
+        run = [r for r in rows if r.running]
+        assert run[-1].best_step == MD.patience_stop([float(e) for e in errs], 5)
+        assert [r.iter for r in run] == list(range(len(run)))
 
 
 def test_training_log_files(spark, fitted):
