@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,30 +57,40 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Cut a stream of batches, sorted by ``keys``, into one table per key.
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, and where each group starts, from batches sorted by integer ``keys``.
 
-    Only the group in hand is kept, so callers bound memory by bounding groups.
+    Only a group that goes on in the next batch is kept back, so callers bound memory
+    by bounding groups.
     """
     held: list[pa.RecordBatch] = []
-    last = None
     for b in batches:
         if b.num_rows == 0:
             continue
-        cols = [b.column(b.schema.get_field_index(k)).to_pylist() for k in keys]
-        rows = list(zip(*cols, strict=True))
-        start = 0
-        for i, row in enumerate(rows):
-            if last is not None and row != last:
-                if i > start:
-                    held.append(b.slice(start, i - start))
-                if held:
-                    yield pa.Table.from_batches(held)
-                held, start = [], i
-            last = row
-        held.append(b.slice(start))
+        t = pa.Table.from_batches([*held, b])
+        starts = _starts(t, keys)
+        if starts[-1] > 0:
+            yield t.slice(0, starts[-1]).combine_chunks(), starts[:-1]
+        held = t.slice(starts[-1]).to_batches()
     if held:
-        yield pa.Table.from_batches(held)
+        t = pa.Table.from_batches(held).combine_chunks()
+        yield t, _starts(t, keys)
+
+
+def _starts(t: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(t.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        v = t[k].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """One table per group of batches sorted by integer ``keys``."""
+    for t, starts in whole_groups(batches, keys):
+        for a, b in zip(starts, [*starts[1:], t.num_rows], strict=True):
+            yield t.slice(a, b - a)
 
 
 def blocked(rows: DataFrame, block: int, member: str = "class_id") -> DataFrame:

@@ -94,7 +94,7 @@ def payload_code(docs: DataFrame, paths: tuple[str, str | None], sample: int = S
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(paths, PATTERN)
         for b in batches:
-            ids = np.concatenate(list(encoder.all_ids(b.column(0).to_pylist()))) if b.num_rows else np.empty(0, "<u4")
+            ids = np.concatenate(list(encoder.all_ids(b.column(0)))) if b.num_rows else np.empty(0, "<u4")
             at, n = np.unique(ids, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(n)], names=["id", "n"])
 
@@ -132,7 +132,7 @@ def sequences(docs: DataFrame, paths: tuple[str, str | None], code: Payload, len
             return out
 
         for b in batches:
-            for d, ids in zip(b.column(0).to_pylist(), encoder.all_ids(b.column(1).to_pylist()), strict=True):
+            for d, ids in zip(b.column(0).to_pylist(), encoder.all_ids(b.column(1)), strict=True):
                 at = 0
                 while at < len(ids):
                     take = min(length - size, len(ids) - at)

@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, paths: tuple[str, str | None], capacity: int = CAPAC
         encoder = Encoder(paths, PATTERN)
         for batch in batches:
             rows, where = [], []
-            for i, ids in enumerate(encoder.all_ids(batch.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.all_ids(batch.column(1))):
                 for p, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                     own = ids[start:start + length]
                     rows.append((p, start, length, zlib.crc32(own.tobytes()), *([own.astype(np.int32)] * with_ids)))

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 #: The id that ends every document.
 END = 0
@@ -73,9 +74,11 @@ class Encoder:
                 parts.append(np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4"))
         return np.concatenate([*parts, np.array([END], "<u4")])
 
-    def all_ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        for t in texts:
-            yield self.ids(t or "")
+    def all_ids(self, texts: pa.Array, rows: int = 500) -> Iterator[np.ndarray]:
+        """The ids of each text (null: empty); ``rows`` texts at a time leave the batch."""
+        for a in range(0, len(texts), rows):
+            for t in texts.slice(a, rows).to_pylist():
+                yield self.ids(t or "")
 
 
 PATTERN = public_tokenizers.PATTERN

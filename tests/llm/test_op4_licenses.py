@@ -49,3 +49,15 @@ def test_bounds_admit_exactly_what_can_reach(spark):
     for n in range(1, 60):
         lo, hi = spark.range(1).select(*[c.alias(a) for c, a in zip(op.bounds(op.F.lit(n), least), "ab", strict=True)]).first()
         assert [m for m in range(1, 200) if 2 * min(m, n) >= least * (m + n)] == list(range(max(1, lo), hi + 1))
+
+
+def test_no_span_without_an_anchor_can_be_near():
+    groups = [set(g) for g in op.anchors()]
+    for _, t in op.TEMPLATES:
+        pairs = grams(t)
+        left = {p for p in pairs if not any({w} in groups for w in p)}
+        while left and any(g <= {w for p in left for w in p} for g in groups):
+            left.discard(next(iter(sorted(left))))  # a span with all of them would have the group
+        # the best that a span of these bigrams alone can do, whatever its size
+        best = max((2 * len(left) / (n + len(pairs)) for n in range(max(1, len(left)), 2 * len(pairs) + 1)), default=0)
+        assert best < op.LEAST_DICE
