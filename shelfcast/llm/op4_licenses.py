@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
+import re
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import ascii_lower, row_key
+from shelfcast.llm.common import LOWER, UPPER, ascii_lower, row_key
 
-#: Least Dice coefficient of a finding.
-LEAST_DICE = 0.8
+#: Least Dice coefficient of a finding; words under SHORT characters are poor anchors.
+LEAST_DICE, SHORT = 0.8, 5
 
 # Usual notices of public licences, by SPDX identifier.
 TEMPLATES = (
@@ -82,6 +87,33 @@ def bounds(n: Column, least: float) -> tuple[Column, Column]:
     return F.ceil(n * (least / (2 - least)) - 1e-9), F.floor(n * ((2 - least) / least) + 1e-9)
 
 
+def anchors(templates=TEMPLATES, least: float = LEAST_DICE) -> list[tuple[str, ...]]:
+    """Groups of words: every span that can reach ``least`` has all words of at least one group.
+
+    With a template of ``n`` bigrams a span needs ``least * (n + low) / 2`` common ones,
+    ``low`` being the least size that the bounds admit.  Per template the longest
+    words are taken, each a group of its own, until its bigrams without any of them are
+    fewer than that.  Where only short words are left and none of their bigrams may be
+    missing, these words together are the last group.
+    """
+    chosen: set[tuple[str, ...]] = set()
+    for _, text in templates:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, LOWER)))
+        pairs = set(zip(words, words[1:], strict=False))
+        needed = math.ceil(least * (len(pairs) + math.ceil(len(pairs) * least / (2 - least) - 1e-9)) / 2 - 1e-9)
+        own: set[str] = set()
+        for w in sorted(set(words), key=lambda w: (-len(w), w)):
+            left = [p for p in pairs if not own & set(p)]
+            if len(left) < needed:
+                break
+            if len(w) < SHORT and len(left) == needed:
+                chosen.add(tuple(sorted({x for p in left for x in p}, key=lambda x: (-len(x), x))))
+                break
+            own.add(w)
+        chosen |= {(w,) for w in own}
+    return sorted(chosen)
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """(doc_id, span, license_id, template, dice, text) of every span that is near a template.
 
@@ -90,8 +122,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> Dat
     2 * common / (span's bigrams + template's bigrams) over distinct bigrams.  Of a
     span's templates the nearest is given, ties to the smaller number.
 
-    Spans outside the bounds of every template go before they meet the templates'
-    bigrams.  The templates are a fixed list, so these are broadcast; matches are
+    Texts and spans without a group of anchor words (:func:`anchors`), which can't reach the
+    coefficient, and spans outside the bounds of every template go before their
+    bigrams are formed.  The templates are a fixed list, so these are broadcast; matches are
     counted by a partial aggregate, and no text is shuffled but the findings'.
 
     Defined results: null, empty and one-word texts have no finding; equal rows
@@ -104,8 +137,15 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> Dat
     sizes = [r["n"] for r in table.groupBy("template").agg(F.max("n_template").alias("n")).collect()]
     smallest, largest = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
 
-    base = docs.select("doc_id", row_key().alias("row_id"), F.split("text", _SPAN_END, -1).alias("parts"))
+    groups = anchors(templates, least)
+
+    def anchored(c: Column) -> Column:
+        return reduce(or_, [reduce(and_, [F.contains(c, F.lit(w)) for w in g]) for g in groups])
+
+    base = docs.select("doc_id", "text", F.lower("text").alias("low")).where(anchored(F.col("low")))
+    base = base.select("doc_id", row_key().alias("row_id"), F.split("text", _SPAN_END, -1).alias("parts"))
     spans = base.select("doc_id", "row_id", F.posexplode("parts").alias("span", "text"))
+    spans = spans.withColumn("low", F.lower("text")).where(anchored(F.col("low"))).drop("low")
     # n bigrams need n + 1 words, and these 2 n + 1 characters
     spans = spans.where(F.length("text") >= int(2 * smallest + 1)).withColumn("words", normalised(F.col("text")))
     spans = spans.where(F.size("words") - 1 >= smallest).withColumn("bigrams", bigrams(F.col("words")))
