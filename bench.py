@@ -60,7 +60,7 @@ def run_stages(spark, sf_dir: str, times: dict) -> None:
     timed("series_cluster", lambda: force(K.series_clusters(daily, max_cluster=3)))
 
     def stage_model():
-        m = MD.DemandModel("bench", {"loss": "RMSE", "seed": 42, "iterations": 20, "max_depth": 6,
+        m = MD.DemandModel("bench", {"loss": "RMSE", "seed": 42, "iterations": 60, "max_depth": 6,
                                      "learning_rate": 0.2})
         m.set_data(daily, "2000-01-01").learn()
         force(m.get_val_results())

@@ -33,6 +33,7 @@ def test_netting_matches_direct_reading(spark, lines):
 
 
 # The original's pattern, applied with Python's re (str patterns are Unicode-aware).
+# Fixed value: the irregular-code pattern, as Python writes it.
 PY_PATTERN = re.compile(r"^\w{1}$|\D[A-Z]+\D|[A-Z]\d|\D[a-z]")
 code = st.text(alphabet="AZaz09_ -é", min_size=1, max_size=6)
 
