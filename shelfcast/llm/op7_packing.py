@@ -18,8 +18,9 @@ from shelfcast.session import materialize
 CAPACITY = 2048
 #: Pieces of one length that are numbered together.
 CELL = 50_000
-#: Representative lengths that patterns of three and of four documents draw from, and sweeps of the fit.
-GRID3, GRID4, SWEEPS = 12, 5, 12
+#: Representative lengths that patterns of three and of four documents draw from, lengths that
+#: hold the most tokens and may stand up to REPEATS times in a pattern, and sweeps of the fit.
+GRID3, GRID4, HEAVY, REPEATS, SWEEPS = 12, 5, 6, 8, 12
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -100,10 +101,11 @@ class Plan:
 
 
 def length_patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, ...]]:
-    """Multisets of one to four lengths that fill a sequence.
+    """Multisets of few lengths that fill a sequence.
 
     All pairs; triples with one and quadruples with two lengths from a grid of
-    quantiles of the histogram.  Their number depends on the capacity alone.
+    quantiles of the histogram; repeats of a length that holds many tokens (copies of
+    one text do) with one or two others.  Their number depends on the capacity alone.
     """
     have = sorted(counts)
     weights = np.cumsum([counts[x] for x in have])
@@ -114,8 +116,13 @@ def length_patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, ..
 
     found = {(capacity,)} if capacity in counts else set()
     found |= {(a, capacity - a) for a in have if 2 * a >= capacity and capacity - a in counts}
-    for middle in [(g,) for g in grid(GRID3)] + [(g, h) for g in grid(GRID4) for h in grid(GRID4) if g <= h]:
+    heavy = sorted(have, key=lambda x: (-x * counts[x], x))[:HEAVY]
+    middles = [(g,) for g in grid(GRID3)] + [(g, h) for g in grid(GRID4) for h in grid(GRID4) if g <= h]
+    middles += [(x,) * k for x in heavy for k in range(1, min(REPEATS, capacity // x) + 1)]
+    for middle in middles:
         rest = capacity - sum(middle)
+        if rest in counts or rest == 0:
+            found.add(tuple(sorted((*middle, rest) if rest else middle, reverse=True)))
         found |= {tuple(sorted((*middle, a, rest - a), reverse=True)) for a in have if 2 * a >= rest > a and rest - a in counts}
     return sorted(found, reverse=True)
 
