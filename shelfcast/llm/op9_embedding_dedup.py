@@ -8,10 +8,11 @@ from math import ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import blocked, components, sorted_groups
+from shelfcast.llm.common import blocked, components, sorted_groups, whole_groups
 from shelfcast.session import materialize
 
 #: Cosine from which two vectors are linked; the bucket width of a projection.
@@ -46,15 +47,27 @@ def shape(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors as bytes and the class of equal vectors; null where a vector can't be linked."""
     for b in batches:
-        unit, classes = [], []
-        for v in b.column(1).to_pylist():
-            x = None if v is None or any(c is None for c in v) else np.array(v, np.float64)
-            norm = 0.0
-            if x is not None and np.isfinite(x).all() and x.any():
-                x = x / np.abs(x).max()  # so that squares neither overflow nor vanish
-                norm = np.sqrt((x * x).sum())
-            unit.append((x / norm).tobytes() if norm > 0 else None)
-            classes.append(blake2b(np.array(v, np.float64).tobytes(), digest_size=16).digest() if norm > 0 else None)
+        lists = b.column(1)
+        unit: list[bytes | None] = [None] * b.num_rows
+        classes: list[bytes | None] = [None] * b.num_rows
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+        values = lists.flatten()
+        whole = np.ones(b.num_rows, bool)
+        if values.null_count:
+            owner = np.repeat(np.arange(b.num_rows), lengths)
+            whole[owner[np.asarray(values.is_null())]] = False
+        flat = np.asarray(pc.fill_null(values.cast(pa.float64()), 0.0))
+        starts = np.cumsum(lengths) - lengths
+        for n in np.unique(lengths[lengths > 0]):
+            at = np.flatnonzero((lengths == n) & whole)
+            x = flat[starts[at][:, None] + np.arange(n)]
+            top = np.abs(x).max(1, initial=0.0)
+            good = np.isfinite(x).all(1) & (top > 0)
+            at, x, top = at[good], x[good], top[good]
+            scaled = x / top[:, None]  # so that squares neither overflow nor vanish
+            scaled /= np.sqrt((scaled * scaled).sum(1))[:, None]
+            for i, row, u in zip(at, x, scaled, strict=True):
+                unit[i], classes[i] = u.tobytes(), blake2b(row.tobytes(), digest_size=16).digest()
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(classes, pa.binary()), pa.array(unit, pa.binary())], names=["vec_id", "class_id", "unit"])
 
 
@@ -97,16 +110,23 @@ CELL = ["band", "band_key", "ci", "cj"]
 
 
 def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a cell that have a mate within SIGN_BITS."""
-    for g in sorted_groups(batches, CELL):
-        s, block = g["signs"].to_numpy().view(np.uint64), g["block"].to_numpy()
-        near = np.bitwise_count(s[:, None] ^ s[None, :]) <= SIGN_BITS
-        np.fill_diagonal(near, False)
-        if g["ci"][0].as_py() != g["cj"][0].as_py():
-            near &= block[:, None] != block[None, :]
-        keep = near.any(1)
+    """The rows of a cell that have a mate within SIGN_BITS.
+
+    Most cells are tiny, so all cells of a batch are compared at once: every row with
+    the row ``d`` places on, for d up to the largest cell's size.
+    """
+    for t, starts in whole_groups(batches, CELL):
+        sizes = np.diff([*starts, t.num_rows])
+        cell = np.repeat(np.arange(len(starts)), sizes)
+        s, block = t["signs"].to_numpy().view(np.uint64), t["block"].to_numpy()
+        apart = t["ci"].to_numpy() != t["cj"].to_numpy()
+        keep = np.zeros(t.num_rows, bool)
+        for d in range(1, int(sizes.max())):
+            i = np.flatnonzero(cell[d:] == cell[:-d])
+            near = (np.bitwise_count(s[i] ^ s[i + d]) <= SIGN_BITS) & (~apart[i] | (block[i] != block[i + d]))
+            keep[i[near]] = keep[i[near] + d] = True
         if keep.any():
-            yield from g.select([*CELL, "block", "class_id"]).filter(pa.array(keep)).to_batches()
+            yield from t.select([*CELL, "block", "class_id"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
 
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
