@@ -111,4 +111,4 @@ def test_plan_places_every_piece_once(counts):
     for parts in used.values():
         ends = [0, *(o + n for o, n in sorted(parts))]
         assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 100
-    assert made.sequences <= 11 / 9 * -(-sum(k * v for k, v in counts.items()) // 100) * 1.35 + 2
+    assert made.sequences <= 2 * -(-sum(k * v for k, v in counts.items()) // 100) + 1
