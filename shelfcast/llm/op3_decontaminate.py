@@ -11,7 +11,7 @@ from shelfcast.session import materialize
 #: Words of a window; of a gram; grams per winnowing window.  A span of
 #: GRAM + WINNOW - 1 = WINDOW words always holds the least of its WINNOW gram hashes,
 #: so documents and items that share a window share a selected fingerprint at the same place in it.
-WINDOW, GRAM, WINNOW = 10, 5, 6
+WINDOW, GRAM, WINNOW = 10, 7, 4
 #: Fingerprints of all items up to which they are broadcast; above, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -111,7 +111,9 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BR
     near = F.transform("picks", lambda s: F.struct(
         s["place"].alias("place"), s["print"].alias("print"), F.greatest(s["place"] - reach, F.lit(0)).alias("from"),
         F.slice("words", F.greatest(s["place"] - reach, F.lit(0)) + 1, WINDOW + reach).alias("near")))
-    picks = picked.select("row_id", F.explode(near).alias("s")).select("row_id", "s.*")
+    # an outer explode: a plain one adds a filter on the array, which moves below the
+    # projections and computes the grams anew for each of their elements
+    picks = picked.select("row_id", F.explode_outer(near).alias("s")).where("s is not null").select("row_id", "s.*")
     distinct_windows = windows.select("window_id", "window", "length", "print", F.col("place").alias("inside")).dropDuplicates(["window_id"])
     start = F.col("place") - F.col("inside")
     at = start - F.col("from")
