@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import LOWER, UPPER, ascii_lower, row_key
+from shelfcast.session import materialize
 
 #: Least Dice coefficient of a finding; words under SHORT characters are poor anchors.
 LEAST_DICE, SHORT = 0.8, 5
@@ -61,6 +62,8 @@ TEMPLATES = (
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A span ends at a line break, or after . ! ? before white space.
 _SPAN_END = r"\n|(?<=[.!?])[\x20\x09\x0B-\x0D]+"
+#: Lines run on until a sentence ends, or before a line without words (a comment's mark is none).
+_RUN_END = r"(?<=[.!?])[\x20\x09\x0B-\x0D]+|(?<=[.!?])\n|\n(?=[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*(?:\n|\z))"
 
 
 def normalised(text: Column) -> Column:
@@ -114,6 +117,64 @@ def anchors(templates=TEMPLATES, least: float = LEAST_DICE) -> list[tuple[str, .
     return sorted(chosen)
 
 
+def anchored(c: Column, groups: list[tuple[str, ...]]) -> Column:
+    return reduce(or_, [reduce(and_, [F.contains(c, F.lit(w)) for w in g]) for g in groups])
+
+
+def wrapped(texts: DataFrame, table: DataFrame, groups: list[tuple[str, ...]], least: float) -> DataFrame:
+    """(row_id, doc_id, span, until, license_id, template, dice, text) of the notices that are spread over several lines.
+
+    ``texts`` are (doc_id, row_id, text) that hold a group of anchor words.  Windows are whole neighbouring spans of one run
+    (:data:`_RUN_END`), with together no more words than the bounds of the largest
+    template admit.  A run is looked into only for templates of which it has enough
+    bigrams.  Of overlapping windows the nearest stays, ties to the one of fewer
+    lines, the first, the smaller template; single spans compete as well.  All of it
+    happens where the text is read.
+    """
+    rows = table.groupBy("template", "license_id", "n_template", "low").agg(F.collect_list("bigram").alias("bigrams")).orderBy("template").collect()
+    most = int(max(r["n_template"] for r in rows) * (2 - least) / least + 1e-9) + 1
+    needed = {r["template"]: math.ceil(least * (r["n_template"] + r["low"]) / 2 - 1e-9) for r in rows}
+    strings = lambda values: F.array(*[F.lit(v) for v in values])
+    every = strings(sorted({g for r in rows for g in r["bigrams"]}))
+    known = F.array(*[F.struct(F.lit(r["template"]).alias("template"), F.lit(r["license_id"]).alias("license_id"), F.lit(r["n_template"]).alias("n"),
+                               F.lit(needed[r["template"]]).alias("needed"), strings(r["bigrams"]).alias("bigrams")) for r in rows])
+
+    runs = texts.select("doc_id", "row_id", F.split("text", _RUN_END, -1).alias("runs")).where(F.exists("runs", lambda x: F.contains(x, F.lit("\n"))))
+    lines_of = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit(""))) + 1
+    starts = F.aggregate("runs", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + lines_of(x))))
+    runs = runs.withColumn("starts", starts)
+    several = F.filter(F.transform("runs", lambda x, i: F.struct(F.get("starts", i).alias("first"), x.alias("run"))), lambda r: F.contains(r["run"], F.lit("\n")))
+    runs = runs.select("doc_id", "row_id", F.inline(several)).where(anchored(F.lower("run"), groups))
+    runs = runs.withColumn("has", F.array_intersect(bigrams(normalised(F.col("run"))), every)).where(F.size("has") >= min(needed.values()))
+    near = F.filter(known, lambda t: F.size(F.array_intersect(F.col("has"), t["bigrams"])) >= t["needed"])
+    runs = runs.withColumn("near", near).where(F.size("near") > 0).drop("has")
+    parts = F.split("run", "\n", -1)
+    runs = runs.withColumn("parts", parts).withColumn("words", F.transform("parts", normalised))
+
+    def windows(i: Column) -> Column:
+        rest = lambda n: F.slice("words", i + 1, n)
+        length = F.least(F.size("words") - i, F.lit(most))
+        fits = F.filter(F.sequence(F.lit(1), length), lambda n: F.aggregate(rest(n), F.lit(0), lambda a, w: a + F.size(w)) <= most)
+        ends = F.filter(fits, lambda n: F.size(F.get("words", i + n - 1)) > 0)
+        return F.transform(ends, lambda n: F.struct(n.alias("lines"), bigrams(F.flatten(rest(n))).alias("grams")))
+
+    def nearest(i: Column, w: Column) -> Column:
+        dice = lambda t: 2 * F.size(F.array_intersect(w["grams"], t["bigrams"])) / (F.size(w["grams"]) + t["n"])
+        return F.array_min(F.transform("near", lambda t: F.struct((-dice(t)).alias("minus"), w["lines"].alias("lines"), i.alias("at"),
+                                                                 t["template"].alias("template"), t["license_id"].alias("license_id"))))
+
+    begins = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.size(F.get("words", i)) > 0)
+    ranked = F.flatten(F.transform(begins, lambda i: F.filter(F.transform(windows(i), lambda w: nearest(i, w)), lambda b: b["minus"] <= -least)))
+    runs = runs.withColumn("ranked", F.array_sort(ranked)).where(F.exists("ranked", lambda b: b["lines"] > 1))
+    apart = lambda a, b: (a["at"] + a["lines"] <= b["at"]) | (b["at"] + b["lines"] <= a["at"])
+    chosen = F.aggregate("ranked", F.slice("ranked", 1, 0),
+                         lambda kept, b: F.when(F.forall(kept, lambda k: apart(k, b)), F.concat(kept, F.array(b))).otherwise(kept))
+    found = runs.select("doc_id", "row_id", "first", "parts", F.explode(F.filter(chosen, lambda b: b["lines"] > 1)).alias("b"))
+    span = F.col("first") + F.col("b.at")
+    return found.select("row_id", "doc_id", span.alias("span"), (span + F.col("b.lines") - 1).alias("until"), "b.license_id", "b.template",
+                        (-F.col("b.minus")).alias("dice"), F.array_join(F.slice("parts", F.col("b.at") + 1, F.col("b.lines")), "\n").alias("text"))
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """(doc_id, span, license_id, template, dice, text) of every span that is near a template.
 
@@ -122,6 +183,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> Dat
     2 * common / (span's bigrams + template's bigrams) over distinct bigrams.  Of a
     span's templates the nearest is given, ties to the smaller number.
 
+    A notice that is wrapped over several lines is one finding under the number of its
+    first span, with the lines as its text (:func:`wrapped`); a line in it that is near a
+    template of the same licence by itself is no finding of its own.
+
     Texts and spans without a group of anchor words (:func:`anchors`), which can't reach the
     coefficient, and spans outside the bounds of every template go before their
     bigrams are formed.  The templates are a fixed list, so these are broadcast; matches are
@@ -138,14 +203,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> Dat
     smallest, largest = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
 
     groups = anchors(templates, least)
-
-    def anchored(c: Column) -> Column:
-        return reduce(or_, [reduce(and_, [F.contains(c, F.lit(w)) for w in g]) for g in groups])
-
-    base = docs.select("doc_id", "text", F.lower("text").alias("low")).where(anchored(F.col("low")))
-    base = base.select("doc_id", row_key().alias("row_id"), F.split("text", _SPAN_END, -1).alias("parts"))
-    spans = base.select("doc_id", "row_id", F.posexplode("parts").alias("span", "text"))
-    spans = spans.withColumn("low", F.lower("text")).where(anchored(F.col("low"))).drop("low")
+    base = docs.select("doc_id", "text", F.lower("text").alias("low")).where(anchored(F.col("low"), groups))
+    base = base.select("doc_id", row_key().alias("row_id"), "text")
+    spans = base.select("doc_id", "row_id", F.posexplode(F.split("text", _SPAN_END, -1)).alias("span", "text"))
+    spans = spans.withColumn("low", F.lower("text")).where(anchored(F.col("low"), groups)).drop("low")
     # n bigrams need n + 1 words, and these 2 n + 1 characters
     spans = spans.where(F.length("text") >= int(2 * smallest + 1)).withColumn("words", normalised(F.col("text")))
     spans = spans.where(F.size("words") - 1 >= smallest).withColumn("bigrams", bigrams(F.col("words")))
@@ -156,8 +217,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> Dat
               .agg(F.count_distinct("bigram").alias("common"), F.min("text").alias("text")))
     near = common.withColumn("dice", 2 * F.col("common") / (F.col("n_span") + F.col("n_template"))).where(F.col("dice") >= least)
     best = F.min(F.struct((-F.col("dice")).alias("minus"), "template", "license_id", "text"))
-    return near.groupBy("row_id", "doc_id", "span").agg(best.alias("b")).select(
-        "doc_id", "span", "b.license_id", "b.template", (-F.col("b.minus")).alias("dice"), "b.text")
+    single = near.groupBy("row_id", "doc_id", "span").agg(best.alias("b")).select(
+        "row_id", "doc_id", "span", "b.license_id", "b.template", (-F.col("b.minus")).alias("dice"), "b.text")
+    # two branches read it: written, so that the texts are looked through for it once
+    several = materialize(wrapped(base, table, groups, least).dropDuplicates(["row_id", "span"]), "op4-wrapped")
+    lines = several.select("row_id", "license_id", F.explode(F.sequence("span", "until")).alias("span"))
+    single = single.join(lines, ["row_id", "span", "license_id"], "left_anti")
+    out = ["doc_id", "span", "license_id", "template", "dice", "text"]
+    return single.select(*out).unionByName(several.select(*out))
 
 
 def op4_licenses(docs: DataFrame) -> DataFrame:

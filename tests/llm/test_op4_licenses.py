@@ -1,6 +1,7 @@
 """Licence findings against a comparison of every span with every template."""
 
 import re
+import textwrap
 
 from helpers import DOCS, split
 from shelfcast.llm import op4_licenses as op
@@ -61,3 +62,50 @@ def test_no_span_without_an_anchor_can_be_near():
         # the best that a span of these bigrams alone can do, whatever its size
         best = max((2 * len(left) / (n + len(pairs)) for n in range(max(1, len(left)), 2 * len(pairs) + 1)), default=0)
         assert best < op.LEAST_DICE
+
+
+def brute_wrapped(docs):
+    """(doc_id, first span, license, template, dice) of the windows of lines, by trying all."""
+    out = set()
+    for d, text in docs:
+        units = re.split(r"\n|(?<=[.!?])[\x20\x09\x0B-\x0D]+", text)
+        words = [split(WORD, u) for u in units]
+        ranked = []
+        for i in range(len(units)):
+            for j in range(i, len(units)):
+                if not words[j] or not words[i] or len(sum(words[i:j + 1], [])) > 120 or any(not w or u[-1:] in ".!?" for w, u in zip(words[i:j], units[i:j], strict=True)):
+                    continue
+                a = grams("\n".join(units[i:j + 1]))
+                ranked += [(-2 * len(a & b) / (len(a) + len(b)), j - i + 1, i, t, k) for t, (k, x) in enumerate(op.TEMPLATES) if a and (b := grams(x))][:]
+        taken = set()
+        for minus, n, i, t, k in sorted(r for r in ranked if -r[0] >= op.LEAST_DICE):
+            if not taken & set(range(i, i + n)):
+                taken |= set(range(i, i + n))
+                if n > 1:
+                    out.add((d, i, k, t, round(-minus, 9)))
+    return out
+
+
+def test_wrapped_notices_are_found(spark):
+    rows, want = [], set()
+    for i, (_, t) in enumerate(op.TEMPLATES):
+        for j, (mark, width) in enumerate([("", 76), ("# ", 40), (" * ", 24)]):
+            body = "\n".join(mark + x for x in textwrap.wrap(t, width))
+            rows.append((10 * i + j, f"{mark}A heading\n{mark}\n{body}\n{mark}\n{mark}more words here"))
+            rows.append((10 * i + j + 5, f"Some title of it\n{body}\nand lines that go on\nwithout an end"))
+    got = {(r.doc_id, r.span, r.license_id, r.template, round(r.dice, 9)) for r in op.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    want = brute_wrapped(rows)
+    assert want <= got and len({d // 10 for d, *_ in want}) > 20
+    assert {(d, *x) for d, *x in got if not any((d, *x) == w for w in want)} <= brute(rows)
+    by = {}
+    for d, _, k, _, _ in got:
+        by.setdefault(d, set()).add(k)
+    assert all(op.TEMPLATES[d // 10][0] in by.get(d, ()) for d, _ in rows)
+
+
+def test_sha_is_of_the_lines_and_equal_rows_count_once(spark):
+    t = next(x for k, x in op.TEMPLATES if k == "ISC")
+    lines = textwrap.wrap(t, 60)
+    df = spark.createDataFrame([(1, "\n".join(["x. y", *lines]))] * 2 + [(2, "\n\n".join(lines))], DOCS)
+    (r,) = op.scan(df).collect()
+    assert (r.doc_id, r.span, r.license_id, r.dice, r.text) == (1, 2, "ISC", 1.0, "\n".join(lines))
