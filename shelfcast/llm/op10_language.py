@@ -22,6 +22,8 @@ TOTAL_CHARS = 2_000_000
 BLOCK = 4096
 #: Characters that are parsed in step.
 CHUNK_CHARS = 4_000_000
+#: Letters with a column in the table of transitions, the most frequent ones; the others' transitions are looked up.
+COLUMNS = 250
 UNDETERMINED = "und"
 
 
@@ -76,7 +78,9 @@ class Model:
 
     ``steps[state + symbol]`` is ``4 * next state + phrases ended``; states are row
     offsets.  Symbol 0 stands for characters that no training text has, 1 for a run
-    of non-letters.
+    of non-letters.  All letters of the training texts are numbered by frequency; the
+    transitions by those from ``width`` on are few, and kept as sorted ``keys``
+    (``state number * letters + symbol``) with the next states in ``to``.
     """
 
     languages: list[str]
@@ -84,6 +88,27 @@ class Model:
     bits: np.ndarray  # log2 of each language's training size
     steps: np.ndarray
     symbols: np.ndarray  # by code point
+    width: int
+    letters: int
+    keys: np.ndarray
+    to: np.ndarray
+
+    def step(self, state: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """The steps from ``state`` (languages, texts) by ``sym`` (texts)."""
+        rare = np.flatnonzero(sym >= self.width) if len(self.keys) else ()
+        if not len(rare):
+            return self.steps[state + sym]
+        out = self.steps[state + np.where(sym < self.width, sym, 0)].astype(np.int64)
+        state, sym, roots = state[:, rare], sym[rare], self.roots[:, None]
+
+        def find(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = rows // self.width * self.letters + sym
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            return self.keys[at] == wanted, self.to[at]
+
+        (on, to), (again, first) = find(state), find(roots)
+        out[:, rare] = np.where(on, to * 4, np.where(again, first * 4 + 1, roots * 4 + np.where(state != roots, 2, 1)))
+        return out
 
     def parse(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases (languages, texts), symbols per text) of the greedy longest-match parses."""
@@ -109,7 +134,7 @@ class Model:
         # in step: the t-th symbol of every block that is longer than t
         active = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), side="left")
         for t, n in enumerate(active):
-            step = self.steps[state[:, :n] + sym[start[:n] + t]]
+            step = self.step(state[:, :n], sym[start[:n] + t])
             ended[:, :n] += step & 3
             state[:, :n] = step >> 2
         ended += state != roots
@@ -145,13 +170,14 @@ class Model:
 def build(samples: dict[str, list[str]]) -> Model:
     """Automata over the sampled passages of each language, set apart by a break."""
     languages = sorted(k for k, v in samples.items() if any(v))
-    symbols = np.ones(0x110000, np.uint8)
+    symbols = np.ones(0x110000, np.uint32)
     symbols[letters()] = 0
-    seen = np.unique(np.concatenate([code_points(samples[k])[0] for k in languages])) if languages else np.empty(0, np.int64)
-    seen = seen[letters()[seen]][:250]
-    symbols[seen] = np.arange(2, 2 + len(seen))
-    width = 2 + len(seen)
+    points = np.concatenate([code_points(samples[k])[0] for k in languages]) if languages else np.empty(0, np.int64)
+    seen, often = np.unique(points[letters()[points]], return_counts=True)
+    symbols[seen[np.argsort(-often, kind="stable")]] = np.arange(2, 2 + len(seen))
+    width, count = 2 + min(len(seen), COLUMNS), 2 + len(seen)
     tables, roots, bits, at = [], [], [], 0
+    keys, to_rows = [], []
     for k in languages:
         auto, size = SuffixAutomaton(), 0
         for passage in samples[k]:
@@ -166,8 +192,11 @@ def build(samples: dict[str, list[str]]) -> Model:
         go = np.full((n, width), -1, np.int64)
         for state, moves in enumerate(auto.next):
             for s, to in moves.items():
-                if s >= 0:
+                if 0 <= s < width:
                     go[state, s] = to
+                elif s >= 0:
+                    keys.append((at // width + state) * count + s)
+                    to_rows.append(at + to * width)
         # where a phrase can't go on, it ends and the next starts with the symbol;
         # a symbol that the language doesn't have is a phrase of its own
         fresh = np.where(go[0] >= 0, 1, 2)
@@ -178,7 +207,9 @@ def build(samples: dict[str, list[str]]) -> Model:
         bits.append(np.log2(size + 2))
         at += n * width
     kind = np.int32 if at * 4 < 2**31 else np.int64
-    return Model(languages, np.array(roots, np.int64), np.array(bits), np.concatenate(tables).astype(kind) if tables else np.empty(0, kind), symbols)
+    order = np.argsort(np.array(keys, np.int64))
+    return Model(languages, np.array(roots, np.int64), np.array(bits), np.concatenate(tables).astype(kind) if tables else np.empty(0, kind), symbols,
+                 width, count, np.array(keys, np.int64)[order], np.array(to_rows, np.int64)[order])
 
 
 def learn(docs: DataFrame, usable) -> Model:

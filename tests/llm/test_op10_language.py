@@ -76,3 +76,19 @@ def test_blocks_cover_long_texts():
     text = "baka " * 5000
     got, sizes = model.parse([text])
     assert sizes[0] == len(text) and got[0, 0] <= len(text) / 4
+
+
+def test_languages_of_many_letters():
+    rnd = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(900)]
+    alphabets = {"aa": letters[:500], "bb": letters[400:], "cc": [*letters[300:700], *"abcdef"]}
+    words = {k: ["".join(rnd.choice(v) for _ in range(rnd.randint(1, 4))) for _ in range(400)] for k, v in alphabets.items()}
+    speak = lambda k, n: "".join(rnd.choice(words[k]) + rnd.choice(["", "", "。"]) for _ in range(n))
+    samples = {k: [speak(k, 60) for _ in range(12)] for k in words}
+    model = op.build(samples)
+    texts = [speak(k, n) for k in words for n in (3, 25, 120)] + ["가" + letters[5] + "가", "abc" + letters[450], letters[899] * 9]
+    got, _ = model.parse(texts)
+    for j, k in enumerate(model.languages):
+        assert got[j].tolist() == [phrases(t, samples[k]) for t in texts]
+    held = [(k, model.predict([speak(k, 40)])[0][0]) for k in words for _ in range(10)]
+    assert all(a == b for a, b in held)
