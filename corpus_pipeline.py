@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.common import table
-from shelfcast.llm.op2_near_dedup import keep_one
+from shelfcast.llm.op2_near_dedup import one_per_component
 from shelfcast.llm.op3_decontaminate import drop_contaminated
 from shelfcast.llm.op5_toxicity import reject_toxic
 from shelfcast.llm.op7_packing import op7_packing
@@ -33,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one(docs)
+    return one_per_component(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,12 +144,13 @@ PAIR = "a binary, b binary"
 
 
 def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, row_id) for every row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, row_id, root) for every row of ``docs``.
 
     A text's set is its distinct 5-word shingles (A-Z lower-cased, words split at
     ASCII white space; with fewer words the whole sequence).  Texts are linked when
     100 * intersection >= 75 * union; ``component_id`` is the smallest ``doc_id``
-    that links reach and ``kept`` marks the rows that carry it.
+    that links reach and ``kept`` marks the rows that carry it.  ``root`` is the
+    component itself, whatever its ids; null for texts without shingles.
 
     1. Every text is sketched where it is read; texts with equal sets form a class,
        and only one row per class goes on, so copies never meet in pairs.
@@ -218,7 +219,7 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "row_id")
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "row_id", "root")
 
 
 def op2_near_dedup(docs: DataFrame) -> DataFrame:
@@ -237,3 +238,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     alone = F.when(F.col("component_id").isNull(), F.col("row_id"))
     one = kept.groupBy("component_id", alone.alias("alone")).agg(F.min("row_id").alias(row))
     return docs.withColumn(row, row_key()).join(one.select(row), row, "left_semi").dropDuplicates([row]).select(*quoted(docs))
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """``docs`` with just one row of each near-duplicate component, all columns unchanged.
+
+    Unlike :func:`keep_one` it goes by the component and not by its id: unrelated texts
+    under one reused id all stay, and of near copies without an id one stays.  The
+    smallest id stays, then the smallest key; texts without shingles stand alone, equal
+    rows (same id and text) are reduced to one.
+    """
+    (row,) = unused(docs, "_row")
+    every = near_duplicate_components(docs)
+    alone = F.when(F.col("root").isNull(), F.col("row_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_id"))
+    one = every.groupBy("root", alone.alias("alone")).agg(first.alias("first")).select(F.col("first.row_id").alias(row))
+    return docs.withColumn(row, row_key()).join(one, row, "left_semi").dropDuplicates([row]).select(*quoted(docs))

@@ -98,3 +98,16 @@ def test_registers_merge_and_estimate():
     assert (setsketch.merge(regs[0], regs[1]) == regs[2]).all()
     est = setsketch.estimate(regs[0], regs[1], np.array([len(a)]), np.array([len(b)]))
     assert abs(est[0] - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 0.08
+
+
+def test_pipeline_keeps_one_row_of_each_component_whatever_the_ids(spark):
+    rnd = random.Random(6)
+    say = lambda: " ".join("".join(rnd.choice("abcde") for _ in range(6)) for _ in range(40))
+    one, two, three, near = say(), say(), say(), say()
+    rows = [(1, one), (1, two), (1, ""), (1, None), (1, one), (2, one), (3, two + " more"),
+            (None, near), (None, near + " end"), (None, near.upper()), (None, three), (4, three + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    import corpus_pipeline
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, df, "").collect()]
+    left = [r for r in got if r not in [(1, one), (1, two), (1, ""), (1, None), (4, three + " end")]]
+    assert len(got) == 6 and len(left) == 1 and left[0][0] is None and left[0][1].lower().startswith(near)
