@@ -17,7 +17,7 @@ from shelfcast.session import materialize
 
 #: Labelled rows that voters are mined from, at most: toxic and clean ones (in the order of a hash of the id).
 SAMPLE_TOXIC, SAMPLE_CLEAN = 8_000, 16_000
-#: Documents whose posterior labels train the classifier, at most.
+#: Documents whose posterior labels train the classifier, at most, besides the toxic rows of the labelled sample.
 SAMPLE_POSTERIOR = 20_000
 #: Mined terms that are classifier features, and those of them that vote.
 FEATURES, VOTERS = 2_000, 256
@@ -239,20 +239,21 @@ def label_model(hits: DataFrame, model: Model, sample_votes: tuple[np.ndarray, i
     return model
 
 
-def train(model: Model, hits: list[np.ndarray], target: np.ndarray, rounds: int = 300) -> Model:
-    """Logistic regression on soft labels by accelerated gradient steps with a small ridge."""
+def train(model: Model, hits: list[np.ndarray], target: np.ndarray, weight: np.ndarray, rounds: int = 300) -> Model:
+    """Logistic regression on soft labels of weighted rows by accelerated gradient steps with a small ridge."""
     rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     cols = np.concatenate(hits).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-    n, m = len(hits), len(model.features)
-    w, b = np.zeros(m), float(np.log((target.mean() + 1e-4) / (1 - target.mean() + 1e-4)))
+    n, m = weight.sum(), len(model.features)
+    mean = (weight * target).sum() / n
+    w, b = np.zeros(m), float(np.log((mean + 1e-4) / (1 - mean + 1e-4)))
     vw, vb, ridge = w.copy(), b, 1e-4
     step = 4.0 / (1 + max(len(h) for h in hits)) if hits else 1.0
-    scale = np.maximum(np.bincount(cols, minlength=m), 1.0) / n  # a rare term's weight moves as fast as a common one's
+    scale = np.maximum(np.bincount(cols, weight[rows], minlength=m), 1.0) / n  # a rare term's weight moves as fast as a common one's
     for i in range(rounds):
-        z = vb + np.bincount(rows, vw[cols], minlength=n)
-        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
+        z = vb + np.bincount(rows, vw[cols], minlength=len(hits))
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - target)
         new_w = vw - step * (np.bincount(cols, error[rows], minlength=m) / n / scale + ridge * vw)
-        new_b = vb - step * error.mean()
+        new_b = vb - step * error.sum() / n
         momentum = i / (i + 3)
         vw, vb = new_w + momentum * (new_w - w), new_b + momentum * (new_b - b)
         w, b = new_w, new_b
@@ -260,6 +261,41 @@ def train(model: Model, hits: list[np.ndarray], target: np.ndarray, rounds: int
     return model
 
 
+def training_rows(hits: DataFrame, model: Model, toxic: list, n: int) -> tuple[list, np.ndarray, np.ndarray]:
+    """(hits, posterior, weight) of the classifier's training rows.
+
+    They are the rows of the ``toxic`` ids, and ``n`` others: half of them from those that the
+    label model takes for toxic, half from those for clean, more of one where the other
+    has fewer.  A row weighs as many documents as it stands for, so rare toxicity has
+    as many rows as there are and the weights keep its share.
+    """
+    shared = hits.sparkSession.sparkContext.broadcast(model)
+
+    def posterior(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = shared.value.posterior([np.array(v, np.int64) for v in b.column(2).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p, pa.float64())], names=["doc_id", "hits", "p"])
+
+    kind = hits.schema["doc_id"].dataType.simpleString()
+    scored = hits.where("doc_id is not null").select("doc_id", "hits", votes_of(F.col("hits"), model.n_voters).alias("votes")).mapInArrow(
+        posterior, f"doc_id {kind}, hits array<int>, p double")
+    known = F.broadcast(hits.sparkSession.createDataFrame([(d,) for d in toxic], f"doc_id {kind}").withColumn("known", F.lit(True)))
+    group = F.when(F.col("known"), 2).otherwise((F.col("p") >= 0.5).cast("int"))
+    scored = materialize(scored.join(known, "doc_id", "left").withColumn("group", group).drop("known"), "op5-posterior")
+    there = {r["group"]: r["count"] for r in scored.groupBy("group").count().collect()}
+    few = min((0, 1), key=lambda g: there.get(g, 0))
+    take = {few: min(there.get(few, 0), n // 2)}
+    take[1 - few] = n - take[few]
+    rows, weight = [], []
+    for g in sorted(there):
+        # all rows of the labelled toxic ids: at most SAMPLE_TOXIC ids
+        own = scored.where(F.col("group") == g)
+        got = (own if g == 2 else first_by_hash(own, take[g], there[g])).select("hits", "p").collect()
+        rows += got
+        weight += [there[g] / len(got)] * len(got) if got else []
+    return [np.array(r["hits"], np.int64) for r in rows], np.array([r["p"] for r in rows]), np.array(weight)
+
+
 def hits_of(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, hits) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(model.features)})
@@ -295,11 +331,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=lambda d: ~held_out(d)) -> tu
     fired = {(r["toxic"], r["voter"]): r["count"] for r in per}
     c1, c0 = (np.array([fired.get((y, j), 0) for j in range(k)], float) for y in (1, 0))
     model = label_model(hits, model, (c1, fired.get((1, -1), 0), c0, fired.get((0, -1), 0)))
-    rows = (first_by_hash(hits, SAMPLE_POSTERIOR, hits.count())
-            .select("hits", votes_of(F.col("hits"), model.n_voters).alias("votes")).collect())
-    found = [np.array(r["hits"], np.int64) for r in rows]
-    target = model.posterior([np.array(r["votes"], np.int64) for r in rows])
-    return train(model, found, target), hits
+    found, target, weight = training_rows(hits, model, [d for d, y in sample.items() if y], SAMPLE_POSTERIOR)
+    return train(model, found, target, weight), hits
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -61,3 +61,14 @@ def test_without_labels_or_rows(spark):
     conflicting = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (None, 1, 1), (2, 1, None)], LABELS)
     assert [r.predicted for r in op.op5_toxicity(d, conflicting).collect()] == [0, 0]
     assert op.op5_toxicity(d.limit(0), none).collect() == []
+
+
+def test_rare_toxicity_is_trained_on(spark, monkeypatch):
+    monkeypatch.setattr(op, "SAMPLE_POSTERIOR", 100)
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("aeioubcdlmnrst") for _ in range(rnd.randint(3, 9)))
+    vocab, bad = [word() for _ in range(300)], ["grobble", "snark", "vileton", "murgh", "quorz", "blixen"]
+    docs = [(i, " ".join([rnd.choice(vocab) for _ in range(20)] + [bad[i // 50 % 6]] * (i % 50 == 0)), "en") for i in range(6000)]
+    labels = [(i, 1, int(i % 50 == 0)) for i in range(6000) if i % 2 == 0]
+    rows = op.op5_toxicity(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    assert sum(r.predicted for r in rows if r.doc_id % 50 == 0) >= 114 and sum(r.predicted for r in rows if r.doc_id % 50) <= 30
