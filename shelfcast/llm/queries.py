@@ -16,6 +16,9 @@ from shelfcast.llm.op2_near_dedup import op2_near_dedup
 from shelfcast.llm.op5_toxicity import op5_toxicity
 from shelfcast.llm.op6_training_order import op6_training_order
 from shelfcast.llm.op7_packing import op7_packing
+from shelfcast.llm import op11_search as op11
+from shelfcast.llm import op12_fill_in_middle as op12
+from shelfcast.llm import op13_exact_dedup as op13
 from shelfcast.llm.op9_embedding_dedup import op9_embedding_dedup
 from shelfcast.llm.op10_language import op10_language
 
@@ -60,6 +63,18 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_language(table(spark, sf_dir, "documents"))
 
 
+def q_op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.op11_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q_op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.op12_fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def q_op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.op13_exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_revisits": q_op1,
@@ -72,6 +87,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": q_op8,
         "op9_embedding_dedup": q_op9,
         "op10_language": q_op10,
+        "op11_search": q_op11,
+        "op12_fill_in_middle": q_op12,
+        "op13_exact_dedup": q_op13,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -82,5 +100,8 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": op3.ORACLE,
         "op4_licenses": op4.oracle(),
         "op8_line_dedup": op8.ORACLE,
+        "op11_search": op11.ORACLE,
+        "op12_fill_in_middle": op12.ORACLE,
+        "op13_exact_dedup": op13.ORACLE,
     }
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
