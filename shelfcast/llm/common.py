@@ -16,10 +16,40 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of an Arrow batch, unless the session sets its own; Spark itself bounds only the rows.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the batches that go to Python workers, so that long texts don't add up to huge ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, str(2**31 - 1)):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def lean(run):
+    """``run`` for ``mapInArrow``, giving memory back to the system at a task's end: workers are used again by later stages."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # not this C library
+                pass
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

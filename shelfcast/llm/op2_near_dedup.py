@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import setsketch
-from shelfcast.llm.common import blocked, components, quoted, row_key, sorted_groups, unused
+from shelfcast.llm.common import blocked, components, lean, quoted, row_key, sorted_groups, unused
 from shelfcast.llm.shingles import shingle_sets, text_chunks
 from shelfcast.session import materialize
 
@@ -168,7 +168,7 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     it stands alone; an empty table gives an empty result; other columns are ignored.
     """
     base = docs.select(row_key().alias("row_id"), "text")
-    sk = materialize(base.mapInArrow(_sketch, "row_id binary, n_shingles long, class_id binary, bands array<long>, regs binary"), "op2-sketches")
+    sk = materialize(base.mapInArrow(lean(_sketch), "row_id binary, n_shingles long, class_id binary, bands array<long>, regs binary"), "op2-sketches")
     filled = sk.where("n_shingles > 0")
 
     # One row per class: repeated classes collapse before anything is compared.
@@ -181,7 +181,7 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     sketches = materialize(filled.join(met, "class_id", "left_semi").groupBy("class_id")
                            .agg(F.min("row_id").alias("row_id"), F.min("n_shingles").alias("n_shingles"), F.min("regs").alias("regs")), "op2-classes")
     chosen = base.join(sketches.select("row_id"), "row_id", "left_semi").select("text")
-    sets = materialize(chosen.mapInArrow(_sets, "class_id binary, elements binary")
+    sets = materialize(chosen.mapInArrow(lean(_sets), "class_id binary, elements binary")
                        .groupBy("class_id").agg(F.min("elements").alias("elements")), "op2-sets")
 
     def named(df: DataFrame, side: str, *cols: str) -> DataFrame:
@@ -189,11 +189,11 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         full = pairs.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
-        return materialize(full.select("a", "b", "elements_a", "elements_b").mapInArrow(_linked, PAIR), name)
+        return materialize(full.select("a", "b", "elements_a", "elements_b").mapInArrow(lean(_linked), PAIR), name)
 
     stars = buckets.where("class_id <> hub").select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
     stars = (stars.join(named(sketches, "a", "n_shingles", "regs"), "a").join(named(sketches, "b", "n_shingles", "regs"), "b")
-             .select("a", "b", "n_shingles_a", "regs_a", "n_shingles_b", "regs_b").mapInArrow(_likely, PAIR))
+             .select("a", "b", "n_shingles_a", "regs_a", "n_shingles_b", "regs_b").mapInArrow(lean(_likely), PAIR))
     first = confirmed(stars, "op2-links")
     roots = components(first, "op2-first")
 
@@ -204,9 +204,9 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = (blocked(open_rows, block).join(sketches.select("class_id", "n_shingles", "regs"), "class_id")
              .select(*CELL, "block", "class_id", "root", "n_shingles", "regs"))
     alive = materialize(cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(
-        _alive, "band int, band_key long, ci int, cj int, block int, class_id binary, root binary"), "op2-alive")
+        lean(_alive), "band int, band_key long, ci int, cj int, block int, class_id binary, root binary"), "op2-alive")
     full = alive.join(sets, "class_id").withColumn("n_shingles", (F.octet_length("elements") / 8).cast("long"))
-    bridges = materialize(full.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_bridges, PAIR).distinct(), "op2-bridges")
+    bridges = materialize(full.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(lean(_bridges), PAIR).distinct(), "op2-bridges")
     joined = components(bridges, "op2-second")
 
     top = (filled.select("row_id", "class_id")

@@ -92,7 +92,7 @@ class Payload:
 
 def payload_code(docs: DataFrame, paths: tuple[str, str | None], sample: int = SAMPLE) -> Payload:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(paths, PATTERN)
+        encoder = Encoder.shared(paths, PATTERN)
         for b in batches:
             ids = np.concatenate(list(encoder.all_ids(b.column(0)))) if b.num_rows else np.empty(0, "<u4")
             at, n = np.unique(ids, return_counts=True)
@@ -115,7 +115,7 @@ def sequences(docs: DataFrame, paths: tuple[str, str | None], code: Payload, len
     names = ["part", "place", "n_tokens", "record_crc32", "doc_ids", "payload"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, place = Encoder(paths, PATTERN), TaskContext.get().partitionId(), 0
+        encoder, part, place = Encoder.shared(paths, PATTERN), TaskContext.get().partitionId(), 0
         held, size, owners, rows = [], 0, [], []
 
         def close() -> None:

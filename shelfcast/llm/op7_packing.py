@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import lean
 from shelfcast.llm.tokens import PATTERN, Encoder, default_paths
 from shelfcast.session import materialize
 
@@ -34,7 +35,7 @@ def pieces(docs: DataFrame, paths: tuple[str, str | None], capacity: int = CAPAC
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(paths, PATTERN)
+        encoder = Encoder.shared(paths, PATTERN)
         for batch in batches:
             rows, where = [], []
             for i, ids in enumerate(encoder.all_ids(batch.column(1))):
@@ -50,7 +51,7 @@ def pieces(docs: DataFrame, paths: tuple[str, str | None], capacity: int = CAPAC
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length int, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(cut, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(cut), schema)
 
 
 class Plan:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import os
 import re
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
@@ -64,6 +66,16 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @classmethod
+    def shared(cls, paths: tuple[str, str | None], pattern: str) -> Encoder:
+        """The process's encoder of these files: a worker loads a vocabulary once, not for every task."""
+        # functions travel by value, so what outlives a task is kept in a module of its own
+        kept = sys.modules.setdefault("_shelfcast_encoders", ModuleType("_shelfcast_encoders")).__dict__
+        key = repr((paths, pattern))
+        if key not in kept:
+            kept[key] = cls(paths, pattern)
+        return kept[key]
+
     def ids(self, text: str) -> np.ndarray:
         """uint32 ids of the whole text, END included."""
         parts = []
