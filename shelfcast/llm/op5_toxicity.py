@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_mod
+from shelfcast.llm.common import crc_mod, lean
+from shelfcast.llm.op2_near_dedup import REGISTERS, _sketch
 from shelfcast.session import materialize
 
 #: Labelled rows that voters are mined from, at most: toxic and clean ones (in the order of a hash of the id).
@@ -21,17 +22,22 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 8_000, 16_000
 SAMPLE_POSTERIOR = 20_000
 #: Mined terms that are classifier features, and those of them that vote.
 FEATURES, VOTERS = 2_000, 256
-#: A term needs so many toxic sample rows and so large a share of them, a log-odds
-#: ratio that is so large after SIGMAS standard errors are taken off, and so large a
-#: share of toxic ones among the labelled rows that have it.
-MIN_TOXIC, MIN_SHARE, MIN_LOG_ODDS, SIGMAS, MIN_PRECISION = 4, 0.01, 1.0, 2.5, 0.6
-#: Lengths of word beginnings that are pattern terms.
-STEMS = (4, 5, 6)
+#: A term needs so many toxic sample rows, so large a log-odds ratio, so large a log-likelihood
+#: ratio against no relation with toxicity (25 is five standard deviations: about one term in
+#: three million by chance, however rare it is) and so large a share of toxic ones among the
+#: labelled rows that have it.
+MIN_TOXIC, MIN_LOG_ODDS, MIN_EVIDENCE, MIN_PRECISION = 4, 1.0, 25.0, 0.6
+#: Lengths of word beginnings that are pattern terms, and of character runs in scripts without spaces.
+STEMS, GRAMS = (4, 5, 6), (2, 3, 4)
+#: Estimated similarity of 5-word shingles from which labelled toxic texts are one family of copies.
+FAMILY = 0.4
 EM_ROUNDS = 6
-#: Distinct words whose terms a task remembers.
-MEMO = 500_000
+#: Distinct words whose terms a task remembers, and terms that it counts before it sends them on.
+MEMO = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Blocks of scripts whose words aren't set apart by spaces (Thai, Lao, Myanmar, Khmer, kana, Han).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def words(text: str | None) -> set[str]:
@@ -39,7 +45,13 @@ def words(text: str | None) -> set[str]:
 
 
 def terms(word: str) -> list[str]:
-    """The lexicon term and the pattern terms (``stem*``) of a word."""
+    """The lexicon term and the pattern terms of a run of letters.
+
+    They are its beginnings (``stem*``) or, in scripts without spaces, where a run holds
+    many words, all its short pieces (``*piece*``).
+    """
+    if _UNSPACED.search(word):
+        return [word, *{f"*{word[i:i + n]}*" for n in GRAMS for i in range(len(word) - n + 1)}]
     return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
 
 
@@ -71,9 +83,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def feature_hits(texts: list[str | None], index: dict[str, int], memo: dict[str, tuple[int, ...]]) -> Iterator[np.ndarray]:
+def feature_hits(column: pa.Array, index: dict[str, int], memo: dict[str, tuple[int, ...]]) -> Iterator[np.ndarray]:
     """Sorted numbers of the features that each whole text has."""
-    for text in texts:
+    for text in (t.as_py() for t in column):
         found: set[int] = set()
         for w in words(text):
             ids = memo.get(w)
@@ -111,19 +123,44 @@ def labelled_sample(labels: DataFrame, usable, toxic: int = SAMPLE_TOXIC, clean:
     return out, shares[1] / shares[0] if shares[0] else 1.0
 
 
+def families(bands: np.ndarray, regs: np.ndarray, least: float = FAMILY) -> np.ndarray:
+    """For each row the first row of its family: rows that share a band with it and agree in ``least`` of the registers."""
+    root = np.arange(len(bands))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for band in bands.T:
+        order = np.argsort(band, kind="stable")
+        new = np.append(True, band[order][1:] != band[order][:-1])
+        head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        for a in np.flatnonzero(~new & ((regs[order] == regs[head]).mean(1) >= least)).tolist():
+            i, j = sorted((top(order[a]), top(head[a])))
+            root[j] = i
+    return np.array([top(i) for i in range(len(root))], np.int64)
+
+
 def one_of_each(docs: DataFrame, sample: dict) -> dict:
-    """The sample without all but one of the toxic texts that share their two least word hashes.
+    """The sample without all but one of the toxic texts of a family of copies.
 
-    Copies and most near copies do; else the rare words of one toxic text that has many
-    labelled copies would look like marks of toxicity.  Clean rows all stay: their
-    copies show that a word is harmless.
+    Else the rare words of one toxic text that has many labelled copies would look like
+    marks of toxicity.  Families come from SetSketch registers of 5-word shingles, as in the
+    near-duplicate operator, so texts that merely share words stay apart.  Clean rows
+    all stay: their copies show that a word is harmless.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     known = docs.sparkSession.createDataFrame([(d,) for d, y in sample.items() if y], f"doc_id {kind}")
-    hashes = F.array_sort(F.transform(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.xxhash64(w)))
-    rows = docs.join(F.broadcast(known), "doc_id").select("doc_id", F.slice(hashes, 1, 2).alias("key"))
-    kept = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id")).collect()  # at most SAMPLE_TOXIC rows
-    return {r["doc_id"]: 1 for r in kept} | {d: y for d, y in sample.items() if not y}
+    sketched = docs.join(F.broadcast(known), "doc_id").select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        lean(_sketch), f"doc_id {kind}, n_shingles long, class_id binary, bands array<long>, regs binary")
+    one = sketched.where("n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("regs", "bands")).alias("of"))
+    rows = one.orderBy("doc_id").select("doc_id", "of.*").collect()  # at most SAMPLE_TOXIC rows of 1.3 KB
+    if not rows:
+        return {d: y for d, y in sample.items() if not y}
+    regs = np.frombuffer(b"".join(r["regs"] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
+    first = families(np.array([r["bands"] for r in rows], np.int64), regs)
+    return {rows[i]["doc_id"]: 1 for i in np.unique(first).tolist()} | {d: y for d, y in sample.items() if not y}
 
 
 def mine(docs: DataFrame, sample: dict, clean_weight: float = 1.0) -> list[str]:
@@ -148,26 +185,30 @@ def mine(docs: DataFrame, sample: dict, clean_weight: float = 1.0) -> list[str]:
             for i, y in known:
                 seen[y].update({t for w in words(b.column(1)[i].as_py()) for t in terms(w)})
                 rows[y] += 1
-                if len(seen[0]) + len(seen[1]) > 1_000_000:
+                if len(seen[0]) + len(seen[1]) > MEMO:
                     yield out()
         yield out()
         yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([rows[1]], pa.int64()), pa.array([rows[0]], pa.int64())], names=["term", "toxic", "clean"])
 
-    counted = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(count, "term string, toxic long, clean long")
+    counted = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(count), "term string, toxic long, clean long")
     counted = materialize(counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {MIN_TOXIC}"), "op5-terms")
     rows = counted.where("term = ''").collect()
     if not rows or rows[0]["clean"] == 0:
         return []
     n1, n0 = rows[0]["toxic"], rows[0]["clean"]
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    both, share = F.col("toxic") + F.col("clean"), n1 / (n1 + n0)
+    part = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (both * q))).otherwise(0.0)
+    evidence = 2 * (part("toxic", share) + part("clean", 1 - share))
     pure = F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + clean_weight * F.col("clean"))
-    best = (counted.where((F.col("term") != "") & (F.col("toxic") >= MIN_SHARE * n1) & pure)
-            .withColumn("odds", odds).where(F.col("odds") - SIGMAS * error >= MIN_LOG_ODDS)
+    best = (counted.where((F.col("term") != "") & pure)
+            .withColumn("odds", odds).where((F.col("odds") >= MIN_LOG_ODDS) & (evidence >= MIN_EVIDENCE))
             .orderBy((F.col("toxic") * F.col("odds")).desc(), F.length("term"), "term").limit(2 * FEATURES).collect())
     chosen: dict[str, float] = {}
-    for r in best:  # a longer term adds nothing where a chosen stem of it is as pure
-        if not any(r["odds"] <= chosen.get(r["term"][:n] + "*", -1.0) + 0.5 for n in STEMS if len(r["term"].rstrip("*")) > n or r["term"][-1] != "*"):
+    inner = lambda t: [p for p in terms(t.strip("*")) if p[0] == "*" and p != t] if _UNSPACED.search(t) else []
+    for r in best:  # a longer term adds nothing where a chosen stem or piece of it is as pure
+        if not any(r["odds"] <= chosen.get(r["term"][:n] + "*", -1.0) + 0.5 for n in STEMS if len(r["term"].rstrip("*")) > n or r["term"][-1] != "*") \
+                and not any(piece in chosen and r["odds"] <= chosen[piece] + 0.5 for piece in inner(r["term"])):
             chosen[r["term"]] = r["odds"]
     return list(chosen)[:FEATURES]
 
@@ -303,11 +344,11 @@ def hits_of(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, memo = shared.value, {}
         for b in batches:
-            found = [h.tolist() for h in feature_hits(b.column(1).to_pylist(), index, memo)]
+            found = [h.tolist() for h in feature_hits(b.column(1), index, memo)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "hits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, hits array<int>")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(run), f"doc_id {kind}, hits array<int>")
 
 
 def held_out(doc_id):
@@ -344,16 +385,16 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (m, index), memo = shared.value, {}
         for b in batches:
-            yield b.filter(pa.array(m.score(list(feature_hits(b.column(at).to_pylist(), index, memo))) < 0.5, pa.bool_()))
+            yield b.filter(pa.array(m.score(list(feature_hits(b.column(at), index, memo))) < 0.5, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op5_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: (doc_id, held_out, score, predicted).
 
-    Voters are words and word beginnings that mark toxic rows of a bounded sample of
-    labelled, not held-out rows; the label model's accuracies and correlations come
+    Voters are words, word beginnings and (in scripts without spaces) pieces of runs that mark
+    toxic rows of a bounded sample of labelled, not held-out rows; the label model's accuracies and correlations come
     from the votes on every document; a linear classifier is trained on its
     posterior labels and scores every whole text.  Only text is an input of a score.
 
