@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm.common import table
+from shelfcast.llm.common import bound_batches, table
 from shelfcast.llm.op2_near_dedup import one_per_component
 from shelfcast.llm.op3_decontaminate import drop_contaminated
 from shelfcast.llm.op5_toxicity import reject_toxic
@@ -33,6 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return one_per_component(docs)
 
 
@@ -41,6 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return op7_packing(docs)
 
 
