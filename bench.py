@@ -62,7 +62,7 @@ def run_stages(spark, sf_dir: str, times: dict) -> None:
     def stage_model():
         m = MD.DemandModel("bench", {"loss": "RMSE", "seed": 42, "iterations": 60, "max_depth": 6,
                                      "learning_rate": 0.2})
-        m.set_data(daily, "2000-01-01").learn()
+        m.set_data(daily, "2000-01-01").learn(grow=os.environ.get("BENCH_GROW", "budget"))
         force(m.get_val_results())
 
     timed("fit_demand_model", stage_model)

@@ -364,6 +364,10 @@ ranked AS (SELECT b.*, (SELECT min(c.iter) FROM curve c WHERE c.iter <= b.iter A
             "SELECT country, row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS idx FROM clean GROUP BY country) i ON c.country = i.country"),
         "fit_demand_model": with_demand(f"SELECT qty, CAST(month(date) AS INT) AS month, true AS valid {val}"),
         "early_stopping": with_demand("SELECT true AS valid"),
+        "patience_growth": with_demand("SELECT true AS valid"),
+        "shap_values": with_demand(f"SELECT stock_code, date, price, description, true AS valid {val}"),
+        "shap_importance": with_demand(f"SELECT feature, true AS valid FROM (VALUES {features}) v(feature)"),
+        "shap_dependence": with_demand(f"SELECT price, true AS valid {val}"),
         "learning_curve": iterations(60),
         "set_data_pool": iterations(10),
         "predict": with_demand(f"SELECT stock_code, date, price, description, true AS valid {val}"),

@@ -10,24 +10,30 @@ categorical statistics and an overfitting detector.  Here:
 * missing numeric values -> a sentinel below the column minimum (Spark trees
   do not take nulls);
 * ``GBTRegressor`` with squared loss; patience-based early stopping from
-  ``evaluateEachIteration`` on the validation set, then a refit with the best
-  tree count (a shorter fit with the same seed grows the same first trees).
+  ``evaluateEachIteration`` on the validation set keeps the first trees up to the
+  best count (no second fit), or growth itself ends when patience runs out: the
+  same trees one by one on a stored prediction column;
+* explanation: SHAP values and interactions of every row (``operators/shap.py``),
+  and split-gain, permutation and partial-dependence tables.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators import shap
 from shelfcast.operators.evaluation import time_split
-from shelfcast.session import materialize
+from shelfcast.session import drop_scratch, materialize, scratch_dir
 
 # The overfitting detector's patience.
 OD_WAIT = 40
@@ -114,6 +120,20 @@ def patience_stop(val_errors: list[float], od_wait: int = OD_WAIT) -> int:
     return best_i
 
 
+def ensemble(trees: list[DecisionTreeRegressionModel], weights: list[float], **params) -> GBTRegressionModel:
+    """A boosted model of the given trees and their weights; ``params`` are its column names."""
+    spark = SparkSession.active()
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    own, factors = new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees)), new_array(jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        own[i], factors[i] = tree._java_obj, float(weight)
+    uid = f"GBTRegressor_{uuid.uuid4().hex[:12]}"
+    model = GBTRegressionModel._from_java(jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, own, factors, trees[0].numFeatures))
+    model._set(**params)
+    model._transfer_params_to_java()
+    return model
+
+
 class DemandModel:
     """Train/evaluate a boosted-tree demand regressor on a time split."""
 
@@ -188,8 +208,7 @@ class DemandModel:
     # -- model --------------------------------------------------------------
     def _regressor(self, iterations: int) -> GBTRegressor:
         p = self.params
-        loss = {"RMSE": "squared", "MAE": "absolute"}.get(p.get("loss", "RMSE"), "squared")
-        kw = dict(featuresCol="features", labelCol=self.label, lossType=loss,
+        kw = dict(featuresCol="features", labelCol=self.label, lossType=self._loss(),
                   maxIter=int(iterations), maxDepth=int(p.get("max_depth", 6)),
                   stepSize=float(p.get("learning_rate", 0.1)), seed=int(p.get("seed", 42)),
                   maxBins=int(p.get("max_bins", 32)))
@@ -197,27 +216,103 @@ class DemandModel:
             kw["weightCol"] = self.weight_col
         return GBTRegressor(**kw)
 
-    def learn(self, early_stopping: bool = True):
-        """M4/M5/M6: fit, read the per-iteration curves, stop by patience, refit.
+    def learn(self, early_stopping: bool = True, grow: str = "budget", chunk: int = 10):
+        """M4/M5/M6: fit, read the per-iteration curves, stop by patience.
 
-        Spark's trees can't be stopped while they are grown, so the whole budget is
-        fitted and then, if patience ran out, the best count once more: up to twice the cost.
+        ``grow="budget"`` fits the whole budget in one ``GBTRegressor`` and keeps its first trees
+        up to the best count: they are the model that a shorter fit gives, so nothing is fitted twice.
+        ``grow="patience"`` grows the same kind of trees in runs of ``chunk`` and ends once
+        ``od_wait`` trees have brought no better validation error, so at most best + od_wait + chunk
+        trees are grown whatever the budget; the curve ends with them.
         """
-        iters = int(self.params.get("iterations", 100))
-        model = self._regressor(iters).fit(self.train)
-        # The curves (and the stopping rule) follow eval_metric: RMSE -> root of
-        # the mean squared error per iteration, MAE -> mean absolute error.
-        metric = self.params.get("eval_metric", self.params.get("loss", "RMSE"))
-        per_iter = "absolute" if metric == "MAE" else "squared"
-        tr = model.evaluateEachIteration(self.train, per_iter)
-        va = model.evaluateEachIteration(self.val, per_iter)
-        fix = (lambda e: e) if per_iter == "absolute" else math.sqrt
-        self.curve = [(i, fix(a), fix(b)) for i, (a, b) in enumerate(zip(tr, va))]
-        self.best_iteration = patience_stop([c[2] for c in self.curve], int(self.params.get("od_wait", OD_WAIT)))
-        self.tree_count = self.best_iteration + 1 if early_stopping else iters
-        self.model = model if self.tree_count == iters else self._regressor(self.tree_count).fit(self.train)
+        if grow not in ("budget", "patience"):
+            raise ValueError(f"grow is 'budget' or 'patience', not {grow!r}")
+        iters, wait = int(self.params.get("iterations", 100)), int(self.params.get("od_wait", OD_WAIT))
+        if grow == "patience":
+            trees, weights = self._grow(iters, wait, chunk)
+        else:
+            model = self._regressor(iters).fit(self.train)
+            # The curves (and the stopping rule) follow eval_metric: RMSE -> root of
+            # the mean squared error per iteration, MAE -> mean absolute error.
+            tr = model.evaluateEachIteration(self.train, self._per_iteration())
+            va = model.evaluateEachIteration(self.val, self._per_iteration())
+            self.curve = [(i, self._metric(a), self._metric(b)) for i, (a, b) in enumerate(zip(tr, va))]
+            trees, weights = model.trees, model.treeWeights
+        self.trees_grown = len(trees)
+        self.best_iteration = patience_stop([c[2] for c in self.curve], wait)
+        self.tree_count = self.best_iteration + 1 if early_stopping else len(trees)
+        if grow == "budget" and self.tree_count == len(trees):
+            self.model = model
+        else:
+            names = {"labelCol": self.label, "lossType": self._loss()} | ({"weightCol": self.weight_col} if self.weight_col else {})
+            self.model = ensemble(trees[:self.tree_count], weights[:self.tree_count], **names)
         return self
 
+    def _loss(self) -> str:
+        return {"RMSE": "squared", "MAE": "absolute"}.get(self.params.get("loss", "RMSE"), "squared")
+
+    def _per_iteration(self) -> str:
+        return "absolute" if self.params.get("eval_metric", self.params.get("loss", "RMSE")) == "MAE" else "squared"
+
+    def _metric(self, error: float) -> float:
+        return error if self._per_iteration() == "absolute" else math.sqrt(error)
+
+    def _grow(self, iters: int, wait: int, chunk: int) -> tuple[list[DecisionTreeRegressionModel], list[float]]:
+        """Trees and weights, grown by gradient boosting until patience or the budget ends; sets ``curve``.
+
+        As in ``GBTRegressor``, the first tree fits the label and counts in full, each later one
+        fits the loss's negative gradient and counts by the learning rate.  The prediction so far is
+        a column of the training and validation tables, which are written anew after each run of
+        ``chunk`` trees (the write also sums the errors of its iterations) and the old ones removed.
+        """
+        spark, p = self.train.sparkSession, self.params
+        y, step = F.col(self.label).cast("double"), float(p.get("learning_rate", 0.1))
+        weight = F.col(self.weight_col) if self.weight_col else F.lit(1.0)
+        gradient = {"squared": lambda f: 2.0 * (y - f), "absolute": lambda f: F.when(y < f, -1.0).otherwise(1.0)}[self._loss()]
+        error = {"squared": lambda f: F.pow(y - f, 2), "absolute": lambda f: F.abs(y - f)}[self._per_iteration()]
+        learner = DecisionTreeRegressor(labelCol="_target", predictionCol="_tree", maxDepth=int(p.get("max_depth", 6)),
+                                        maxBins=int(p.get("max_bins", 32)), seed=int(p.get("seed", 42)))
+        if self.weight_col:
+            learner.setWeightCol(self.weight_col)
+        keep = ["features", self.label, *([self.weight_col] if self.weight_col else [])]
+        sides = {"train": self.train.select(*keep).withColumn("_f", F.lit(0.0)), "val": self.val.select(*keep).withColumn("_f", F.lit(0.0))}
+        paths: dict[str, str] = {}
+        trees, weights, self.curve = [], [], []
+        while len(trees) < iters:
+            new = []
+            after = sides["train"].withColumn("_f0", F.col("_f"))
+            for i in range(1, min(chunk, iters - len(trees)) + 1):
+                target = gradient(F.col(f"_f{i - 1}")) if trees or new else y
+                tree = learner.fit(after.withColumn("_target", target))
+                weights.append(step if trees or new else 1.0)
+                new.append(tree)
+                after = self._add_tree(after, tree, weights[-1], i)
+            n = len(new)
+            errors = {}
+            for side, df in sides.items():
+                for i, tree in enumerate(new, 1):
+                    df = self._add_tree(df if i > 1 else df.withColumn("_f0", F.col("_f")), tree, weights[len(trees) + i - 1], i)
+                seen, path = Observation(), scratch_dir(spark, f"{self.name}-boost-{side}")
+                sums = [F.sum(weight * error(F.col(f"_f{i}"))).alias(f"e{i}") for i in range(1, n + 1)]
+                df.observe(seen, F.sum(weight).alias("w"), *sums).select(*keep, F.col(f"_f{n}").alias("_f")).write.parquet(path)
+                errors[side] = [seen.get[f"e{i}"] / seen.get["w"] if seen.get["w"] else math.inf for i in range(1, n + 1)]
+                sides[side] = spark.read.parquet(path)
+                if side in paths:
+                    drop_scratch(spark, paths[side])
+                paths[side] = path
+            for a, b in zip(errors["train"], errors["val"], strict=True):
+                self.curve.append((len(self.curve), self._metric(a), self._metric(b)))
+            trees += new
+            if len(trees) - 1 - patience_stop([c[2] for c in self.curve], wait) >= wait:
+                break
+        for path in paths.values():
+            drop_scratch(spark, path)
+        return trees, weights
+
+    @staticmethod
+    def _add_tree(df: DataFrame, tree: DecisionTreeRegressionModel, weight: float, i: int) -> DataFrame:
+        return tree.transform(df).withColumn(f"_f{i}", F.col(f"_f{i - 1}") + weight * F.col("_tree")).drop("_tree")
+
     def learning_curve(self) -> DataFrame:
         """M6: (iter, train_rmse, val_rmse), one row per boosting iteration
         (the columns hold MAE when ``eval_metric`` is MAE)."""
@@ -255,8 +350,53 @@ class DemandModel:
         return self.get_val_results().groupBy("month").agg(F.sqrt(F.avg("squared_error")).alias("rmse"))
 
     # -- explanation --------------------------------------------------------
+    def feature_names(self) -> list[str]:
+        """The features in the order of the vector."""
+        return self.feature_plan.vector_inputs()
+
+    def shap_values(self, df: DataFrame | None = None) -> DataFrame:
+        """Rows (the validation rows by default; raw or with ``features``) with ``prediction``,
+        ``shap_base`` and ``shap``, an array in the order of :meth:`feature_names`; a row's values and
+        the base sum to its prediction."""
+        rows, base = shap.explain(self.model, self.predict(self.val if df is None else df), len(self.feature_names()))
+        return rows.withColumn("shap_base", F.lit(base))
+
+    def shap_summary(self, df: DataFrame | None = None) -> DataFrame:
+        """M13, kind "dot": (feature, feature_value, shap), a row for each feature of each row."""
+        each = F.posexplode(F.arrays_zip(vector_to_array("features").alias("feature_value"), F.col("shap")))
+        names = F.array(*[F.lit(n) for n in self.feature_names()])
+        return self.shap_values(df).select(each.alias("at", "pair")).select(F.get(names, F.col("at")).alias("feature"), "pair.*")
+
+    def shap_importance(self, df: DataFrame | None = None) -> DataFrame:
+        """M13, kind "bar": (feature, mean_abs_shap), the mean absolute SHAP value over the rows."""
+        return self.shap_summary(df).groupBy("feature").agg(F.avg(F.abs("shap")).alias("mean_abs_shap"))
+
+    def shap_interactions(self, feature: str, df: DataFrame | None = None) -> DataFrame:
+        """Rows with ``shap``, here the interactions of ``feature`` with each feature (its main effect at
+        its own place), which sum to its SHAP value."""
+        names = self.feature_names()
+        rows = self.val if df is None else df
+        return shap.explain(self.model, self.predict(rows), len(names), interact=names.index(feature))[0]
+
+    def shap_dependence(self, feature1: str, feature2: str | None = None, df: DataFrame | None = None) -> DataFrame:
+        """(feature_value, shap, partner, partner_value, interaction), a row for each row.
+
+        ``partner`` is ``feature2`` or, by default, the feature whose interaction with ``feature1`` is the
+        strongest: the largest mean absolute value over the rows, the first of equal ones.
+        """
+        names = self.feature_names()
+        own, x = names.index(feature1), vector_to_array("features")
+        rows = materialize(self.shap_interactions(feature1, df).select(x.alias("x"), F.col("shap").alias("with")), "shap-dependence")
+        if feature2 is None:
+            size = rows.agg(*[F.avg(F.abs(F.get("with", F.lit(i)))).alias(str(i)) for i in range(len(names))]).first()
+            feature2 = names[max((i for i in range(len(names)) if i != own), key=lambda i: (size[str(i)] or 0.0, -i))]
+        other = names.index(feature2)
+        return rows.select(F.get("x", F.lit(own)).alias("feature_value"), F.aggregate("with", F.lit(0.0), lambda a, v: a + v).alias("shap"),
+                           F.lit(feature2).alias("partner"), F.get("x", F.lit(other)).alias("partner_value"),
+                           F.get("with", F.lit(other)).alias("interaction"))
+
     def feature_importance(self, rows_per_bucket: int = 100_000, seed: int = 7) -> DataFrame:
-        """M13 (re-aimed from per-row SHAP): split-gain importance plus
+        """M13 beside the SHAP tables: split-gain importance plus
         permutation importance (validation RMSE increase when one feature's
         values are shuffled between rows)."""
         names = self.feature_plan.vector_inputs()
@@ -272,7 +412,7 @@ class DemandModel:
         return spark.createDataFrame(rows, "feature string, gain_importance double, permutation_delta_rmse double")
 
     def feature_dependence(self, feature1: str, feature2: str | None = None, points: int = 10) -> DataFrame:
-        """M14 (re-aimed from SHAP dependence plots): partial dependence, the
+        """M14 beside the SHAP tables: partial dependence, the
         mean prediction over the validation rows with ``feature1`` (and
         ``feature2``) set to each grid value.  Grids are quantiles, so their
         size is the ``points`` parameter, not the data: each validation row is

@@ -406,17 +406,58 @@ def q_prepare_categoricals(spark, sf_dir):
     return out
 
 
+def _beats_mean(m: MD.DemandModel):
+    """Whether the kept trees' training RMSE is no worse than that of predicting the mean."""
+    spread = m.train.agg(F.stddev_pop(m.label)).first()[0]
+    return F.lit(m.curve[m.best_iteration][1] <= spread + 1e-9)
+
+
 def q_fit_demand_model(spark, sf_dir):
-    """M4/M9: the validation rows with whether prediction and errors are finite."""
-    res = _fitted(spark, sf_dir).get_val_results()
-    return res.select("qty", "month", (_finite("prediction") & _finite("squared_error")).alias("valid"))
+    """M4/M9: the validation rows with whether prediction and errors are finite and the fit beats the mean."""
+    m = _fitted(spark, sf_dir)
+    res = m.get_val_results()
+    return res.select("qty", "month", (_finite("prediction") & _finite("squared_error") & _beats_mean(m)).alias("valid"))
 
 
 def q_early_stopping(spark, sf_dir):
-    """M5: whether the kept tree count is the best iteration's, within the budget."""
+    """M5: whether the kept tree count is the best iteration's, within the budget, and is what the model has."""
     m = _fitted(spark, sf_dir)
     best = min(m.curve[:m.best_iteration + MD.OD_WAIT], key=lambda c: c[2])[0]
-    return spark.createDataFrame([(m.best_iteration == best and m.tree_count == best + 1 <= MODEL_PARAMS["iterations"],)], "valid boolean")
+    kept = m.tree_count == m.model.getNumTrees == best + 1 <= MODEL_PARAMS["iterations"]
+    return spark.createDataFrame([(m.best_iteration == best and kept,)], "valid boolean")
+
+
+def q_patience_growth(spark, sf_dir):
+    """M5: growth that ends by patience: no more trees than best + patience + one run, and a curve that is the model's."""
+    m = _fitted(spark, sf_dir)
+    g = MD.DemandModel("growth", {**MODEL_PARAMS, "iterations": 40, "od_wait": 6})
+    g.set_data_pool(m.train, m.val, label="qty", date_col="date").learn(grow="patience", chunk=5)
+    few = g.trees_grown <= min(40, g.best_iteration + 1 + 6 + 5) and g.model.getNumTrees == g.best_iteration + 1
+    own = [e ** 0.5 for e in g.model.evaluateEachIteration(g.val, "squared")]
+    same = max(abs(a - c[2]) for a, c in zip(own, g.curve)) <= 1e-9
+    return spark.createDataFrame([(few and same,)], "valid boolean")
+
+
+def q_shap_values(spark, sf_dir):
+    """The validation rows with whether their SHAP values and the base sum to the prediction."""
+    total = F.aggregate("shap", F.col("shap_base"), lambda a, v: a + v)
+    off = F.abs(total - F.col("prediction")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    return _fitted(spark, sf_dir).shap_values().select("stock_code", "date", "price", "description", F.coalesce(off, F.lit(False)).alias("valid"))
+
+
+def q_shap_importance(spark, sf_dir):
+    """The features with whether their mean absolute SHAP value is finite and 0 just where no split uses the feature."""
+    m = _fitted(spark, sf_dir)
+    used = spark.createDataFrame([(n, bool(g > 0)) for n, g in zip(m.feature_names(), m.model.featureImportances.toArray())], "feature string, used boolean")
+    right = _finite("mean_abs_shap") & ((F.col("mean_abs_shap") > 0) == F.col("used"))
+    return m.shap_importance().join(F.broadcast(used), "feature").select("feature", right.alias("valid"))
+
+
+def q_shap_dependence(spark, sf_dir):
+    """Price against its SHAP value and the strongest partner's interaction, a row for each validation row."""
+    dep = _fitted(spark, sf_dir).shap_dependence("price")
+    right = _finite("shap") & _finite("interaction") & _finite("partner_value") & (F.col("partner") != "price")
+    return dep.select(F.col("feature_value").alias("price"), right.alias("valid"))
 
 
 def q_patience_rule(spark, sf_dir):
@@ -438,8 +479,10 @@ def q_predict(spark, sf_dir):
 
 
 def q_model_score(spark, sf_dir):
-    r2 = float(_fitted(spark, sf_dir).score())
-    return spark.createDataFrame([(r2 <= 1.0 and r2 > float("-inf"),)], "valid boolean")
+    """M7: whether the score is one less the residual over the total sum of squares."""
+    m = _fitted(spark, sf_dir)
+    own = F.lit(1.0) - F.sum(F.pow(F.col("qty") - F.col("prediction"), 2)) / (F.var_pop("qty") * F.count("qty"))
+    return m.get_val_results().agg((F.abs(own - F.lit(float(m.score()))) <= 1e-9).alias("valid"))
 
 
 def q_model_monthly_rmse(spark, sf_dir):
@@ -476,6 +519,7 @@ def model_queries() -> dict[str, Callable]:
         "prepare_categoricals": q_prepare_categoricals,
         "fit_demand_model": q_fit_demand_model,
         "early_stopping": q_early_stopping,
+        "patience_growth": q_patience_growth,
         "patience_rule": q_patience_rule,
         "learning_curve": q_learning_curve,
         "predict": q_predict,
@@ -485,6 +529,9 @@ def model_queries() -> dict[str, Callable]:
         "set_data_pool": q_set_data_pool,
         "feature_importance": q_feature_importance,
         "feature_dependence": q_feature_dependence,
+        "shap_values": q_shap_values,
+        "shap_importance": q_shap_importance,
+        "shap_dependence": q_shap_dependence,
     }
 
 

@@ -83,11 +83,18 @@ def clear_scratch(spark: SparkSession) -> int:
     For the end of a job: frames that read those tables can't be used afterwards.
     """
     paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm, conf, gone = spark._jvm, spark._jsc.hadoopConfiguration(), 0
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        gone += bool(p.getFileSystem(conf).delete(p, True))
-    return gone
+    return sum(_delete(spark, path) for path in paths)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Remove one folder that :func:`scratch_dir` gave, once nothing reads it any more."""
+    _written.get(spark.sparkContext.applicationId, []).remove(path)
+    return _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
 
 
 def materialize(df: DataFrame, name: str, how: str | None = "parquet") -> DataFrame:

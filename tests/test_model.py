@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -126,3 +127,75 @@ def test_training_log_files(spark, fitted):
     fitted.write_training_log(d)
     learn = spark.read.option("sep", "\t").option("header", True).csv(f"{d}/learn_error")
     assert learn.columns == ["iter", "RMSE"] and learn.count() == 8
+
+
+def _pool(fitted, **params):
+    m = MD.DemandModel("g", {"max_depth": 3, "learning_rate": 0.3, "seed": 42, **params})
+    return m.set_data_pool(fitted.train, fitted.val, label="qty", date_col="date", weight_col=params.get("weight"))
+
+
+@pytest.mark.parametrize("loss", ["RMSE", "MAE"])
+def test_growth_by_patience_ends_soon_and_its_curve_is_the_models(spark, fitted, loss):
+    m = _pool(fitted, iterations=60, od_wait=4, loss=loss, learning_rate=0.9).learn(grow="patience", chunk=3)
+    assert m.trees_grown == len(m.curve) <= m.best_iteration + 1 + 4 + 3 < 60
+    assert m.best_iteration == MD.patience_stop([c[2] for c in m.curve], 4) and m.model.getNumTrees == m.tree_count == m.best_iteration + 1
+    per, fix = ("squared", math.sqrt) if loss == "RMSE" else ("absolute", float)
+    every = _pool(fitted, iterations=60, od_wait=4, loss=loss, learning_rate=0.9).learn(grow="patience", chunk=3, early_stopping=False)
+    for side, at in ((m.train, 1), (m.val, 2)):
+        want = [fix(e) for e in every.model.evaluateEachIteration(side, per)]
+        assert [c[at] for c in every.curve] == pytest.approx(want, abs=1e-9)
+        assert [c[at] for c in m.curve] == pytest.approx(want, abs=1e-9)
+
+
+def test_trees_grown_one_by_one_are_those_of_one_fit(spark, fitted):
+    one = _pool(fitted, iterations=5).learn(early_stopping=False)
+    by_one = _pool(fitted, iterations=5).learn(early_stopping=False, grow="patience", chunk=2)
+    assert by_one.trees_grown == 5 and by_one.model.treeWeights == one.model.treeWeights
+    assert [c[1] for c in by_one.curve] == pytest.approx([c[1] for c in one.curve], rel=1e-3)
+    assert by_one.curve[0] == pytest.approx(one.curve[0], abs=1e-9)
+
+
+def test_first_trees_are_the_model_of_a_shorter_fit(spark, fitted):
+    whole = _pool(fitted, iterations=25, max_depth=5, learning_rate=0.9, od_wait=2).learn()
+    assert whole.trees_grown == 25 and whole.tree_count < 25
+    short = whole._regressor(whole.tree_count).fit(whole.train)
+    a, b = (x.transform(whole.val).agg(F.sum("prediction"), F.sum(F.pow("prediction", 2))).first() for x in (whole.model, short))
+    assert list(a) == pytest.approx(list(b), rel=1e-12)
+    assert whole.model.featureImportances.toArray().sum() == pytest.approx(1.0)
+
+
+def test_growth_with_weights_and_scratch(spark, fitted):
+    from shelfcast import session
+    train, val = (d.withColumn("w", (F.col("month") % 3 + 1).cast("double")) for d in (fitted.train, fitted.val))
+    m = MD.DemandModel("w", {"max_depth": 2, "iterations": 4, "learning_rate": 0.5}).set_data_pool(train, val, weight_col="w")
+    before = len(session._written[spark.sparkContext.applicationId])
+    m.learn(grow="patience", chunk=2, early_stopping=False)
+    assert len(session._written[spark.sparkContext.applicationId]) == before  # the stored columns are gone
+    want = [math.sqrt(e) for e in m.model.evaluateEachIteration(m.val, "squared")]
+    assert [c[2] for c in m.curve] == pytest.approx(want, abs=1e-9)
+    with pytest.raises(ValueError):
+        m.learn(grow="other")
+
+
+def test_shap_tables(spark, fitted):
+    total = F.aggregate("shap", F.lit(0.0), lambda a, v: a + v)
+    values = fitted.shap_values()
+    assert values.count() == fitted.val.count()
+    assert values.agg(F.max(F.abs(total + F.col("shap_base") - F.col("prediction")))).first()[0] < 1e-9
+    names = fitted.feature_names()
+    bar = {r.feature: r.mean_abs_shap for r in fitted.shap_importance().collect()}
+    want = values.select(*[F.avg(F.abs(F.col("shap")[i])).alias(f"f{i}") for i in range(len(names))]).first()
+    assert bar == {n: pytest.approx(w, abs=1e-9) for n, w in zip(names, want)} and max(bar.values()) > 0
+    dots = fitted.shap_summary()
+    assert dots.columns == ["feature", "feature_value", "shap"] and dots.count() == values.count() * len(names)
+    dep = fitted.shap_dependence("price")
+    row = dep.first()
+    with_price = fitted.shap_interactions("price")
+    strength = with_price.select(*[F.avg(F.abs(F.col("shap")[i])).alias(n) for i, n in enumerate(names)]).first().asDict()
+    del strength["price"]
+    assert row.partner == max(strength, key=strength.get) and dep.count() == values.count()
+    both = dep.agg(F.sum("shap"), F.sum("feature_value")).first()
+    at = names.index("price")
+    assert list(both) == pytest.approx(list(values.agg(F.sum(F.col("shap")[at]), F.sum("price")).first()), rel=1e-9)
+    named = fitted.shap_dependence("price", "qty_lag1d").first()
+    assert named.partner == "qty_lag1d"
