@@ -324,6 +324,13 @@ def cluster_sql() -> dict[str, str]:
         "select_k": s("SELECT CAST(k AS INT) AS k, true AS valid FROM range(2, 11) t(k)"),
         "item_cluster": s(labelled),
         "series_cluster": s(labelled),
+        "series_cluster_ward": s(labelled),
+        "series_merge_totals": s(
+            "SELECT count(*) - 1 AS n_merges, count(*) AS n_series, round((sum(CASE WHEN series_std > 0 THEN n - 1 ELSE 0 END) - "
+            "any_value(squares) / count(*)) / (count(*) * (any_value(n) - 1)), 6) AS spread FROM sstats, n_dates, ("
+            "SELECT sum(pow(zero + coalesce(q, 0), 2)) AS squares FROM (SELECT DISTINCT date FROM demand) d LEFT JOIN ("
+            "SELECT c.date, sum(CASE WHEN series_std > 0 THEN qty / series_std ELSE 0 END) AS q FROM cells c JOIN sstats USING (stock_code) GROUP BY c.date) t "
+            "USING (date), (SELECT sum(CASE WHEN series_std > 0 THEN -series_mean / series_std ELSE 0 END) AS zero FROM sstats))"),
         "prepare_demand": with_demand(model_table),
         "prepare_demand_weekly": with_demand(model_table, level="week"),
         "product_profile": s("SELECT stock_code, price_mode, price_median, price_last, round(qty_avg, 6) AS qty_avg, qty_median FROM profile"),

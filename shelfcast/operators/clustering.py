@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.hierarchy import BLOCK, cut_merges, ward_merges
 from shelfcast.session import materialize
 
 PROFILE_COLUMNS = ("price_mode", "price_median", "price_last", "qty_avg", "qty_median")
@@ -268,14 +269,32 @@ def series_vectors(demand: DataFrame) -> DataFrame:
     return row.select("stock_code", array_to_vector(F.concat(F.flatten(padded), tail)).alias("features"))
 
 
+def _narrow(demand: DataFrame, materialize_as: str | None) -> DataFrame:
+    """The (stock, date, qty) input of the series operators; they read it four times (cells, dates, statistics, date count)."""
+    return materialize(demand.select("stock_code", "date", "qty"), "series", materialize_as)
+
+
+def series_merges(demand: DataFrame, block: int = BLOCK, materialize_as: str | None = "parquet") -> DataFrame:
+    """K8 hierarchy: the Ward merges (a, b, height, size) of the z-scored series, see :func:`ward_merges`.
+
+    Exact, so quadratic in the number of stocks (not in the lines).
+    """
+    return ward_merges(series_vectors(_narrow(demand, materialize_as)), block)
+
+
 def series_clusters(demand: DataFrame, max_cluster: int = 3, seed: int = 42,
-                    materialize_as: str | None = "parquet") -> DataFrame:
+                    materialize_as: str | None = "parquet", method: str = "bisecting") -> DataFrame:
     """K8 labels: (stock_code, time_series_type), 0-based.
 
-    The narrow (stock, date, qty) input is read four times (cells, dates,
-    statistics, date count), so it is materialized first.
+    ``method="ward"`` cuts the exact Ward hierarchy, as the original does; ``"bisecting"`` splits top-down
+    on the same squared-error goal, in time linear in the stocks.
     """
-    narrow = materialize(demand.select("stock_code", "date", "qty"), "series", materialize_as)
+    if method not in ("bisecting", "ward"):
+        raise ValueError(f"method is 'bisecting' or 'ward', not {method!r}")
+    narrow = _narrow(demand, materialize_as)
+    if method == "ward":
+        labels = cut_merges(ward_merges(series_vectors(narrow)), narrow, max_cluster)
+        return _freeze(labels.withColumnRenamed("cluster", "time_series_type"))
     vec = series_vectors(narrow).persist()
     try:
         k = max(1, min(max_cluster, vec.limit(max_cluster).count()))  # at most max_cluster, as in the original
@@ -287,6 +306,6 @@ def series_clusters(demand: DataFrame, max_cluster: int = 3, seed: int = 42,
         vec.unpersist()
 
 
-def series_cluster(demand: DataFrame, max_cluster: int = 3, seed: int = 42) -> DataFrame:
+def series_cluster(demand: DataFrame, max_cluster: int = 3, seed: int = 42, method: str = "bisecting") -> DataFrame:
     """K8: add ``time_series_type`` to the demand table."""
-    return demand.join(series_clusters(demand, max_cluster, seed), "stock_code", "left")
+    return demand.join(series_clusters(demand, max_cluster, seed, method=method), "stock_code", "left")

@@ -340,6 +340,28 @@ def q_prepare_demand_weekly(spark, sf_dir):
     return _checked_demand(spark, sf_dir, "week")
 
 
+def q_series_merges(spark, sf_dir):
+    """K8 hierarchy: the Ward merges of the stocks' series."""
+    return K.series_merges(q_demand_daily(spark, sf_dir))
+
+
+def q_series_merge_totals(spark, sf_dir):
+    """K8 hierarchy: half the squared heights sum to the squared deviations of all series from their mean.
+
+    Given per series and degree of freedom, so that it is of the size of one.
+    """
+    demand = materialize(q_demand_daily(spark, sf_dir), "demand")
+    freedom = F.lit(float(demand.agg(F.count_distinct("date")).first()[0] - 1))
+    total = F.sum(F.pow("height", 2)) / 2 / ((F.count("*") + 1) * freedom)
+    return K.series_merges(demand).agg(F.count("*").alias("n_merges"), F.max("size").alias("n_series"), F.round(total, 6).alias("spread"))
+
+
+def q_series_cluster_ward(spark, sf_dir):
+    """K8: the stocks with whether the cut Ward hierarchy gives each one of at most three groups."""
+    labels = K.series_clusters(q_demand_daily(spark, sf_dir), 3, method="ward")
+    return labels.select("stock_code", F.col("time_series_type").between(0, 2).alias("valid"))
+
+
 def cluster_queries() -> dict[str, Callable]:
     return {
         "product_profile": q_product_profile,
@@ -350,6 +372,9 @@ def cluster_queries() -> dict[str, Callable]:
         "select_k": q_select_k,
         "item_cluster": q_item_cluster,
         "series_cluster": q_series_cluster,
+        "series_merges": q_series_merges,
+        "series_merge_totals": q_series_merge_totals,
+        "series_cluster_ward": q_series_cluster_ward,
         "prepare_demand": q_prepare_demand,
         "prepare_demand_weekly": q_prepare_demand_weekly,
     }
