@@ -14,16 +14,21 @@ Once all clusters fit one block, one task of that bounded size does the rest.
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.session import materialize
 
+# what runs in Python workers travels by value: executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Clusters of a block.
 BLOCK = 2048
 #: Rows of a block whose distances are computed at once.
