@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,6 +99,25 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
 
 
+@contextmanager
+def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block remove the shuffle files of their own plan when they are done.
+
+    Nothing reads them again: later work starts from the table.  Without it they stay until the
+    driver happens to collect its garbage, and a chain of tables keeps all of them on disk.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str, how: str | None = "parquet") -> DataFrame:
     """Cut the lineage of ``df``.
 
@@ -113,6 +134,7 @@ def materialize(df: DataFrame, name: str, how: str | None = "parquet") -> DataFr
         return df.checkpoint(eager=True)
     if how == "parquet":
         path = scratch_dir(spark, name)
-        df.write.mode("error").parquet(path)
+        with shuffle_files_dropped(spark):
+            df.write.mode("error").parquet(path)
         return spark.read.parquet(path)
     raise ValueError(f"unknown materialization {how!r}")
