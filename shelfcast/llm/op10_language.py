@@ -13,17 +13,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import crc_mod
+from shelfcast.session import materialize
 
 #: Labelled documents per language, at most, and characters taken from the middle of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 200, 240
-#: Characters of all automata together, at most; shared evenly where languages are many.
+#: Characters of all automata together, at most: where languages are many, each gets an even share of
+#: it, and one passage at least.
 TOTAL_CHARS = 2_000_000
+#: Languages up to which their counts are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_LANGS = 100_000
 #: Symbols after which the parse of a long text starts a new phrase.
 BLOCK = 4096
 #: Characters that are parsed in step.
 CHUNK_CHARS = 4_000_000
 #: Letters with a column in the table of transitions, the most frequent ones; the others' transitions are looked up.
-COLUMNS = 250
+#: With many states there are fewer columns, so that the table has no more than CELLS cells.
+COLUMNS, CELLS = 250, 1 << 25
 UNDETERMINED = "und"
 
 
@@ -175,7 +180,8 @@ def build(samples: dict[str, list[str]]) -> Model:
     points = np.concatenate([code_points(samples[k])[0] for k in languages]) if languages else np.empty(0, np.int64)
     seen, often = np.unique(points[letters()[points]], return_counts=True)
     symbols[seen[np.argsort(-often, kind="stable")]] = np.arange(2, 2 + len(seen))
-    width, count = 2 + min(len(seen), COLUMNS), 2 + len(seen)
+    states = 2 * (len(points) + sum(len(samples[k]) for k in languages)) + 1  # at most
+    width, count = 2 + min(len(seen), COLUMNS, max(1, CELLS // states)), 2 + len(seen)
     tables, roots, bits, at = [], [], [], 0
     keys, to_rows = [], []
     for k in languages:
@@ -204,7 +210,8 @@ def build(samples: dict[str, list[str]]) -> Model:
         steps[0] = np.where(go[0] >= 0, (go[0] * width + at) * 4, at * 4 + 1)
         tables.append(steps.reshape(-1))
         roots.append(at)
-        bits.append(np.log2(size + 2))
+        # a phrase costs no less than naming one of all symbols, else a language with next to no text were cheap
+        bits.append(np.log2(max(size, count) + 2))
         at += n * width
     kind = np.int32 if at * 4 < 2**31 else np.int64
     order = np.argsort(np.array(keys, np.int64))
@@ -212,19 +219,24 @@ def build(samples: dict[str, list[str]]) -> Model:
                  width, count, np.array(keys, np.int64)[order], np.array(to_rows, np.int64)[order])
 
 
-def learn(docs: DataFrame, usable) -> Model:
-    """Fit on a bounded, hashed sample of the rows with text and lang that ``usable(doc_id)`` admits."""
+def learn(docs: DataFrame, usable, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, total_chars: int = TOTAL_CHARS) -> Model:
+    """Fit on a bounded, hashed sample of the rows with text and lang that ``usable(doc_id)`` admits.
+
+    Of each language ``sample_docs`` documents are taken, of each the ``sample_chars`` characters in its
+    middle; with so many languages that this exceeds ``total_chars``, fewer documents of each, one at
+    least.
+    """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & usable(F.col("doc_id"))).select("doc_id", "lang", F.col("text").cast("string").alias("text"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    per = int(min(SAMPLE_DOCS, max(1, TOTAL_CHARS // SAMPLE_CHARS // max(1, len(sizes)))))
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("rows")), "op10-languages")
+    languages = counts.count()
+    per = int(min(sample_docs, max(1, total_chars // sample_chars // max(1, languages))))
     # a share of four times the wanted rows of each language by hash, then the first of them
     share = F.pmod(F.xxhash64("doc_id", F.lit("op10")), F.lit(1 << 30)) / float(1 << 30)
-    chance = F.lit(0.0)
-    for lang, n in sizes.items():
-        chance = F.when(F.col("lang") == lang, F.lit(min(1.0, 4.0 * per / n))).otherwise(chance)
     first = Window.partitionBy("lang").orderBy("share", "doc_id", "passage")
-    middle = F.expr(f"substring(text, cast(greatest(length(text) div 2 - {SAMPLE_CHARS // 2}, 0) as int) + 1, {SAMPLE_CHARS})")
-    picked = (rows.withColumn("share", share).where(F.col("share") < chance).select("doc_id", "lang", "share", middle.alias("passage"))
+    middle = F.expr(f"substring(text, cast(greatest(length(text) div 2 - {sample_chars // 2}, 0) as int) + 1, {sample_chars})")
+    known = F.broadcast(counts) if languages <= BROADCAST_LANGS else counts
+    some = rows.join(known, "lang").withColumn("share", share).where(F.col("share") * F.col("rows") < 4.0 * per)
+    picked = (some.select("doc_id", "lang", "share", middle.alias("passage"))
               .withColumn("n", F.row_number().over(first)).where(F.col("n") <= per).orderBy("lang", "n").collect())
     samples: dict[str, list[str]] = {}
     for r in picked:
@@ -252,6 +264,7 @@ def held_out(doc_id):
 def op10_language(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, held_out, lang_pred, score).
 
+    It learns from a bounded sample of the labelled rows that aren't held out (:func:`learn`).
     A text (letters lower-cased, every run of other characters one symbol) is parsed
     greedily into the longest phrases that occur in a language's training text; the
     automaton reads each character once.  Phrases times log2 of the training size,

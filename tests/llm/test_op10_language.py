@@ -92,3 +92,29 @@ def test_languages_of_many_letters():
         assert got[j].tolist() == [phrases(t, samples[k]) for t in texts]
     held = [(k, model.predict([speak(k, 40)])[0][0]) for k in words for _ in range(10)]
     assert all(a == b for a, b in held)
+
+
+def test_thousands_of_lang_values_make_a_plan_and_a_model(spark):
+    # two real languages and 5,000 stray values of the column with one short row each
+    rnd = random.Random(30)
+    word = {"aa": lambda: "".join(rnd.choice("abcde") for _ in range(5)), "zz": lambda: "".join(rnd.choice("vwxyz") for _ in range(5))}
+    rows = [(i, " ".join(word["aa" if i % 2 else "zz"]() for _ in range(30)), "aa" if i % 2 else "zz") for i in range(400)]
+    rows += [(1000 + i, f"q{i}", f"stray{i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op.learn(df, lambda d: d.isNotNull())
+    assert len(model.languages) == 5002
+    small = op.learn(df.where("doc_id < 1100"), lambda d: d.isNotNull(), sample_docs=50, sample_chars=40, total_chars=4000)
+    got = {r.doc_id: r.lang_pred for r in op.with_language(df.where("doc_id < 40"), small).collect()}
+    assert all(got[i] == ("aa" if i % 2 else "zz") for i in range(40))
+
+
+def test_fewer_columns_change_no_prediction(spark, monkeypatch):
+    rnd = random.Random(31)
+    samples = {k: ["".join(rnd.choice(letters + " ") for _ in range(200)) for _ in range(5)] for k, letters in (("a", "abcdefghij"), ("b", "ghijklmnop"), ("c", "αβγδεζηθ"))}
+    texts = ["".join(rnd.choice("abcghijmnoαβγ ") for _ in range(60)) for _ in range(50)]
+    wide = op.build(samples).predict(texts)
+    monkeypatch.setattr(op, "CELLS", 1)
+    narrow = op.build(samples)
+    assert narrow.width == 3
+    langs, scores = narrow.predict(texts)
+    assert list(langs) == list(wide[0]) and list(scores) == list(wide[1])
