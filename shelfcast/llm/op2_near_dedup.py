@@ -216,8 +216,10 @@ def near_duplicate_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     ids = docs.select("doc_id", row_key().alias("row_id"))
     rows = ids.join(top, "row_id", "left").join(sk.select("row_id", "n_shingles").distinct(), "row_id")
     rows = materialize(rows, "op2-rows")
-    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    grouped, alone = rows.where("root is not null"), rows.where("root is null")  # rows without shingles would all be one key
+    least = materialize(grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")), "op2-least")
+    out = grouped.join(least, "root").unionByName(alone.withColumn("component_id", F.lit(None).cast(docs.schema["doc_id"].dataType)))
+    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "row_id", "root")
 

@@ -12,8 +12,11 @@ from shelfcast.session import materialize
 #: GRAM + WINNOW - 1 = WINDOW words always holds the least of its WINNOW gram hashes,
 #: so documents and items that share a window share a selected fingerprint at the same place in it.
 WINDOW, GRAM, WINNOW = 10, 7, 4
-#: Fingerprints of all items up to which they are broadcast; above, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a table of item fingerprints or windows up to which it is broadcast; above, both sides are shuffled.
+BROADCAST_BYTES = 64 << 20
+#: Bits of the set of item words that document words are tested against, at most: some 32 for each
+#: word, and more words than that make it let more through.
+WORD_BITS = 1 << 22
 
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -61,6 +64,37 @@ def selections(df: DataFrame, short: list[int]) -> DataFrame:
     return df.withColumn("picks", F.concat(*kinds) if len(kinds) > 1 else picked).drop("_h", "_g")
 
 
+def word_set(windows: DataFrame) -> tuple[Column, int]:
+    """The hashes of all item words as a literal array of longs, and its number of bits.
+
+    A word's bit is given by the first bits of its hash.  The size follows from the number of words, up to ``WORD_BITS``; the rows collected are its longs.
+    """
+    hashes = windows.select(F.explode("window").alias("w")).distinct().select(F.xxhash64("w").alias("h"))
+    bits = 64
+    while bits < min(WORD_BITS, 32 * hashes.count()):
+        bits *= 2
+    place = F.shiftrightunsigned("h", 64 - bits.bit_length() + 1)
+    longs = hashes.select((place / 64).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+    there = {r["at"]: r["set"] for r in longs.groupBy("at").agg(F.bit_or("bit").alias("set")).collect()}
+    longs = ", ".join(f"bigint('{there.get(i, 0)}')" for i in range(bits // 64))
+    return F.expr(f"array({longs})"), bits
+
+
+def stretches(df: DataFrame, known: Column, bits: int, least: int) -> DataFrame:
+    """Adds ``stretches`` to rows with ``words``: the longest runs, of ``least`` words or more, that are all among the known ones.
+
+    An item's window can only lie within one of them, so all other words need no grams.
+    """
+    def among(w):
+        place = F.shiftrightunsigned(F.xxhash64(w), 64 - bits.bit_length() + 1)
+        return F.getbit(F.get(known, (F.shiftright(place, 6)).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+
+    # words hold neither blanks nor line breaks
+    marked = F.array_join(F.transform("words", lambda w: F.when(among(w), w).otherwise("\n")), " ")
+    runs = F.filter(F.split(marked, r" ?\n ?"), lambda r: F.length(r) >= 2 * least - 1)
+    return df.withColumn("stretches", F.filter(F.transform(runs, lambda r: F.split(r, " ")), lambda r: F.size(r) >= least))
+
+
 def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     """The windows of the items and the lengths of items under WINDOW words.
 
@@ -85,68 +119,76 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     return materialize(named, "op3-items"), short
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, spans, windows): every document row with its word count, the occurring windows, the item windows.
+def find_windows(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, spans, windows): every distinct document row with its word count, the occurring windows, the item windows.
 
-    ``rows``: (row_id, n_words, candidate); ``spans``: distinct (row_id, start, length, window_id).
+    ``rows``: (row_id, n_words); ``spans``: distinct (row_id, stretch, start, length, window_id), where ``start`` is a
+    place in one of the row's stretches of words that all occur in items.
     """
     windows, short = item_windows(benchmark)
-    prints = windows.select("print").distinct()
-    small = prints.count() <= broadcast_rows
+    prints = materialize(windows.select("print").distinct(), "op3-prints")
+    distinct_windows = materialize(windows.select("window_id", "window", "length", "print", F.col("place").alias("inside")).dropDuplicates(["window_id"]), "op3-distinct")
+    n_prints = prints.count()
+    held = distinct_windows.agg(F.sum(F.octet_length(F.concat_ws(" ", "window")) + 100)).first()[0] or 0
+
+    def side(df: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(df) if size <= broadcast_bytes else df
+
+    known, bits = word_set(windows)
+    base = docs.select(row_key().alias("row_id"), words(F.col("text")).alias("words"))
+    cut = stretches(base, known, bits, min([WINDOW, *short]))
+    texts = materialize(cut.select("row_id", F.size("words").cast("long").alias("n_words"), "stretches"), "op3-stretches")
+    rows = materialize(texts.select("row_id", "n_words").distinct(), "op3-rows")
+    one = texts.where(F.size("stretches") > 0).select("row_id", "stretches").dropDuplicates(["row_id"])
+    pieces = materialize(one.select("row_id", F.posexplode("stretches").alias("stretch", "words")), "op3-pieces")
 
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
-    base = docs.select(row_key().alias("row_id"), "text")
-    marked = fingerprints(base.select("row_id", words(F.col("text")).alias("words")), short)
-    each = marked.select("row_id", F.size("words").cast("long").alias("n_words"), F.explode_outer("prints").alias("print"))
-    rows = (each.join(side(prints.withColumn("hit", F.lit(1))), "print", "left")
-            .groupBy("row_id", "n_words").agg(F.coalesce(F.max("hit"), F.lit(0)).alias("hit")))
-    rows = materialize(rows, "op3-rows")
-
-    chosen = base.join(rows.where("hit = 1").select("row_id"), "row_id", "left_semi").dropDuplicates(["row_id"])
+    # an outer explode: a plain one adds a filter on the array, which moves below the
+    # projections and computes the grams anew for each of their elements
+    each = fingerprints(pieces, short).select("row_id", "stretch", F.explode_outer("prints").alias("print"))
+    met = each.join(side(prints, 16 * n_prints), "print", "left_semi").select("row_id", "stretch").distinct()
+    chosen = pieces.join(materialize(met, "op3-met"), ["row_id", "stretch"], "left_semi")
     reach = WINDOW - GRAM  # words before a selected gram that can belong to its window
-    picked = selections(chosen.select("row_id", words(F.col("text")).alias("words")), short)
-    # each selected gram goes with the words around it, so the document's text isn't copied for each
+    picked = selections(chosen, short)
+    # each selected gram goes with the words around it, so the stretch's text isn't copied for each
     near = F.transform("picks", lambda s: F.struct(
         s["place"].alias("place"), s["print"].alias("print"), F.greatest(s["place"] - reach, F.lit(0)).alias("from"),
         F.slice("words", F.greatest(s["place"] - reach, F.lit(0)) + 1, WINDOW + reach).alias("near")))
-    # an outer explode: a plain one adds a filter on the array, which moves below the
-    # projections and computes the grams anew for each of their elements
-    picks = picked.select("row_id", F.explode_outer(near).alias("s")).where("s is not null").select("row_id", "s.*")
-    distinct_windows = windows.select("window_id", "window", "length", "print", F.col("place").alias("inside")).dropDuplicates(["window_id"])
+    picks = picked.select("row_id", "stretch", F.explode_outer(near).alias("s")).where("s is not null").select("row_id", "stretch", "s.*")
     start = F.col("place") - F.col("inside")
     at = start - F.col("from")
-    spans = (picks.join(side(distinct_windows), "print")
+    spans = (picks.join(side(distinct_windows, held), "print")
              .where((at >= 0) & (F.slice("near", F.greatest(at, F.lit(0)) + 1, F.col("length")) == F.col("window")))
-             .select("row_id", start.alias("start"), "length", "window_id"))
+             .select("row_id", "stretch", start.alias("start"), "length", "window_id"))
     return rows, materialize(spans, "op3-spans"), windows
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(row_id, n_words, n_hit, n_items, items) for every distinct (doc_id, text) of ``docs``.
 
     An item's windows are its runs of 10 words; an item of 1 to 9 words is one window.
     ``n_hit`` counts the words inside any occurrence of a window, ``items`` are the
     ids with an occurring window, sorted as strings.
 
-    1. Documents and items are winnowed; a document whose fingerprints meet none of
-       the items' is clean (broadcast of the items' distinct hashes up to
-       ``broadcast_rows``, a shuffled join beyond).
-    2. In the others every selected gram that an item's window selects too is
+    1. A document's words are tested against the set of all item words, one bit for each of their
+       hashes; only stretches of words that pass, long enough for a window, go on.  No window is
+       lost: all its words are item words.
+    2. Stretches and items are winnowed; a stretch whose fingerprints meet none of
+       the items' is clean (item tables are broadcast up to ``broadcast_bytes``, joined by a
+       shuffle beyond).
+    3. In the others every selected gram that an item's window selects too is
        extended to that window, word by word.
-    3. Hit words are the union of the found spans, by a running maximum of their ends.
+    4. Hit words are the union of the found spans, by a running maximum of their ends.
 
     Items under 10 words are sought by all grams of their length (winnowing over
     one gram).  Defined results: null texts have no words; repeated rows get equal
     results; items of null ``item_id`` mark hits but are not listed; an empty
     benchmark leaves every document clean; other columns are ignored.
     """
-    rows, spans, windows = find_windows(docs, benchmark, broadcast_rows)
-    by_start = Window.partitionBy("row_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    stretches = spans.groupBy("row_id", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
+    rows, spans, windows = find_windows(docs, benchmark, broadcast_bytes)
+    by_start = Window.partitionBy("row_id", "stretch").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ends = spans.groupBy("row_id", "stretch", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
     fresh = F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(by_start), F.lit(0)))
-    covered = stretches.select("row_id", F.greatest(fresh, F.lit(0)).alias("fresh")).groupBy("row_id").agg(F.sum("fresh").alias("n_hit"))
+    covered = ends.select("row_id", F.greatest(fresh, F.lit(0)).alias("fresh")).groupBy("row_id").agg(F.sum("fresh").alias("n_hit"))
     holders = windows.select("window_id", F.col("item_id").cast("string").alias("item_id")).where("item_id is not null").distinct()
     listed = (spans.select("row_id", "window_id").distinct().join(holders, "window_id").groupBy("row_id")
               .agg(F.sort_array(F.collect_set("item_id")).alias("items")))
@@ -156,7 +198,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = B
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents in which a window of an item occurs; columns unchanged."""
+    """``docs`` without the documents in which a window of an item occurs; columns unchanged.
+
+    Null and empty texts stay, repeated rows stay or go together, an empty benchmark or table changes nothing.
+    """
     _, spans, _ = find_windows(docs, benchmark)
     (row,) = unused(docs, "_row")
     found = spans.select(F.col("row_id").alias(row)).distinct()
@@ -164,7 +209,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated)."""
+    """One row per document: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated); see :func:`contamination`."""
     found = contamination(docs, benchmark)
     rows = docs.select("doc_id", row_key().alias("row_id")).join(found, "row_id")
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -40,12 +40,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     ``min_docs`` distinct documents hold loses its lines everywhere but in the
     largest ``doc_id`` that holds it, where all of them stay.
 
-    Lines travel as two 64-bit hashes with document and position, never as text.
+    Lines travel as two 64-bit hashes with document and position, never as text; they are
+    written once, so that finding the range bounds reads this narrow table and not the texts.
     They are range-partitioned by hash and salt and sorted by document and
     position; one pass over the sorted rows marks a document's first occurrence of
     a key.  The salt (of the document) splits a key that a large share of all rows
     holds, and the counts of its parts are summed by a partial aggregate.  Only
-    keys over ``min_docs`` are joined back.
+    keys over ``min_docs`` are joined back: as a table of their own, which Spark broadcasts if it
+    is small and else joins by a shuffle whose hot keys it can split.
 
     Defined results: null and empty texts are one empty line; rows of one
     ``doc_id`` are one document; null ids are together one document, smaller than
@@ -56,6 +58,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     occurrences = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
                                F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"), "doc_id", "text_hash", "pos")
     by_key = ["h1", "h2", "salt"]
+    occurrences = materialize(occurrences, "op8-hashes")
     dealt = occurrences.repartitionByRange(*by_key).sortWithinPartitions(*by_key, "doc_id", "text_hash", "pos")
     stream = Window.partitionBy(*by_key).orderBy("doc_id", "text_hash", "pos")
     first = (F.row_number().over(stream) == 1) | ~F.col("doc_id").eqNullSafe(F.lag("doc_id").over(stream))
@@ -63,6 +66,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
     frequent = (dealt.groupBy("h1", "h2").agg(F.sum(F.col("first").cast("int")).alias("docs"), F.max("doc_id").alias("last_doc"))
                 .where(F.col("docs") >= min_docs).select("h1", "h2", "last_doc"))
+    frequent = materialize(frequent, "op8-frequent")
     dropped = (dealt.join(frequent, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
                .select("doc_id", "text_hash", "pos").distinct())
     bit = F.expr(f"shiftleft(1L, pos % {WORD})")
@@ -92,7 +96,11 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, s
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the lines that stay as ``text`` (and its length as ``n_chars``, where there is one)."""
+    """``docs`` with the lines that stay as ``text`` (and its length as ``n_chars``, where there is one).
+
+    Every row stays, null and empty texts as they are, repeated rows with equal results; columns and their
+    types are those of ``docs``.
+    """
     out, n, kept = with_bitmaps(docs, keep_bitmaps(docs))
     changed = out.withColumn("text", F.when(F.col(n) > 0, F.col(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
@@ -102,7 +110,12 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def op8_line_dedup(docs: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, n_lines, n_dropped, kept_sha256)."""
+    """One row per document: (doc_id, n_lines, n_dropped, kept_sha256); lines are dropped as :func:`keep_bitmaps` says.
+
+    Defined results: a null or empty text is one empty line and keeps it; equal rows get equal results;
+    rows of one ``doc_id``, and all rows of null ids, count as one document; an empty table gives an
+    empty result; other columns are ignored.
+    """
     out, n, kept = with_bitmaps(docs.select("doc_id", "text"), keep_bitmaps(docs))
     return out.select("doc_id", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"), F.col(n).alias("n_dropped"),
                       F.sha2(F.col(kept), 256).alias("kept_sha256"))

@@ -19,9 +19,10 @@ from shelfcast.session import materialize
 COSINE, WIDTH = 0.9, 2.5
 #: Chance that a pair at exactly COSINE shares no table (pairs at 0.95: under 1e-8).
 MISS = 1e-3
-#: Sign bits that two bucket mates may differ in, of 64.  At cosine 0.9 they differ in 9.2 on
-#: average with deviation 2.8, so 28 is over six deviations off; unrelated vectors differ in 32.
-SIGN_BITS = 28
+#: Sign bits of a vector, and how many two bucket mates may differ in.  At cosine 0.9 they differ in
+#: 18.4 on average with deviation 4.0, so 45 is over six deviations off; unrelated vectors
+#: differ in 64 with deviation 5.7, so few of them (about one pair in two thousand) pass.
+SIGNS, SIGN_BITS = 128, 45
 BLOCK = 1024
 
 
@@ -81,14 +82,14 @@ def _rows(column: pa.Array | pa.ChunkedArray, kind) -> Iterator[tuple[np.ndarray
 
 
 def _hasher(k: int, tables: int):
-    """Table keys (32 bits each) and 64 sign bits of unit vectors."""
+    """Table keys (32 bits each) and sign bits of unit vectors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, signs = [b""] * b.num_rows, np.zeros(b.num_rows, np.int64)
+            keys, signs = [b""] * b.num_rows, np.zeros((b.num_rows, SIGNS // 8), np.uint8)
             for at, x in _rows(b.column(1), np.float64):
                 dim = x.shape[1]
                 rng = np.random.default_rng([0x9E37, dim])
-                signs[at] = np.packbits(x @ rng.normal(size=(dim, 64)) > 0, axis=1).copy().view(np.int64)[:, 0]
+                signs[at] = np.packbits(x @ rng.normal(size=(dim, SIGNS)) > 0, axis=1)
                 out = np.empty((len(at), tables), np.uint32)
                 odd = rng.integers(0, 2**62, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
                 for t in range(tables):
@@ -100,7 +101,7 @@ def _hasher(k: int, tables: int):
                     keys[i] = row.tobytes()
             lists = np.frombuffer(b"".join(keys), np.int32)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(keys, pa.binary()), pa.array(signs),
+                b.column(0), pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in signs], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(lists) + 1, tables, dtype=np.int32)), pa.array(lists))],
                 names=["class_id", "keys", "signs", "buckets"])
     return run
@@ -118,12 +119,13 @@ def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t, starts in whole_groups(batches, CELL):
         sizes = np.diff([*starts, t.num_rows])
         cell = np.repeat(np.arange(len(starts)), sizes)
-        s, block = t["signs"].to_numpy().view(np.uint64), t["block"].to_numpy()
+        s = np.frombuffer(b"".join(t["signs"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
+        block = t["block"].to_numpy()
         apart = t["ci"].to_numpy() != t["cj"].to_numpy()
         keep = np.zeros(t.num_rows, bool)
         for d in range(1, int(sizes.max())):
             i = np.flatnonzero(cell[d:] == cell[:-d])
-            near = (np.bitwise_count(s[i] ^ s[i + d]) <= SIGN_BITS) & (~apart[i] | (block[i] != block[i + d]))
+            near = (np.bitwise_count(s[i] ^ s[i + d]).sum(1) <= SIGN_BITS) & (~apart[i] | (block[i] != block[i + d]))
             keep[i[near]] = keep[i[near] + d] = True
         if keep.any():
             yield from t.select([*CELL, "block", "class_id"]).filter(pa.array(keep)).combine_chunks().to_batches()
@@ -167,8 +169,8 @@ def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Equal vectors form a class with a number of copies, so copies never meet in
     pairs.  Unit vectors are hashed to ``shape(n)`` tables of quantised random
-    projections.  In each bucket 64 sign bits sort out the mates that can't reach the
-    cosine; the rest is compared exactly, in double precision, in blocks of
+    projections.  In each bucket ``SIGNS`` sign bits sort out the mates that can't reach the
+    cosine, before any vector is joined; the rest is compared exactly, in double precision, in blocks of
     ``block`` members.  A linked pair is counted by the first table that finds it
     and only counts and local roots leave a task, never pairs.
 
@@ -184,7 +186,7 @@ def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     classes = materialize(classes, "op9-classes")
     k, tables = shape(classes.count())
     hashes = materialize(classes.select("class_id", "unit").mapInArrow(
-        _hasher(k, tables), "class_id binary, keys binary, signs long, buckets array<int>"), "op9-keys")
+        _hasher(k, tables), "class_id binary, keys binary, signs binary, buckets array<int>"), "op9-keys")
     rows = hashes.select("class_id", "signs", F.posexplode("buckets").alias("band", "band_key"))
     shared = rows.groupBy("band", "band_key").agg(F.count("*").alias("members")).where("members > 1")
     cells = blocked(rows.join(shared, ["band", "band_key"]), block).select(*CELL, "block", "class_id", "signs")
@@ -199,12 +201,18 @@ def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     of_class = (classes.select("class_id", "copies").join(links, "class_id", "left")
                 .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
                 .select("class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "class_id").alias("root")))
-    out = materialize(clean.select("vec_id", "class_id").join(of_class, "class_id", "left"), "op9-rows")
-    least = out.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    out = out.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
+    ids = clean.select("vec_id", "class_id")
+    alone = ids.where("class_id is null").select("vec_id", "class_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("binary").alias("root"))
+    of_class = materialize(of_class, "op9-linked")
+    out = materialize(ids.where("class_id is not null").join(of_class, "class_id").unionByName(alone), "op9-rows")
+    least = materialize(out.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("component_id")), "op9-least")
+    # rows without a component are no part of the join: all of them would be one key
+    linked = out.where("root is not null").join(least, "root")
+    out = linked.unionByName(out.where("root is null").withColumn("component_id", F.lit(None).cast(least.schema["component_id"].dataType))).withColumn("component_id", F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
                       F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def op9_embedding_dedup(vectors: DataFrame) -> DataFrame:
+    """The contract's (vec_id, n_links, component_id, kept): :func:`embedding_links` as it is, with its defined results."""
     return embedding_links(vectors)

@@ -70,3 +70,16 @@ def test_empty(spark):
 def test_shape_follows_n():
     shapes = [op.shape(n) for n in (0, 1, 100, 10_000, 10**6, 10**9)]
     assert shapes == sorted(shapes) and all((1 - op.same_bucket((2 - 1.8) ** 0.5) ** k) ** t <= op.MISS for k, t in shapes)
+
+
+def test_every_link_of_planted_64_dimensional_vectors_is_found(spark):
+    rng = np.random.default_rng(64)
+    centres = rng.normal(size=(260, 64))
+    x = np.concatenate([c + rng.normal(size=(rng.integers(1, 20), 64)) * rng.choice([0.2, 0.3, 0.36]) for c in centres]).astype(np.float32)
+    unit = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    linked = unit @ unit.T >= op.COSINE
+    np.fill_diagonal(linked, False)
+    got = {r.vec_id: r.n_links for r in op.op9_embedding_dedup(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], VECS)).collect()}
+    found = sum(got.values()) / linked.sum()
+    assert linked.sum() > 5000 and 0.999 <= found <= 1.0
+    assert all(got[i] <= n for i, n in enumerate(linked.sum(1).tolist()))
