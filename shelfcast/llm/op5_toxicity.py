@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import crc_mod, lean
-from shelfcast.llm.op2_near_dedup import REGISTERS, _sketch
+from shelfcast.llm.op2_near_dedup import BANDS, ROWS, _sketch
 from shelfcast.session import materialize
 
 #: Labelled rows that voters are mined from, at most: toxic and clean ones (in the order of a hash of the id).
@@ -123,9 +123,10 @@ def labelled_sample(labels: DataFrame, usable, toxic: int = SAMPLE_TOXIC, clean:
     return out, shares[1] / shares[0] if shares[0] else 1.0
 
 
-def families(bands: np.ndarray, regs: np.ndarray, least: float = FAMILY) -> np.ndarray:
+def families(regs: np.ndarray, least: float = FAMILY) -> np.ndarray:
     """For each row the first row of its family: rows that share a band with it and agree in ``least`` of the registers."""
-    root = np.arange(len(bands))
+    root = np.arange(len(regs))
+    bands = regs.reshape(len(regs), BANDS, ROWS).copy().view(np.int64)[:, :, 0]
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -154,12 +155,13 @@ def one_of_each(docs: DataFrame, sample: dict) -> dict:
     known = docs.sparkSession.createDataFrame([(d,) for d, y in sample.items() if y], f"doc_id {kind}")
     sketched = docs.join(F.broadcast(known), "doc_id").select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         lean(_sketch), f"doc_id {kind}, n_shingles long, class_id binary, bands array<long>, regs binary")
-    one = sketched.where("n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("regs", "bands")).alias("of"))
-    rows = one.orderBy("doc_id").select("doc_id", "of.*").collect()  # at most SAMPLE_TOXIC rows of 1.3 KB
+    head = F.substring("regs", 1, 2 * BANDS * ROWS)  # the registers that bands are made of
+    one = sketched.where("n_shingles > 0").groupBy("doc_id").agg(F.min(head).alias("regs"))
+    rows = one.orderBy("doc_id").collect()  # at most SAMPLE_TOXIC rows of 256 bytes
     if not rows:
         return {d: y for d, y in sample.items() if not y}
-    regs = np.frombuffer(b"".join(r["regs"] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
-    first = families(np.array([r["bands"] for r in rows], np.int64), regs)
+    regs = np.frombuffer(b"".join(r["regs"] for r in rows), np.uint16).reshape(len(rows), BANDS * ROWS)
+    first = families(regs)
     return {rows[i]["doc_id"]: 1 for i in np.unique(first).tolist()} | {d: y for d, y in sample.items() if not y}
 
 
