@@ -84,12 +84,22 @@ class Payload:
         self.ranks = np.empty(1 << 16, "<u2")
         self.ranks[self.ids] = np.arange(1 << 16, dtype="<u2")
 
+        self._codec = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_codec": None}  # made anew where it is used
+
+    def _code(self) -> tuple:
+        if self._codec is None:
+            self._codec = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        return self._codec
+
     def pack(self, ids: np.ndarray) -> bytes:
-        return zstandard.compress(self.ranks[ids].view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+        return self._code()[0].compress(self.ranks[ids].view(np.uint8).reshape(-1, 2).T.tobytes())
 
     def unpack(self, data: bytes) -> np.ndarray:
-        planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(2, -1)
-        return self.ids[np.ascontiguousarray(planes.T).view("<u2")[:, 0]]
+        planes = np.frombuffer(self._code()[1].decompress(data), np.uint8).reshape(2, -1)
+        return self.ids[planes[0] | planes[1].astype("<u2") << 8]
 
 
 def payload_code(docs: DataFrame, paths: tuple[str, str | None], sample: int = SAMPLE) -> Payload:
@@ -195,9 +205,9 @@ def with_global_start(table: DataFrame) -> tuple[DataFrame, int]:
     return own.where("copies = 1").select("start", "doc_id", "payload").union(each), int(total)
 
 
-def _shifted(crc: int, zeros: bytes) -> int:
-    """What a checksum of leading bytes adds to that of the whole, ``zeros`` being as long as what follows them."""
-    return zlib.crc32(zeros, crc) ^ zlib.crc32(zeros)
+def _shifted(crc: int, zeros: bytes, of_zeros: np.ndarray) -> int:
+    """What a checksum of leading bytes adds to that of the whole; ``zeros`` are as long as what follows them."""
+    return zlib.crc32(zeros, crc) ^ int(of_zeros[len(zeros)])
 
 
 def fragments(rows: DataFrame, code: Payload, total: int, length: int = LENGTH, key: int = KEY, with_payload: bool = True) -> DataFrame:
@@ -208,13 +218,14 @@ def fragments(rows: DataFrame, code: Payload, total: int, length: int = LENGTH,
     exclusive or of its parts' ``crc_part``.
     """
     spark, zeros = rows.sparkSession, bytes(2 * length)
+    of_zeros = np.array([zlib.crc32(zeros[:n]) for n in range(2 * length + 1)], np.int64)
     shared = spark.sparkContext.broadcast((code, Feistel(-(-total // length), key)))
     names = ["slot", "at", "n", "crc_part", "doc_id", "padding"] + ["payload"] * with_payload
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()] + [pa.binary()] * with_payload
 
     def part(at: int, ids: np.ndarray) -> tuple:
         after = 2 * (length - at - len(ids))
-        return at, len(ids), _shifted(zlib.crc32(ids.tobytes()), zeros[:after])
+        return at, len(ids), _shifted(zlib.crc32(ids), zeros[:after], of_zeros)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, order = shared.value
@@ -234,7 +245,8 @@ def fragments(rows: DataFrame, code: Payload, total: int, length: int = LENGTH,
                     s, at = divmod(start + done, length)
                     piece = ids[done:done + length - at]
                     done += len(piece)
-                    found.append((s, *part(at, piece), doc_id, False, *([own.pack(piece)] * with_payload)))
+                    # a document that lies in one sequence goes on as it came
+                    found.append((s, *part(at, piece), doc_id, False, *([packed if len(piece) == len(ids) else own.pack(piece)] if with_payload else [])))
                     if len(found) >= 4_000:
                         yield out()
         if found:
