@@ -141,9 +141,9 @@ def drop_multipacks(df: DataFrame) -> DataFrame:
 def trim_upper_quantile(df: DataFrame, col: str, q: float, approx: bool = False) -> DataFrame:
     """Keep rows strictly below the ``q`` quantile of ``col`` over ``df``.
 
-    The quantile is a scalar subquery: computed once, inlined as a literal,
-    no join.  Strict ``<`` removes the whole top value when the quantile
-    equals the maximum.
+    The exact quantile is computed at once, by two passes over ``df`` while the plan is built, and
+    stands in it as a literal; with ``approx`` it is a scalar subquery.  Strict ``<`` removes the whole
+    top value when the quantile equals the maximum.
     """
     return df.where(F.col(col) < exact_quantile(df, col, q, approx=approx))
 

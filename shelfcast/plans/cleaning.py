@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfcast.functions import starts_with_any
@@ -18,9 +18,12 @@ RULES = ("rename_columns", "parse_dates", "normalize_text", "deduplicate", "flag
 
 def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile: float = 0.995,
                        price_quantile: float = 0.9999, approx: bool = False,
-                       materialize_as: str | None = "parquet", until: str | None = None) -> list[tuple[str, DataFrame]]:
+                       materialize_as: str | None = "parquet", until: str | None = None,
+                       audit: Audit | None = None) -> list[tuple[str, DataFrame]]:
     """Apply the rules in order, up to and with ``until``; return (rule, output) for each.
 
+    With ``audit``, rows are counted on the way, see :func:`audited_clean`.
+
     Two lineage cuts (``materialize_as``): after the cancelled lines are gone
     (the frame the code and description rules read three times) and before
     the quantile trims (read by both quantiles and the main branch).
@@ -41,16 +44,21 @@ def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile
         "rename_columns": C.rename_columns, "parse_dates": C.parse_dates, "normalize_text": C.normalize_text,
         "deduplicate": lambda d: C.deduplicate(d, order_col), "flag_cancelled": C.flag_cancelled,
         "drop_adjustments": C.drop_adjustments, "net_cancellations": net,
-        "drop_cancelled": lambda d: materialize(C.drop_cancelled(d), "clean-a", materialize_as),
+        "drop_cancelled": C.drop_cancelled,
         "drop_odd_codes": M.drop_odd_codes, "upper_code": C.upper_code, "canonical_description": C.canonical_description,
         "valid_description": C.valid_description, "positive_qty": C.positive_qty,
-        "drop_multipacks": lambda d: materialize(C.drop_multipacks(d), "clean-b", materialize_as),
+        "drop_multipacks": C.drop_multipacks,
         "trim_qty": lambda d: C.trim_qty(d, qty_quantile, approx), "positive_price": C.positive_price,
         "trim_price": lambda d: C.trim_price(d, price_quantile, approx), "finalize_columns": lambda d: C.finalize_columns(d, order_col),
     }
+    cuts = {"drop_cancelled": "clean-a", "drop_multipacks": "clean-b"}
     d = df
     for name in RULES:
         d = rules[name](d)
+        if audit is not None:
+            d = audit.watch(name, d)
+        if name in cuts:
+            d = materialize(d, cuts[name], materialize_as)
         out.append((name, d))
         if name == until:
             break
@@ -70,34 +78,58 @@ def clean_transactions(df: DataFrame, order_col: str = "row_order", qty_quantile
                               materialize_as)[-1][1]
 
 
+class Audit:
+    """Counts the rows that rules let through while the tables are written, by observed metrics.
+
+    Row filters that follow each other are counted at one place, with a condition for each, so a place is
+    needed only after a rule that joins or aggregates.
+    """
+
+    def __init__(self) -> None:
+        true = F.lit(True)
+        described = F.col("description").isNotNull() & (F.length("description") > C.MIN_DESCRIPTION_LEN)
+        sold = described & (F.col("qty") > 0)
+        single = sold & ~starts_with_any(F.col("description"), C.MULTIPACK_PREFIXES)
+        length_7 = F.col("is_cancelled") | F.coalesce(F.length("invoice_id") != 7, true)
+        # rule after which rows are counted -> rules and conditions on those rows
+        self.places = {
+            "normalize_text": [("input", true), ("rename_columns", true), ("parse_dates", true), ("normalize_text", true)],
+            "flag_cancelled": [("deduplicate", true), ("flag_cancelled", true), ("drop_adjustments", length_7)],
+            "net_cancellations": [("net_cancellations", true), ("drop_cancelled", ~F.col("is_cancelled"))],
+            "canonical_description": [("drop_odd_codes", true), ("upper_code", true), ("canonical_description", true),
+                                      ("valid_description", described), ("positive_qty", sold), ("drop_multipacks", single)],
+            "trim_qty": [("trim_qty", true), ("positive_price", F.col("unit_price") > 0)],
+            "finalize_columns": [("trim_price", true), ("finalize_columns", true)],
+        }
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, rule: str, df: DataFrame) -> DataFrame:
+        if rule not in self.places:
+            return df
+        self.seen[rule] = Observation()
+        return df.observe(self.seen[rule], *[F.count(F.when(cond, 1)).alias(name) for name, cond in self.places[rule]])
+
+    def rows(self) -> list[tuple[int, str, int]]:
+        """(step, rule, rows_out); waits for the writes."""
+        counts = {name: n for seen in self.seen.values() for name, n in seen.get.items()}
+        return [(i, name, counts[name]) for i, name in enumerate(("input", *RULES))]
+
+
+def audited_clean(df: DataFrame, order_col: str = "row_order", **kw) -> tuple[DataFrame, DataFrame]:
+    """The clean lines, written, and the audit of how they came about: (step, rule, rows_out).
+
+    The counts are metrics of the same writes that cut the lineage (and of the last one, of the result), so
+    nothing is read a second time for them.
+    """
+    audit = Audit()
+    clean = clean_stage_frames(df, order_col, audit=audit, **kw)[-1][1]
+    clean = materialize(clean, "clean")
+    return clean, df.sparkSession.createDataFrame(audit.rows(), "step int, rule string, rows_out long")
+
+
 def cleaning_audit(df: DataFrame, order_col: str = "row_order", **kw) -> DataFrame:
     """C20: rows left after each rule, as a table (step, rule, rows_out).
 
     The original prints one overall count; a per-rule table is the distributed form.
-    Row filters that follow each other are counted together, in one aggregate with a
-    condition for each; only rules that join or aggregate begin a new one.
     """
-    frames = dict(clean_stage_frames(df, order_col, **kw))
-    true = F.lit(True)
-    # (frame, conditions on its rows, one for each rule counted there)
-    described = F.col("description").isNotNull() & (F.length("description") > C.MIN_DESCRIPTION_LEN)
-    sold = described & (F.col("qty") > 0)
-    single = sold & ~starts_with_any(F.col("description"), C.MULTIPACK_PREFIXES)
-    length_7 = F.col("is_cancelled") | F.coalesce(F.length("invoice_id") != 7, true)
-    groups = [
-        (df, [("input", true), ("rename_columns", true), ("parse_dates", true), ("normalize_text", true)]),
-        (frames["flag_cancelled"], [("deduplicate", true), ("flag_cancelled", true), ("drop_adjustments", length_7)]),
-        (frames["net_cancellations"], [("net_cancellations", true), ("drop_cancelled", ~F.col("is_cancelled"))]),
-        (frames["canonical_description"], [("drop_odd_codes", true), ("upper_code", true), ("canonical_description", true),
-                                           ("valid_description", described), ("positive_qty", sold), ("drop_multipacks", single)]),
-        (frames["trim_qty"], [("trim_qty", true), ("positive_price", F.col("unit_price") > 0)]),
-        (frames["trim_price"], [("trim_price", true), ("finalize_columns", true)]),
-    ]
-    step = {name: i for i, name in enumerate(("input", *RULES))}
-    out = None
-    for frame, rules in groups:
-        counts = frame.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in rules])
-        pairs = F.array(*[F.struct(F.lit(step[name]).alias("step"), F.lit(name).alias("rule"), F.col(name).alias("rows_out")) for name, _ in rules])
-        part = counts.select(F.explode(pairs).alias("r")).select("r.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return audited_clean(df, order_col, **kw)[1]

@@ -138,3 +138,24 @@ def test_parse_dates_rejects_bad_text(spark):
     df = spark.createDataFrame([("01/12/2010 08:26",)], "invoice_timestamp string")
     with pytest.raises(Exception):
         C.parse_dates(df).collect()
+
+
+def test_audit_counts_while_the_tables_are_written(spark):
+    from conftest import SF_SMALL
+    from shelfcast.plans import audited_clean, clean_stage_frames
+    from shelfcast.plans.catalog import ORDER, raw_lines
+    lines = raw_lines(spark, SF_SMALL)
+    group = "audit-jobs"
+    frames = clean_stage_frames(lines, ORDER)
+    want = [lines.count()] + [f.count() for _, f in frames]
+    spark.sparkContext.setJobGroup("plain", "cleaning alone")
+    clean_stage_frames(lines, ORDER)[-1][1].write.format("noop").mode("overwrite").save()
+    plain = len(spark.sparkContext.statusTracker().getJobIdsForGroup("plain"))
+    spark.sparkContext.setJobGroup(group, "audited")
+    clean, audit = audited_clean(lines, ORDER)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = sorted(audit.collect())
+    assert [r.rows_out for r in rows] == want and [r.step for r in rows] == list(range(len(want)))
+    assert clean.count() == want[-1]
+    assert jobs <= plain + 1  # nothing is run for the counts
