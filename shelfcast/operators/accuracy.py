@@ -58,10 +58,19 @@ def bias_text(bias_col: str = "bias"):
     return F.format_string("%.2f%%", F.col(bias_col) * 100)
 
 
+def write_item_accuracy(accuracy: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The accuracy table as Parquet for point lookups: a Bloom filter on ``item`` in every row group, and rows
+    sorted by item within the files, so that a lookup reads only the row groups that can hold its code."""
+    n = max(1, accuracy.count())
+    (accuracy.sortWithinPartitions("item").write.mode(mode).option("parquet.bloom.filter.enabled#item", "true")
+     .option("parquet.bloom.filter.expected.ndv#item", str(min(n, 10_000_000))).parquet(path))
+
+
 def item_lookup(accuracy: DataFrame, stock_code) -> DataFrame:
     """A4: one item's row, with the bias as percent text; ``KeyError`` when the code is unknown.
 
-    ``stock_code`` may be a literal or a Column (e.g. a scalar subquery).  The row is
+    ``stock_code`` may be a literal or a Column (e.g. a scalar subquery).  Read from a table of
+    :func:`write_item_accuracy`, a literal code skips the row groups that can't hold it.  The row is
     fetched once and returned as a table.
     """
     code = stock_code if not isinstance(stock_code, str) else F.lit(stock_code)

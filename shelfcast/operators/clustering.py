@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.silhouette import euclidean_silhouettes
 from shelfcast.operators.hierarchy import BLOCK, cut_merges, ward_merges
 from shelfcast.session import materialize
 
@@ -158,11 +159,12 @@ def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS,
 
 
 def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
-             features_col: str = "features", parallelism: int = 8) -> DataFrame:
+             features_col: str = "features", parallelism: int = 8, distance: str = "squaredEuclidean") -> DataFrame:
     """K4: silhouette for k = 2..max_clusters, as a (k, silhouette) table.
 
-    Spark's silhouette uses squared Euclidean distance (scikit-learn's default
-    is Euclidean), so the best k can differ from the original.  The input is
+    ``distance="euclidean"`` is the original's silhouette, exact and quadratic in the rows (stocks), see
+    :func:`euclidean_silhouettes`; Spark's own, ``"squaredEuclidean"``, is linear, and its
+    best k can differ.  The input is
     persisted once; the fits for different k are independent jobs and are
     submitted concurrently (``parallelism`` driver threads), so small inputs
     do not leave the cluster idle between short jobs.  Fewer rows than clusters are
@@ -170,18 +172,27 @@ def select_k(features: DataFrame, max_clusters: int = 10, seed: int = 42,
     """
     if max_clusters < 2:
         raise ValueError(f"a sweep needs k from 2 on; max_clusters is {max_clusters}")
+    if distance not in ("squaredEuclidean", "euclidean"):
+        raise ValueError(f"distance is 'squaredEuclidean' or 'euclidean', not {distance!r}")
     data = features.select(features_col).persist()
     try:
         if (n := data.limit(max_clusters).count()) < max_clusters:
             raise ValueError(f"{n} rows can't form up to {max_clusters} clusters; lower max_clusters")
-        evaluator = ClusteringEvaluator(featuresCol=features_col, metricName="silhouette")
+        def fit(k: int):
+            return KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=f"_k{k}").fit(data)
 
         def score(k: int) -> tuple[int, float]:
-            model = KMeans(k=k, seed=seed, featuresCol=features_col).fit(data)
-            return k, float(evaluator.evaluate(model.transform(data)))
+            own = ClusteringEvaluator(featuresCol=features_col, predictionCol=f"_k{k}", metricName="silhouette")
+            return k, float(own.evaluate(fit(k).transform(data)))
 
         ks = list(range(2, max_clusters + 1))
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
+            if distance == "euclidean":
+                labelled = data
+                for model in pool.map(fit, ks):
+                    labelled = model.transform(labelled)
+                points = labelled.select(F.col(features_col).alias("features"), F.array(*[F.col(f"_k{k}") for k in ks]).alias("labels"))
+                return materialize(euclidean_silhouettes(points, ks), "silhouettes")
             scores = list(pool.map(score, ks))
     finally:
         data.unpersist()

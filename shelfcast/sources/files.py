@@ -173,3 +173,16 @@ def land_transactions(df: DataFrame, order_col: str = "row_order", how: str = "p
         splits.select(*[F.col(n).alias(f"_{n}") for n in names], "_rank"), [f"_{n}" for n in names])
     row = F.col(f"{order_col}.pos").bitwiseAND(F.lit((1 << 33) - 1))
     return joined.withColumn(order_col, F.col("_rank").cast("long") * F.lit(1 << 33) + row).select(*landed.columns)
+
+
+def land_by_stock(df: DataFrame, table: str, buckets: int, key: str = "stock_code") -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by stock, and read it back.
+
+    Groupings, windows and joins by stock over it need no shuffle, again and again.  A bucket holds
+    its stocks whole, so this is for tables in which no stock has a large share of the rows (the
+    demand table has one row per stock, price and day); others are better left to shuffles, which can
+    pre-aggregate and split.
+    """
+    spark = df.sparkSession
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return spark.table(table)

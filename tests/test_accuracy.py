@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.operators import accuracy as A
 from shelfcast.operators import evaluation as EV
@@ -53,3 +54,25 @@ def test_time_split(spark):
     df = spark.createDataFrame([("A", dt.date(2010, 12, 31), 1.0, 1.0), ("A", dt.date(2011, 1, 1), 1.0, 1.0)], SCORED)
     tr, va = EV.time_split(df, "2011-01-01")
     assert (tr.count(), va.count()) == (1, 1)
+
+
+def test_lookup_reads_only_row_groups_that_can_hold_the_item(spark):
+    from shelfcast.session import scratch_dir
+    acc = spark.range(40_000).select(F.format_string("item%06d", (F.col("id") * 7919) % 40_000).alias("item"), F.lit(0.1).alias("bias"),
+                                     F.lit(1.0).alias("rmse"), F.lit(3).cast("long").alias("n_rows"), F.lit("m").alias("message"))
+    path = scratch_dir(spark, "accuracy-bloom")
+    A.write_item_accuracy(acc.repartition(20), path)
+    table = spark.read.parquet(path)
+
+    def rows_read(code):
+        found = table.where(F.col("item") == code)
+        n = len(found.collect())
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return n, leaf.metrics().apply("numOutputRows").value()
+
+    n, read = rows_read("item012345")
+    assert n == 1 and read <= 3 * 2000  # of 20 files with a row group of about 2,000 rows each, spanning all codes
+    assert rows_read("item012345x")[1] <= 2 * 2000
+    assert A.item_lookup(table, "item012345").first().item == "item012345"
+    with pytest.raises(KeyError):
+        A.item_lookup(table, "item012345x")

@@ -114,3 +114,45 @@ def test_series_vectors_equal_plain_fill(spark):
                 x[days.index(d)] += q
         sd = x.std(ddof=1)
         assert np.allclose(r.features.toArray(), (x - x.mean()) / sd if sd else x * 0)
+
+
+def plain_silhouette(x, labels):
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    out = []
+    for i in range(len(x)):
+        own = labels == labels[i]
+        if own.sum() == 1:
+            out.append(0.0)
+            continue
+        a = d[i, own].sum() / (own.sum() - 1)
+        b = min(d[i, labels == c].mean() for c in set(labels.tolist()) - {labels[i]})
+        out.append(0.0 if max(a, b) == 0 else (b - a) / max(a, b))
+    return float(np.mean(out))
+
+
+@pytest.mark.parametrize("block", [4096, 17])
+def test_euclidean_silhouettes_equal_a_plain_reading(spark, block):
+    from pyspark.ml.linalg import Vectors
+    from shelfcast.operators.silhouette import euclidean_silhouettes
+    rng = np.random.default_rng(9)
+    x = np.r_[rng.normal(size=(120, 3)) + rng.integers(0, 3, 120)[:, None] * 4, np.zeros((4, 3))]
+    labels = np.stack([rng.integers(0, 2, len(x)), rng.integers(0, 5, len(x)), (np.arange(len(x)) > 0) * 1 + (np.arange(len(x)) > 60)], 1)
+    df = spark.createDataFrame([(Vectors.dense(v), row.tolist()) for v, row in zip(x, labels)], ["features", "labels"])
+    got = {r.k: r.silhouette for r in euclidean_silhouettes(df.repartition(5), [2, 5, 3], block).collect()}
+    for at, k in enumerate((2, 5, 3)):
+        assert got[k] == pytest.approx(plain_silhouette(x, labels[:, at]), abs=1e-9)
+    assert euclidean_silhouettes(df.limit(0), [2, 5, 3]).collect() == []
+
+
+def test_select_k_by_euclidean_distance(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(90, 2)) + (np.arange(90) % 3)[:, None] * 9
+    df = spark.createDataFrame([(Vectors.dense(v),) for v in x], ["features"]).coalesce(1)
+    got = {r.k: r.silhouette for r in K.select_k(df, 5, distance="euclidean").collect()}
+    assert set(got) == {2, 3, 4, 5} and max(got, key=got.get) == 3
+    labels = np.array([r.prediction for r in KMeans(k=3, seed=42).fit(df).transform(df).collect()])
+    assert got[3] == pytest.approx(plain_silhouette(x, labels), abs=1e-9)
+    with pytest.raises(ValueError):
+        K.select_k(df, 3, distance="cosine")

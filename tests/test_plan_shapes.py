@@ -101,3 +101,20 @@ def test_quantile_trims_merge_no_distinct_values_in_one_task(spark, clean_small)
     frames = [C.trim_qty(clean_small), EV.median_abs_error(clean_small.select(F.col("price").alias("error")))]
     for df in frames:
         assert "percentile(" not in executed(df) and "median(" not in executed(df)
+
+
+def test_tables_landed_by_stock_need_no_shuffle(spark, clean_small, daily):
+    from shelfcast.operators import features as FT
+    from shelfcast.sources import land_by_stock
+    lines = land_by_stock(clean_small.withColumns({"year": F.year("date"), "month": F.month("date")}), "t_lines_by_stock", 4)
+    demand = land_by_stock(daily, "t_demand_by_stock", 4)
+    try:
+        frames = {"price_stats": FT.price_stats(lines, catalog.ORDER), "monthly": FT.monthly_invoices_by_stock(lines), "lags": FT.add_qty_lags(demand),
+                  "matrix": K.series_matrix(demand), "encoding": MD.ordered_target_statistics(demand, "stock_code", prior=1.0)}
+        for name, df in frames.items():
+            plan = executed(df)
+            assert "Exchange" not in plan, (name, plan)
+        assert FT.add_qty_lags(demand).exceptAll(FT.add_qty_lags(daily)).count() == 0
+    finally:
+        for t in ("t_lines_by_stock", "t_demand_by_stock"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
