@@ -315,6 +315,33 @@ sstats AS (
   FROM (SELECT stock_code, CAST(sum(qty) AS DOUBLE) AS s1, sum(pow(qty, 2)) AS s2 FROM cells GROUP BY stock_code), n_dates)"""
 
 
+SERIES_GAPS = """
+z AS (
+  SELECT s.stock_code, d.date, CASE WHEN series_std > 0 THEN (coalesce(c.qty, 0) - series_mean) / series_std ELSE 0 END AS z
+  FROM sstats s CROSS JOIN (SELECT DISTINCT date FROM demand) d LEFT JOIN cells c ON c.stock_code = s.stock_code AND c.date = d.date),
+gaps AS (
+  SELECT a.stock_code AS i, b.stock_code AS j, sum(pow(a.z - b.z, 2)) AS d2
+  FROM z a JOIN z b ON a.date = b.date AND a.stock_code <> b.stock_code GROUP BY a.stock_code, b.stock_code)"""
+
+# All pairs of clusters step by step: the closest pair is merged, by the update rule of squared Ward distances.
+WARD = """
+WITH RECURSIVE w AS (
+  SELECT 0 AS step, i, j, d2, CAST(1 AS DOUBLE) AS ni, CAST(1 AS DOUBLE) AS nj FROM gaps
+  UNION ALL
+  SELECT step + 1, CASE WHEN i = b THEN a ELSE i END, CASE WHEN j = b THEN a ELSE j END,
+         CASE WHEN bool_or(i IN (a, b)) THEN (sum((ni + nj) * d2) - any_value(nj) * dab) / (na + nb + any_value(nj))
+              WHEN bool_or(j IN (a, b)) THEN (sum((ni + nj) * d2) - any_value(ni) * dab) / (na + nb + any_value(ni))
+              ELSE any_value(d2) END,
+         CASE WHEN bool_or(i IN (a, b)) THEN na + nb ELSE any_value(ni) END,
+         CASE WHEN bool_or(j IN (a, b)) THEN na + nb ELSE any_value(nj) END
+  FROM (SELECT w.*, first_value(i) OVER o AS a, first_value(j) OVER o AS b, first_value(d2) OVER o AS dab,
+               first_value(ni) OVER o AS na, first_value(nj) OVER o AS nb
+        FROM w WINDOW o AS (ORDER BY i > j, d2, i, j)) t
+  WHERE NOT (i IN (a, b) AND j IN (a, b))
+  GROUP BY step, a, b, dab, na, nb, CASE WHEN i = b THEN a ELSE i END, CASE WHEN j = b THEN a ELSE j END)
+SELECT * FROM w"""
+
+
 def cluster_sql() -> dict[str, str]:
     s = lambda body: with_demand(body, extra_ctes=CLUSTER_CTES)
     pivot = ", ".join(f"round(max(CASE WHEN feature = '{c}' THEN z END), 4) AS {c}" for c in PROFILE)
@@ -322,9 +349,13 @@ def cluster_sql() -> dict[str, str]:
     model_table = "SELECT *, true AS product_type, true AS time_series_type FROM demand"
     return {
         "select_k": s("SELECT CAST(k AS INT) AS k, true AS valid FROM range(2, 11) t(k)"),
+        "select_k_euclidean": s("SELECT CAST(k AS INT) AS k, true AS valid FROM range(2, 11) t(k)"),
         "item_cluster": s(labelled),
         "series_cluster": s(labelled),
         "series_cluster_ward": s(labelled),
+        "series_merges": with_demand(
+            "SELECT i AS a, j AS b, round(sqrt(d2), 6) AS height, CAST(ni + nj AS BIGINT) AS size FROM (" + WARD + ") QUALIFY "
+            "row_number() OVER (PARTITION BY step ORDER BY i > j, d2, i, j) = 1", extra_ctes=CLUSTER_CTES + "," + SERIES_GAPS),
         "series_merge_totals": s(
             "SELECT count(*) - 1 AS n_merges, count(*) AS n_series, round((sum(CASE WHEN series_std > 0 THEN n - 1 ELSE 0 END) - "
             "any_value(squares) / count(*)) / (count(*) * (any_value(n) - 1)), 6) AS spread FROM sstats, n_dates, ("

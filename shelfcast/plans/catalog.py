@@ -342,7 +342,7 @@ def q_prepare_demand_weekly(spark, sf_dir):
 
 def q_series_merges(spark, sf_dir):
     """K8 hierarchy: the Ward merges of the stocks' series."""
-    return K.series_merges(q_demand_daily(spark, sf_dir))
+    return rounded(K.series_merges(q_demand_daily(spark, sf_dir)), ["height"])
 
 
 def q_series_merge_totals(spark, sf_dir):
@@ -362,6 +362,12 @@ def q_series_cluster_ward(spark, sf_dir):
     return labels.select("stock_code", F.col("time_series_type").between(0, 2).alias("valid"))
 
 
+def q_select_k_euclidean(spark, sf_dir):
+    """K4 by the original's distance: the numbers of clusters with whether their silhouette is one."""
+    feats = K.scaled_profile(q_demand_daily(spark, sf_dir))
+    return K.select_k(feats, 10, distance="euclidean").select("k", F.col("silhouette").between(-1, 1).alias("valid"))
+
+
 def cluster_queries() -> dict[str, Callable]:
     return {
         "product_profile": q_product_profile,
@@ -370,6 +376,7 @@ def cluster_queries() -> dict[str, Callable]:
         "series_matrix": q_series_matrix,
         "series_zscore": q_series_zscore,
         "select_k": q_select_k,
+        "select_k_euclidean": q_select_k_euclidean,
         "item_cluster": q_item_cluster,
         "series_cluster": q_series_cluster,
         "series_merges": q_series_merges,
