@@ -256,3 +256,24 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_id"))
     one = every.groupBy("root", alone.alias("alone")).agg(first.alias("first")).select(F.col("first.row_id").alias(row))
     return docs.withColumn(row, row_key()).join(one, row, "left_semi").dropDuplicates([row]).select(*quoted(docs))
+
+
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT row, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT row, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT row, count(*) AS n FROM shingles GROUP BY row),
+common AS (
+  SELECT a.row AS a, b.row AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row <> b.row GROUP BY a.row, b.row),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reached AS (SELECT row, row AS at FROM texts UNION SELECT r.row, l.b FROM reached r JOIN links l ON l.a = r.at),
+least AS (SELECT r.row, min(t.doc_id) AS component_id FROM reached r JOIN texts t ON t.row = r.at GROUP BY r.row)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, t.doc_id = component_id AS kept
+FROM texts t JOIN least USING (row) LEFT JOIN sizes s USING (row)
+"""

@@ -216,3 +216,19 @@ def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
 def op9_embedding_dedup(vectors: DataFrame) -> DataFrame:
     """The contract's (vec_id, n_links, component_id, kept): :func:`embedding_links` as it is, with its defined results."""
     return embedding_links(vectors)
+
+
+ORACLE = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(CAST(embedding AS FLOAT[]), lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+good AS (
+  SELECT row, v, sqrt(list_dot_product(v, v)) AS size FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.row AS a, b.row AS b FROM good a JOIN good b ON a.row <> b.row AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9),
+reached AS (SELECT row, row AS at FROM vectors UNION SELECT r.row, l.b FROM reached r JOIN links l ON l.a = r.at),
+least AS (SELECT r.row, min(x.vec_id) AS component_id FROM reached r JOIN vectors x ON x.row = r.at GROUP BY r.row)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = x.row) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors x JOIN least USING (row)
+"""

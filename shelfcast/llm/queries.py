@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm.common import table
+from shelfcast.llm import op11_search as op11
+from shelfcast.llm import op12_fill_in_middle as op12
+from shelfcast.llm import op13_exact_dedup as op13
 from shelfcast.llm import op1_revisits as op1
+from shelfcast.llm import op2_near_dedup as op2
 from shelfcast.llm import op3_decontaminate as op3
 from shelfcast.llm import op4_licenses as op4
 from shelfcast.llm import op8_line_dedup as op8
-from shelfcast.llm.op2_near_dedup import op2_near_dedup
+from shelfcast.llm import op9_embedding_dedup as op9
+from shelfcast.llm.common import table
+from shelfcast.llm.op10_language import op10_language
 from shelfcast.llm.op5_toxicity import op5_toxicity
 from shelfcast.llm.op6_training_order import op6_training_order
 from shelfcast.llm.op7_packing import op7_packing
-from shelfcast.llm import op11_search as op11
-from shelfcast.llm import op12_fill_in_middle as op12
-from shelfcast.llm import op13_exact_dedup as op13
-from shelfcast.llm.op9_embedding_dedup import op9_embedding_dedup
-from shelfcast.llm.op10_language import op10_language
 
 
 def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +27,7 @@ def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op2_near_dedup(table(spark, sf_dir, "documents"))
+    return op2.op2_near_dedup(table(spark, sf_dir, "documents"))
 
 
 def q_op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op9_embedding_dedup(table(spark, sf_dir, "embeddings"))
+    return op9.op9_embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
 def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,18 +89,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_search": q_op11,
         "op12_fill_in_middle": q_op12,
         "op13_exact_dedup": q_op13,
-        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {
+    return {
         "op1_revisits": op1.ORACLE,
+        "op2_near_dedup": op2.ORACLE,
         "op3_decontaminate": op3.ORACLE,
         "op4_licenses": op4.oracle(),
         "op8_line_dedup": op8.ORACLE,
+        "op9_embedding_dedup": op9.ORACLE,
         "op11_search": op11.ORACLE,
         "op12_fill_in_middle": op12.ORACLE,
         "op13_exact_dedup": op13.ORACLE,
     }
-    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -51,6 +51,34 @@ def test_stages_take_effect(spark, tmp_path):
 
 
 def test_registry():
+    import __spark_entry__ as entry
     names = list(queries())
-    assert [n.split("_")[0] for n in names[:10]] == [f"op{i}" for i in range(1, 11)] and names[10] == "pipeline"
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(oracle_sql()) <= set(names)
+    assert set(names) | {"pipeline"} <= set(entry.queries()) and entry.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_no_documents(spark, tmp_path):
+    write(spark, str(tmp_path))
+    none = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, str(tmp_path))
+        assert none.collect() == []
+
+
+def test_clashing_columns_repeated_rows_null_ids_and_a_long_text(spark, tmp_path):
+    docs, _, _ = write(spark, str(tmp_path))
+    extra = docs + [docs[3], docs[3], (None, "a row without an id", None, None, None), (None, None, None, None, None),
+                    (3000, "very long " * 150_000 + "\n" + "end", "en", "s", 0)]
+    df = spark.createDataFrame(extra, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ["_row", "_doc_id", "_hash", "row_id", "root", "hits", "words", "stretches", "print", "class_id", "kept"]
+    df = df.selectExpr("*", *[f"'{n}' as {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, df, str(tmp_path))
+        assert df.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    rows = df.collect()
+    assert all(r[n] == n for r in rows for n in names)
+    ids = [r.doc_id for r in rows]
+    assert ids.count(docs[3][0]) == 1 and ids.count(None) == 2 and 3000 in ids
+    packed = corpus_pipeline.packing(spark, df, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == set(ids)
