@@ -109,3 +109,35 @@ def test_sha_is_of_the_lines_and_equal_rows_count_once(spark):
     df = spark.createDataFrame([(1, "\n".join(["x. y", *lines]))] * 2 + [(2, "\n\n".join(lines))], DOCS)
     (r,) = op.scan(df).collect()
     assert (r.doc_id, r.span, r.license_id, r.dice, r.text) == (1, 2, "ISC", 1.0, "\n".join(lines))
+
+
+def test_the_clauses_that_follow_tell_the_two_bsd_licences_apart(spark):
+    opening = next(t for _, t in op.TEMPLATES if t.startswith("Redistribution and use"))
+    binary = "2. Redistributions in binary form must reproduce the above copyright notice."
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used."
+    rows = [(1, f"{opening}\n{binary}"), (2, f"{opening}\n{binary}\n{third}"), (3, opening), (4, "\n".join(textwrap.wrap(opening, 50)) + "\n\n" + binary.replace(" ", "\n * ")),
+            (5, "\n".join(textwrap.wrap(opening, 50)) + "\n\n" + binary + third.upper())]
+    got = {r.doc_id: r.license_id for r in op.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "BSD-3-Clause"}
+
+
+def test_whole_licence_texts(spark):
+    import random
+    rnd = random.Random(44)
+    words = [f"word{i}" for i in range(400)]
+    base = [rnd.choice(words) for _ in range(300)]
+    licences = {"A": " ".join(base), "A-clause": " ".join(base + [rnd.choice(words) for _ in range(40)]), "B": " ".join(rnd.choice(words) for _ in range(120)), "none": "x"}
+    rows = [(1, licences["A"]), (2, licences["A-clause"].upper()), (3, "Copyright 2020 Some One\n" + licences["A"].replace(" ", "\n# ", 30)), (4, licences["B"]),
+            (5, licences["B"] + " " + " ".join(rnd.choice(words) for _ in range(90))), (6, None), (7, ""), (8, "x"), (9, licences["A"] * 40), (1, licences["A"]), (None, licences["B"])]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "'z' as license_id", "1 as n")
+    lic = spark.createDataFrame(list(licences.items()), "license_id string, text string")
+    for limit in (1 << 20, 0):
+        got = {(r.doc_id, r.license_id, round(r.dice, 9)) for r in op.whole_licences(df, lic, 0.9, limit).collect()}
+        want = set()
+        for d, t in rows:
+            a = grams(t or "")
+            near = sorted((-2 * len(a & b) / (len(a) + len(b)), k) for k, x in licences.items() if a and (b := grams(x)))
+            if near and -near[0][0] >= 0.9:
+                want.add((d, near[0][1], round(-near[0][0], 9)))
+        assert got == want and {(d, k) for d, k, _ in got} == {(1, "A"), (2, "A-clause"), (3, "A"), (4, "B"), (9, "A"), (None, "B")}  # 9 is A forty times over: the same bigrams
+    assert op.whole_licences(df, lic.limit(0)).collect() == [] and op.whole_licences(df.limit(0), lic).collect() == []
