@@ -134,14 +134,20 @@ def apply_boxcox(profile: DataFrame, lambdas, cols=PROFILE_COLUMNS) -> DataFrame
 
 
 def standardize(df: DataFrame, cols=PROFILE_COLUMNS) -> DataFrame:
-    """K3: zero mean, unit population deviation (a zero deviation divides by 1)."""
-    stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
-                              for c in cols])).scalar()
+    """K3: zero mean, unit population deviation (a zero deviation divides by 1).
+
+    Means and deviations are taken of the distances from the column's minimum: a Box-Cox column can vary
+    in its tenth digit only, and sums of the values themselves would depend on their order there.
+    """
+    least = df.agg(F.struct(*[F.min(c).alias(c) for c in cols])).scalar()
+    above = df.withColumns({c: F.col(c) - least[c] for c in cols})
+    stats = above.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
+                                 for c in cols])).scalar()
     out = {}
     for c in cols:
         s = stats[c]["s"]
         out[c] = (F.col(c) - stats[c]["m"]) / F.when(s == 0, F.lit(1.0)).otherwise(s)
-    return df.withColumns(out)
+    return above.withColumns(out)
 
 
 def scaled_profile(demand: DataFrame, cols=PROFILE_COLUMNS,
