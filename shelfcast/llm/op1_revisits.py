@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import materialize
+
 #: Seconds of a time bucket: one task orders a URL's records of one bucket.
 BUCKET_S = 86_400
 
@@ -71,35 +73,44 @@ def resolve_revisits(records: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
     refer to a record and carry its digest and the merged headers; bodies stay where
     they are and are joined by ``refers_to`` (:func:`with_bodies`).
 
-    The as-of join is no join of all pairs and keeps no URL in one task: records are
-    ordered within (URL, time bucket), and each bucket's last response, an aggregate
-    that is partial on the map side, is carried over the URL's buckets.
+    The as-of join is no join of all pairs and keeps no URL in one task.  Records of one URL and date
+    become one moment with its last response, an aggregate that is partial on the map side, so
+    that any number of them is one row.  Moments are ordered within (URL, time bucket), where
+    they are at most the distinct dates of ``bucket_s`` seconds, and each bucket's last response
+    is carried over the URL's buckets.  Revisits then meet their moment by an equi-join.
 
     Defined results: records without a date or URL have no candidate and are none;
     a revisit without headers has none to compare; repeated rows are resolved each;
     an empty table gives an empty result; other columns are ignored.
     """
     own = records.select(
-        "record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "date", "status",
+        "record_id", "kind", "url", canonical_url(F.col("url")).alias("canonical_url"), "date", "status",
         lower_keys(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"), "payload_digest")
     own = own.withColumn("second", F.unix_micros(F.col("date").cast("timestamp")))
-    own = own.withColumn("bucket", F.floor(F.col("second") / (bucket_s * 1_000_000)))
-    full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("canonical_url").isNotNull() & F.col("second").isNotNull()
-    # ordered by time, then by id; maps can't be compared, so the header fields go as text
+    placed = F.col("url").isNotNull() & F.col("second").isNotNull()
+    # ordered by id; maps can't be compared, so the header fields go as text
     ref = F.struct("second", "record_id", "date", "payload_digest", F.to_json("headers").alias("headers"))
-    own = own.withColumn("ref", F.when(full, ref))
+    ref = F.when((F.col("kind") == "response") & (F.col("status") == 200), ref)
+    key, revisit = ["canonical_url", "bucket"], F.col("kind") == "revisit"
+    moments = own.where(placed & (ref.isNotNull() | revisit)).groupBy("canonical_url", "second").agg(F.max(ref).alias("ref"), F.max(revisit).alias("asked"))
+    # three branches read them: written, so that the records are looked through once for them
+    moments = materialize(moments.withColumn("bucket", F.floor(F.col("second") / (bucket_s * 1_000_000))), "op1-moments")
 
     # the last response of each bucket, then of all buckets before
-    key = ["canonical_url", "bucket"]
-    last = own.where("ref is not null").groupBy(*key).agg(F.max("ref").alias("last"))
-    asked = own.where("kind = 'revisit'").select(*key).distinct()
+    last = moments.where("ref is not null").groupBy(*key).agg(F.max("ref").alias("last"))
     over = Window.partitionBy("canonical_url").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = asked.join(last, key, "full").withColumn("carried", F.last("last", ignorenulls=True).over(over)).select(*key, "carried")
-
-    # within a bucket: all rows of earlier dates, so that equal dates don't see each other
-    inside = Window.partitionBy(*key).orderBy("second").rangeBetween(Window.unboundedPreceding, -1)
-    seen = own.withColumn("near", F.max("ref").over(inside)).where("kind = 'revisit'")
-    found = seen.join(carried, key, "left").withColumn("found", F.coalesce("near", "carried"))
+    carried = moments.where("asked").select(*key).distinct().join(last, key, "full")
+    carried = carried.withColumn("carried", F.last("last", ignorenulls=True).over(over)).select(*key, "carried")
+
+    # within a bucket: the moments before, so that equal dates don't see each other
+    inside = Window.partitionBy(*key).orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
+    seen = moments.withColumn("near", F.last("ref", ignorenulls=True).over(inside)).where("asked")
+    met = seen.join(carried, key, "left").select("canonical_url", "second", F.coalesce("near", "carried").alias("found"))
+
+    # revisits without a URL or date meet nothing and stay out of the join: all of them would be one key
+    asking = own.where(revisit)
+    nothing = F.lit(None).cast(met.schema["found"].dataType)
+    found = asking.where(placed).join(met, ["canonical_url", "second"], "left").unionByName(asking.where(~placed).withColumn("found", nothing))
 
     mine, theirs = F.col("headers"), F.from_json("found.headers", "map<string,string>")
     tag_a, tag_b = _weak(F.try_element_at(mine, F.lit("etag"))), _weak(F.try_element_at(F.col("stored"), F.lit("etag")))

@@ -1,6 +1,7 @@
 """Not-modified revisits against a plain scan of all earlier responses."""
 
 import datetime as dt
+import random
 
 from shelfcast.llm import op1_revisits as op
 
@@ -41,6 +42,29 @@ def test_outcomes_for_any_bucket_width(spark):
         assert {r.record_id: (r.outcome, r.refers_to) for r in rows} == WANT
 
 
+def test_one_url_with_most_rows_and_few_dates(spark):
+    """Most records are of one URL, many of them of one date; against a scan of all earlier responses."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        kind = rnd.choice(["response", "revisit"])
+        url = rnd.choice(["http://hot/"] * 8 + [f"http://u{i % 40}/", None])
+        minutes = rnd.choice([7] * 6 + [rnd.randrange(4000), None])
+        rows.append(rec(f"r{i:04d}", kind, url, minutes, {"etag": f'"{rnd.randrange(3)}"'}, None, 200 if kind == "response" else 304))
+    full = [r for r in rows if r[1] == "response" and r[2] and r[3]]
+    want = {}
+    for r in rows:
+        if r[1] == "revisit":
+            earlier = [f for f in full if r[2] and r[3] and f[2] == r[2] and f[3] < r[3]]
+            last = max(earlier, key=lambda f: (f[3], f[0]), default=None)
+            same = last is not None and last[5] == r[5]
+            want[r[0]] = ("no_response" if last is None else "resolved" if same else "mismatch", last[0] if same else None)
+    assert len({w[0] for w in want.values()}) == 3
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for width in (3600, 86_400):
+        assert {r.record_id: (r.outcome, r.refers_to) for r in op.resolve_revisits(df, width).collect()} == want
+
+
 def test_header_merge(spark):
     rows = {r.record_id: r for r in op.resolve_revisits(spark.createDataFrame(records(), SCHEMA)).collect()}
     assert rows["b1"].headers == {"etag": 'W/"1"', "x": "new", "content-type": "text/html"}
