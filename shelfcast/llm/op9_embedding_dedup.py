@@ -103,7 +103,7 @@ def _hasher(k: int, tables: int):
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in signs], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(lists) + 1, tables, dtype=np.int32)), pa.array(lists))],
-                names=["class_id", "keys", "signs", "buckets"])
+                names=["number", "keys", "signs", "buckets"])
     return run
 
 
@@ -128,14 +128,14 @@ def _alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = (np.bitwise_count(s[i] ^ s[i + d]).sum(1) <= SIGN_BITS) & (~apart[i] | (block[i] != block[i + d]))
             keep[i[near]] = keep[i[near] + d] = True
         if keep.any():
-            yield from t.select([*CELL, "block", "class_id"]).filter(pa.array(keep)).combine_chunks().to_batches()
+            yield from t.select([*CELL, "block", "number"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
 
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell and class with a link: copies linked by pairs that this table is the first to find, and a local root."""
     for g in sorted_groups(batches, CELL):
         band, apart = g["band"][0].as_py(), g["ci"][0].as_py() != g["cj"][0].as_py()
-        ids, copies, block = g["class_id"].to_pylist(), g["copies"].to_numpy(), g["block"].to_numpy()
+        ids, copies, block = g["number"].to_numpy(), g["copies"].to_numpy(), g["block"].to_numpy()
         linked = np.zeros((len(ids), len(ids)), bool)
         for at, x in _rows(g["unit"], np.float64):
             linked[np.ix_(at, at)] = x @ x.T >= COSINE
@@ -160,14 +160,13 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = least
         some = np.flatnonzero(linked.any(1))
         yield pa.RecordBatch.from_arrays([
-            pa.array([ids[i] for i in some], pa.binary()), pa.array((owned * copies[None, :]).sum(1)[some]),
-            pa.array([ids[i] for i in root[some]], pa.binary())], names=["class_id", "links", "root"])
+            pa.array(ids[some]), pa.array((owned * copies[None, :]).sum(1)[some]), pa.array(ids[root[some]])], names=["number", "links", "root"])
 
 
 def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors(vec_id, embedding)``.
 
-    Equal vectors form a class with a number of copies, so copies never meet in
+    Equal vectors form a numbered class with a count of copies, so copies never meet in
     pairs.  Unit vectors are hashed to ``shape(n)`` tables of quantised random
     projections.  In each bucket ``SIGNS`` sign bits sort out the mates that can't reach the
     cosine, before any vector is joined; the rest is compared exactly, in double precision, in blocks of
@@ -183,26 +182,26 @@ def embedding_links(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     clean = materialize(vectors.select("vec_id", "embedding").mapInArrow(
         _clean, f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, class_id binary, unit binary"), "op9-vectors")
     classes = clean.where("class_id is not null").groupBy("class_id").agg(F.count("*").alias("copies"), F.min("unit").alias("unit"))
-    classes = materialize(classes, "op9-classes")
+    classes = materialize(classes.withColumn("number", F.monotonically_increasing_id()), "op9-classes")
     k, tables = shape(classes.count())
-    hashes = materialize(classes.select("class_id", "unit").mapInArrow(
-        _hasher(k, tables), "class_id binary, keys binary, signs binary, buckets array<int>"), "op9-keys")
-    rows = hashes.select("class_id", "signs", F.posexplode("buckets").alias("band", "band_key"))
+    hashes = materialize(classes.select("number", "unit").mapInArrow(
+        _hasher(k, tables), "number long, keys binary, signs binary, buckets array<int>"), "op9-keys")
+    rows = hashes.select("number", "signs", F.posexplode("buckets").alias("band", "band_key"))
     shared = rows.groupBy("band", "band_key").agg(F.count("*").alias("members")).where("members > 1")
-    cells = blocked(rows.join(shared, ["band", "band_key"]), block).select(*CELL, "block", "class_id", "signs")
-    alive = cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_alive, "band int, band_key int, ci int, cj int, block int, class_id binary")
+    cells = blocked(rows.join(shared, ["band", "band_key"]), block, "number").select(*CELL, "block", "number", "signs")
+    alive = cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_alive, "band int, band_key int, ci int, cj int, block int, number long")
     alive = materialize(alive, "op9-alive")
-    full = alive.join(classes, "class_id").join(hashes.select("class_id", "keys"), "class_id")
+    full = alive.join(classes.drop("class_id"), "number").join(hashes.select("number", "keys"), "number")
     found = materialize(full.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(
-        _cosines, "class_id binary, links long, root binary"), "op9-links")
+        _cosines, "number long, links long, root long"), "op9-links")
 
-    links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b")), "op9-components")
-    of_class = (classes.select("class_id", "copies").join(links, "class_id", "left")
-                .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-                .select("class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "class_id").alias("root")))
+    links = found.groupBy("number").agg(F.sum("links").alias("links"))
+    roots = components(found.select(F.col("number").alias("a"), F.col("root").alias("b")), "op9-components")
+    of_class = (classes.select("class_id", "number", "copies").join(links, "number", "left")
+                .join(roots.withColumnRenamed("node", "number"), "number", "left")
+                .select("class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "number").alias("root")))
     ids = clean.select("vec_id", "class_id")
-    alone = ids.where("class_id is null").select("vec_id", "class_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("binary").alias("root"))
+    alone = ids.where("class_id is null").select("vec_id", "class_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("root"))
     of_class = materialize(of_class, "op9-linked")
     out = materialize(ids.where("class_id is not null").join(of_class, "class_id").unionByName(alone), "op9-rows")
     least = materialize(out.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("component_id")), "op9-least")
