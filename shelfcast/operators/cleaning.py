@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import exact_quantile, mode_from_counts, starts_with_any, strip_ws
+from shelfcast.session import small_side
 
 # Raw -> working column names.
 RAW_TO_WORKING = {
@@ -112,11 +113,12 @@ def description_modes(df: DataFrame) -> DataFrame:
             .select("stock_code", "canonical"))
 
 
-def canonical_description(df: DataFrame) -> DataFrame:
+def canonical_description(df: DataFrame, cut: str | None = None) -> DataFrame:
     """Replace each inconsistent code's description (null ones included)
     by the code's mode.  The mode table has one row per code; AQE broadcasts
-    it when small at runtime, else it is a shuffle join with skew splitting."""
-    modes = description_modes(df)
+    it when small at runtime, else it is a shuffle join with skew splitting.
+    With ``cut`` it is written first and the lines aren't shuffled for a small one."""
+    modes = small_side(description_modes(df), "description-modes", cut)
     out = df.join(modes, "stock_code", "left")
     return (out.withColumn("description", F.coalesce(F.col("canonical"), F.col("description")))
             .select(*df.columns))

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfcast.session import small_side
 
 
 def _match_qty(df: DataFrame) -> Column:
@@ -28,30 +31,49 @@ def _key_cond(left: str, right: str, df: DataFrame) -> Column:
             & (F.col(f"{left}.match_qty") == F.col(f"{right}.match_qty")))
 
 
-def _match_groups(df: DataFrame, order_col: str) -> DataFrame:
+def _lead(df: DataFrame, order_col: str) -> Column:
+    # The leading field of the order where it is a number or a time (a hash aggregate takes its
+    # minimum); else a constant, which every row shares.
+    lead, kind = F.col(order_col), df.schema[order_col].dataType
+    if isinstance(kind, T.StructType):
+        lead, kind = lead[kind.fields[0].name], kind.fields[0].dataType
+    plain = isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return lead if plain else F.lit(None).cast("int")
+
+
+def _match_groups(df: DataFrame, order_col: str, cut: str | None = None) -> DataFrame:
     """One row per (stock, customer, matched qty) that has both a cancellation
     and a sale: the first sale's order and invoice.
 
     Two steps, both pre-aggregated map-side so a hot key (one product bought
     by anonymous customers in units of one, say) collapses before the
     shuffle: (1) a hash aggregate of the has-cancel / has-sale flags over all
-    lines; (2) the first sale, a struct minimum (sort-based aggregate), only
-    over the sales of matched keys, so the sort never sees the whole input.
+    lines, with the least leading field of the sales' order; (2) the first sale, a
+    struct minimum (sort-based aggregate), only over the sales of matched keys
+    with that leading field, so the sort never sees the whole input.
+    With ``cut`` the matched keys and the groups are written (see
+    :func:`~shelfcast.session.small_side`), so lines aren't shuffled for few of them.
     """
     keyed = df.select("stock_code", "customer_id", _match_qty(df).alias("match_qty"),
-                      "is_cancelled", F.col(order_col).alias("o"), F.col("invoice_id").alias("inv"))
+                      "is_cancelled", F.col(order_col).alias("o"), F.col("invoice_id").alias("inv"),
+                      _lead(df, order_col).alias("lead"))
+    sale = ~F.col("is_cancelled")
     flags = (keyed.groupBy("stock_code", "customer_id", "match_qty")
              .agg(F.max(F.col("is_cancelled").cast("int")).alias("has_cancel"),
-                  F.max((~F.col("is_cancelled")).cast("int")).alias("has_sale"))
+                  F.max(sale.cast("int")).alias("has_sale"),
+                  F.max((sale & F.col("lead").isNull()).cast("int")).alias("null_lead"),
+                  F.min(F.when(sale, F.col("lead"))).alias("lead"))
              .where((F.col("has_cancel") == 1) & (F.col("has_sale") == 1))
-             .select("stock_code", "customer_id", "match_qty"))
+             .select("stock_code", "customer_id", "match_qty", F.when(F.col("null_lead") == 0, F.col("lead")).alias("lead")))
+    flags = small_side(flags, "match-keys", cut)
     sales = keyed.where(~F.col("is_cancelled")).alias("s")
-    matched_sales = sales.join(flags.alias("k"), _key_cond("s", "k", df), "left_semi")
+    matched_sales = sales.join(flags.alias("k"), _key_cond("s", "k", df) & F.col("s.lead").eqNullSafe(F.col("k.lead")), "left_semi")
     first = (matched_sales.groupBy("stock_code", "customer_id", "match_qty")
              .agg(F.min(F.struct("o", "inv")).alias("first_sale")))
-    return first.select("stock_code", "customer_id", "match_qty",
-                        F.col("first_sale.o").alias("first_sale_order"),
-                        F.col("first_sale.inv").alias("matching_invoice"))
+    first = first.select("stock_code", "customer_id", "match_qty",
+                         F.col("first_sale.o").alias("first_sale_order"),
+                         F.col("first_sale.inv").alias("matching_invoice"))
+    return small_side(first, "match-groups", cut)
 
 
 def _join_groups(df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
@@ -64,7 +86,7 @@ def _join_groups(df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
 
 
 def net_cancellations(df: DataFrame, order_col: str = "row_order",
-                      candidates: DataFrame | None = None) -> DataFrame:
+                      candidates: DataFrame | None = None, cut: str | None = None) -> DataFrame:
     """Drop every cancelled line with a matching sale (same stock, same
     customer, opposite quantity) and the first matching sale of each group.
 
@@ -76,9 +98,9 @@ def net_cancellations(df: DataFrame, order_col: str = "row_order",
     copies share their key, flag and invoice, and the copy kept is the first
     one, so the match groups are the same; computing them there lets the
     group-by read the source directly instead of a second copy of the
-    de-duplication shuffle.
+    de-duplication shuffle.  ``cut`` as in ``_match_groups``.
     """
-    groups = _match_groups(candidates if candidates is not None else df, order_col)
+    groups = _match_groups(candidates if candidates is not None else df, order_col, cut)
     joined = _join_groups(df, groups, "left")
     matched = F.col("g.match_qty").isNotNull()
     drop = matched & (F.col("d.is_cancelled")
@@ -86,9 +108,9 @@ def net_cancellations(df: DataFrame, order_col: str = "row_order",
     return joined.where(~drop).select(*[F.col(f"d.`{c}`") for c in df.columns])
 
 
-def cancellation_pairs(df: DataFrame, order_col: str = "row_order") -> DataFrame:
+def cancellation_pairs(df: DataFrame, order_col: str = "row_order", cut: str | None = None) -> DataFrame:
     """Each matched cancelled line with its first matching sale's invoice."""
-    groups = _match_groups(df, order_col)
+    groups = _match_groups(df, order_col, cut)
     return (_join_groups(df.where(F.col("is_cancelled")), groups, "inner")
             .select(F.col("d.invoice_id").alias("cancelled_invoice"),
                     F.col("d.stock_code").alias("stock_code"),
@@ -114,19 +136,20 @@ def odd_code_fragments(df: DataFrame, code_col: str = "stock_code") -> DataFrame
             .distinct())
 
 
-def drop_odd_codes(df: DataFrame, code_col: str = "stock_code") -> DataFrame:
+def drop_odd_codes(df: DataFrame, code_col: str = "stock_code", cut: str | None = None) -> DataFrame:
     """Drop lines whose code starts with any fragment of C9 (and null codes).
 
     A prefix test against a set is a theta join; here it becomes equi-joins:
     every prefix of each *distinct* code is exploded (codes are short), the
     prefixes are semi-joined to the fragments, and the resulting bad codes are
     anti-joined back.  AQE broadcasts the bad-code set when its runtime size
-    is small and falls back to a shuffle join otherwise.
+    is small and falls back to a shuffle join otherwise; with ``cut`` the set is written
+    first and the lines aren't shuffled for a small one.
     """
     frags = odd_code_fragments(df, code_col)
     codes = df.select(F.col(code_col).alias("code")).where(F.col("code").isNotNull()).distinct()
     prefixes = codes.select("code", F.explode(F.sequence(F.lit(1), F.length("code"))).alias("n"))
     prefixes = prefixes.select("code", F.substring(F.col("code"), F.lit(1), F.col("n")).alias("fragment"))
-    bad = prefixes.join(frags, "fragment", "left_semi").select("code").distinct()
+    bad = small_side(prefixes.join(frags, "fragment", "left_semi").select("code").distinct(), "odd-codes", cut)
     kept = df.where(F.col(code_col).isNotNull())
     return kept.join(bad, kept[code_col] == bad["code"], "left_anti")

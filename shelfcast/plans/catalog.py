@@ -18,7 +18,7 @@ from shelfcast.operators import evaluation as EV
 from shelfcast.operators import features as FT
 from shelfcast.operators import matching as M
 from shelfcast.operators import modeling as MD
-from shelfcast.plans.cleaning import clean_stage_frames, cleaning_audit
+from shelfcast.plans.cleaning import RULES, clean_stage_frames, cleaning_audit
 from shelfcast.plans.demand import demand_table, prepare_demand
 from shelfcast.session import materialize, scratch_dir
 from shelfcast.sources.files import (RAW_SCHEMA, read_scored, read_text_table, read_transactions, union_parts,
@@ -43,9 +43,15 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(*cols)
 
 
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines, written once: netting reads them three times, and the view is a join of five tables."""
+    return materialize(raw_lines(spark, sf_dir), "raw-lines")
+
+
 def stage(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
     """The lines after ``rule``; later rules are neither planned nor run."""
-    return clean_stage_frames(raw_lines(spark, sf_dir), ORDER, until=rule)[-1][1]
+    many = RULES.index(rule) >= RULES.index("net_cancellations")
+    return clean_stage_frames((landed_lines if many else raw_lines)(spark, sf_dir), ORDER, until=rule)[-1][1]
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +66,8 @@ def _stage(name: str, cols: list[str]) -> Callable[[SparkSession, str], DataFram
 
 
 def q_cancellation_pairs(spark, sf_dir):
-    return M.cancellation_pairs(stage(spark, sf_dir, "drop_adjustments"), ORDER)
+    lines = clean_stage_frames(landed_lines(spark, sf_dir), ORDER, until="drop_adjustments")[-1][1]
+    return M.cancellation_pairs(lines, ORDER, cut="parquet")
 
 
 def q_odd_code_fragments(spark, sf_dir):
@@ -76,7 +83,7 @@ def q_description_modes(spark, sf_dir):
 
 
 def q_cleaning_audit(spark, sf_dir):
-    return cleaning_audit(raw_lines(spark, sf_dir), ORDER).select(
+    return cleaning_audit(landed_lines(spark, sf_dir), ORDER).select(
         F.col("step").cast("int").alias("step"), "rule", "rows_out")
 
 

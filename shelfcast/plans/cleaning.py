@@ -29,7 +29,9 @@ def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile
     the quantile trims (read by both quantiles and the main branch).
     Without them Catalyst pushes each later filter into every branch, the
     branches stop being identical, and shuffles are no longer shared.  Rules
-    before a cut write nothing.
+    before a cut write no lines; the small tables that netting, odd codes and descriptions join
+    are written, so that no lines are shuffled for them.  From netting on ``df`` is read three
+    times; where reading it costs shuffles, land it first.
     """
     if until is not None and until not in RULES:
         raise ValueError(f"unknown cleaning rule {until!r}")
@@ -38,14 +40,15 @@ def clean_stage_frames(df: DataFrame, order_col: str = "row_order", qty_quantile
 
     def net(d):
         # the match groups come from the lines before duplicates go: the same groups, read from the source
-        return M.net_cancellations(d, order_col, candidates=C.drop_adjustments(C.flag_cancelled(raw)))
+        return M.net_cancellations(d, order_col, candidates=C.drop_adjustments(C.flag_cancelled(raw)), cut=materialize_as)
 
     rules = {
         "rename_columns": C.rename_columns, "parse_dates": C.parse_dates, "normalize_text": C.normalize_text,
         "deduplicate": lambda d: C.deduplicate(d, order_col), "flag_cancelled": C.flag_cancelled,
         "drop_adjustments": C.drop_adjustments, "net_cancellations": net,
         "drop_cancelled": C.drop_cancelled,
-        "drop_odd_codes": M.drop_odd_codes, "upper_code": C.upper_code, "canonical_description": C.canonical_description,
+        "drop_odd_codes": lambda d: M.drop_odd_codes(d, cut=materialize_as), "upper_code": C.upper_code,
+        "canonical_description": lambda d: C.canonical_description(d, cut=materialize_as),
         "valid_description": C.valid_description, "positive_qty": C.positive_qty,
         "drop_multipacks": C.drop_multipacks,
         "trim_qty": lambda d: C.trim_qty(d, qty_quantile, approx), "positive_price": C.positive_price,

@@ -8,10 +8,11 @@ exact duplicates).  The same SELECT runs on Spark SQL and DuckDB.
 
 File order is represented two ways:
 
-* Spark: ``row_order``, a struct of the ordering columns.  Structs compare
-  field by field, so ``min``/``max_by`` over it give "first"/"last" in file
+* Spark: ``row_order``, a struct (order date, order key, place among the order's
+  lines), the place being the dense rank by the other ordering columns.  Structs
+  compare field by field, so ``min``/``max_by`` over it give "first"/"last" in file
   order without any global numbering (a global ``row_number`` would run in
-  one task).
+  one task), and three fields go through the later shuffles instead of thirteen.
 * DuckDB oracle: ``row_id = row_number() OVER (ORDER BY <same columns>)``.
 
 Rows that tie on the ordering columns are equal in every column, so the two
@@ -47,6 +48,19 @@ JOIN {orders} ON l_orderkey=o_orderkey JOIN {customer} ON o_custkey=c_custkey JO
 """
 
 
+# What Spark reads the view's columns from.  Lines get their place in the shuffle that
+# brings them to their order; customers and nations meet the orders, which are fewer than the lines.
+_SPARK_FROM = """
+FROM (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_discount, l_returnflag, l_linestatus,
+             dense_rank() OVER (PARTITION BY l_orderkey ORDER BY {place}) AS n_line
+      FROM (SELECT *, 0 AS dup FROM {lineitem} UNION ALL SELECT *, 1 AS dup FROM {lineitem} WHERE l_orderkey % 50 = 0)
+      WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL)
+JOIN (SELECT o_orderkey, o_custkey, o_orderdate, n_name
+      FROM {orders} JOIN {customer} ON o_custkey=c_custkey JOIN {nation} ON c_nationkey=n_nationkey) ON l_orderkey=o_orderkey
+JOIN {part} ON l_partkey=p_partkey
+"""
+
+
 def retail_view_sql(engine: str = "duckdb") -> str:
     """The view as SQL text.  ``duckdb``: plain table names and ``row_id``."""
     order = ", ".join(ORDER_COLUMNS)
@@ -55,8 +69,9 @@ def retail_view_sql(engine: str = "duckdb") -> str:
         body = _VIEW_BODY.format(lineitem="lineitem", orders="orders", customer="customer",
                                  nation="nation", part="part")
         return head + body
-    head = f"SELECT struct({order}) AS row_order,"
-    return head + _VIEW_BODY
+    columns = _VIEW_BODY.partition("\nFROM ")[0]
+    place = ", ".join(c for c in ORDER_COLUMNS if c not in ("o_orderdate", "l_orderkey"))
+    return "SELECT struct(o_orderdate, l_orderkey, n_line) AS row_order," + columns + _SPARK_FROM.replace("{place}", place)
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
