@@ -22,6 +22,7 @@ forms agree on every result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -74,6 +75,11 @@ def retail_view_sql(engine: str = "duckdb") -> str:
     return "SELECT struct(o_orderdate, l_orderkey, n_line) AS row_order," + columns + _SPARK_FROM.replace("{place}", place)
 
 
+#: Parts up to which keys and names are broadcast (about 100 bytes each, so up to 200 MB); with more, the
+#: lines go through one more shuffle for them.
+PART_ROWS = 2_000_000
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
@@ -81,4 +87,6 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
 def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retail view as a Spark DataFrame: 8 typed columns + ``row_order``."""
     t = load_tables(spark, sf_dir, ("lineitem", "orders", "customer", "nation", "part"))
+    part = t["part"].select("p_partkey", "p_name")
+    t["part"] = F.broadcast(part) if part.count() <= PART_ROWS else part
     return spark.sql(retail_view_sql("spark"), **t)

@@ -10,7 +10,7 @@ from shelfcast.operators import cleaning as C
 from shelfcast.operators import matching as M
 from shelfcast.plans import catalog
 from shelfcast.session import small_side
-from shelfcast.sources import retail_transactions
+from shelfcast.sources import retail_transactions, retail_view
 from shelfcast.sources.retail_view import ORDER_COLUMNS, load_tables
 
 
@@ -76,3 +76,28 @@ def test_a_large_side_is_left_to_the_planner(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+
+
+def test_lines_are_not_shuffled_for_the_names_of_parts(spark, tmp_path, monkeypatch):
+    tables = {
+        "part": ("p_partkey long, p_name string", [(k, f"part {k}") for k in range(1, 9)] + [(3, "third again"), (None, "no key")]),
+        "nation": ("n_nationkey int, n_name string", [(1, "FRANCE")]), "customer": ("c_custkey long, c_nationkey int", [(1, 1), (2, 1)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", [(k, 1 + k % 2, dt.datetime(1998, 1, k)) for k in range(1, 6)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+                     [(1 + k % 5, None if k == 9 else k % 10, 1, 1 + k // 5, 2.0, 3.0, 0.0, 0.0, "N", "O", dt.datetime(1998, 2, 1)) for k in range(20)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        views = []
+        for limit in (retail_view.PART_ROWS, 9):  # 10 parts
+            monkeypatch.setattr(retail_view, "PART_ROWS", limit)
+            views.append(retail_transactions(spark, str(tmp_path)))
+        plans = [v._jdf.queryExecution().sparkPlan().toString() for v in views]
+        few, many = [sorted(map(str, v.collect())) for v in views]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ["BroadcastHashJoin [l_partkey" in p for p in plans] == [True, False], plans
+    assert few == many and len(few) == 16 + 2
