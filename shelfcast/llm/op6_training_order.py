@@ -95,7 +95,10 @@ class Payload:
         return self._codec
 
     def pack(self, ids: np.ndarray) -> bytes:
-        return self._code()[0].compress(self.ranks[ids].view(np.uint8).reshape(-1, 2).T.tobytes())
+        ranks = self.ranks.take(ids).view(np.uint8)
+        planes = np.empty((2, len(ids)), np.uint8)
+        planes[0], planes[1] = ranks[::2], ranks[1::2]
+        return self._code()[0].compress(planes)
 
     def unpack(self, data: bytes) -> np.ndarray:
         planes = np.frombuffer(self._code()[1].decompress(data), np.uint8).reshape(2, -1)

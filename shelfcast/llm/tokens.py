@@ -6,6 +6,7 @@ import base64
 import os
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 from types import ModuleType
 
@@ -21,6 +22,10 @@ RUN_CHARS = 1 << 20
 #: faster library; for them both libraries' word rules read every character alike.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=[A-Za-z])")
+PATTERN = public_tokenizers.PATTERN
+#: The words of ``PATTERN``, found with less backtracking: a run of one kind is never given back, and
+#: white space at the end of the text is taken at once.
+FAST_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 def default_paths() -> tuple[str, str]:
@@ -64,7 +69,8 @@ class Encoder:
 
             with open(paths[1], "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            rule = FAST_PATTERN if pattern == PATTERN else pattern
+            self.fast = tiktoken.Encoding("ranks", pat_str=rule, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def shared(cls, paths: tuple[str, str | None], pattern: str) -> Encoder:
@@ -81,9 +87,10 @@ class Encoder:
         parts = []
         for run in runs(text):
             if self.fast is not None and not _OTHER.search(run) and not any(s in run for s in self.special):
-                parts.append(np.array(self.fast.encode_ordinary(run), "<u4"))
+                found = self.fast.encode_ordinary(run)
             else:
-                parts.append(np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4"))
+                found = self.tokenizer.encode(run, add_special_tokens=False).ids
+            parts.append(np.frombuffer(array("I", found), "<u4"))  # half the time of np.array
         return np.concatenate([*parts, np.array([END], "<u4")])
 
     def all_ids(self, texts: pa.Array, rows: int = 500) -> Iterator[np.ndarray]:
@@ -91,6 +98,3 @@ class Encoder:
         for a in range(0, len(texts), rows):
             for t in texts.slice(a, rows).to_pylist():
                 yield self.ids(t or "")
-
-
-PATTERN = public_tokenizers.PATTERN

@@ -5,12 +5,13 @@ import zlib
 
 import numpy as np
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from shelfcast.llm import op7_packing as op
-from shelfcast.llm.tokens import PATTERN, Encoder, default_paths, runs
+from shelfcast.llm.tokens import FAST_PATTERN, PATTERN, Encoder, default_paths, runs
 
 DOCS = "doc_id long, text string"
 
@@ -25,6 +26,11 @@ def encoder():
     return Encoder(default_paths(), PATTERN)
 
 
+@pytest.fixture(scope="module")
+def public_words(encoder):
+    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=encoder.fast._mergeable_ranks, special_tokens={})
+
+
 def want_ids(tokenizer, text):
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
@@ -46,6 +52,13 @@ def test_special_strings_and_runs(tokenizer, encoder):
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.sampled_from([*" \n\t\r'stmdlvreSaß1²½!-_\xa0ªº×"])))
+def test_the_faster_word_rule_finds_the_same_words(encoder, public_words, text):
+    assert encoder.fast._pat_str == FAST_PATTERN != PATTERN
+    assert encoder.fast.encode_ordinary(text) == public_words.encode_ordinary(text)
+
+
 def check(rows, docs, tokenizer, capacity):
     want = {}
     for d, t in docs:
